@@ -86,7 +86,11 @@ def _irregular_map() -> Column:
 
 def lemma_of(token: Column) -> Column:
     """Lemma of one token: dictionary first, then suffix rules."""
-    w = F.lower(token)
+    return lemma_of_lower(F.lower(token))
+
+
+def lemma_of_lower(w: Column) -> Column:
+    """Lemma of an already lower-cased token."""
     forms = [f for f, _ in IRREGULAR_FORMS]
     # the IN list becomes a hash set; the map is only probed on a hit
     return F.when(w.isin(forms), F.element_at(_irregular_map(), w)).otherwise(suffix_rule(w))
@@ -100,4 +104,4 @@ def keep_lemma(x: Column) -> Column:
 def lemmas(text) -> Column:
     """Array of filtered, lower-cased lemmas of a text (``[]`` for null)."""
     toks = F.coalesce(lemma_tokens_of(text), F.array().cast("array<string>"))
-    return F.filter(F.transform(toks, lemma_of), keep_lemma)
+    return F.filter(F.transform(F.transform(toks, F.lower), lemma_of_lower), keep_lemma)

@@ -16,6 +16,7 @@ NON_ASCII = r"[^\x00-\x7F]"           # anything outside 7-bit ASCII
 WHITESPACE = r"[\t\n\x0B\f\r ]"      # Perl/Java \s, spelled out
 NEWLINE_RUN = r"\n+"
 BLANK_DOC = r"^[\t\n\x0B\f\r ]*$"    # a fully blank document (no /m flag)
+BLANK_COLLAPSED = r"^ ?$"             # the same document after whitespace collapse
 BLANK_REPLACEMENT = "."
 ROC_SEPARATOR = "|"
 OCR_BAD_RATIO = 0.9                   # a file is bad when ratio > 0.9
@@ -47,10 +48,12 @@ def ascii_text(c, strip_quotes: bool = True, blank_lines: bool = False) -> Colum
         x = F.regexp_replace(x, '"', " ")
     if blank_lines:
         x = F.regexp_replace(x, r"(?m)^[\t\x0B\f\r ]*$", BLANK_REPLACEMENT)
-    else:
-        x = F.when(x.rlike(BLANK_DOC), F.lit(BLANK_REPLACEMENT)).otherwise(x)
     x = F.regexp_replace(x, NEWLINE_RUN, " ")
-    return F.regexp_replace(x, WHITESPACE + "+", " ")
+    x = F.regexp_replace(x, WHITESPACE + "+", " ")
+    # A blank document is exactly the one that collapses to "" or " "; testing
+    # after the collapse keeps the expression tree linear (each step is
+    # evaluated once, not once per reference).
+    return F.regexp_replace(x, BLANK_COLLAPSED, BLANK_REPLACEMENT)
 
 
 def strip_label_quotes(c) -> Column:

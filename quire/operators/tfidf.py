@@ -5,7 +5,10 @@ Shapes (long format, one row per non-zero entry):
   idf    (term|bucket, df, idf)          idf = ln((m + 1) / (df + 1))
   tfidf  (id, *keys, term|bucket, tf, tfidf)
 
-Scale notes: the per-document explode is row-local; ``groupBy(id, bucket)``
+Scale notes: the per-document explode is row-local (``explode_outer`` plus a
+null filter: a plain ``explode`` makes the optimizer infer a ``size(x) > 0``
+filter that it pushes below the projection, evaluating the whole text
+pipeline twice); ``groupBy(id, bucket)``
 aggregates map-side before its shuffle, so a document that holds a large share
 of all tokens contributes at most ``num_features`` rows per partition. The
 document frequency table of hashed features has at most ``num_features`` rows,
@@ -23,7 +26,8 @@ from quire.functions.features import NUM_FEATURES, stable_bucket
 def hashed_tf(df: DataFrame, id_col: str, terms_col: str = "ngrams",
               keys: tuple[str, ...] = (), num_features: int = NUM_FEATURES) -> DataFrame:
     """(id, *keys, bucket, tf): counts of hashed terms per document."""
-    return (df.select(id_col, *keys, F.explode(terms_col).alias("term"))
+    return (df.select(id_col, *keys, F.explode_outer(terms_col).alias("term"))
+              .filter(F.col("term").isNotNull())
               .select(id_col, *keys, stable_bucket("term", num_features).alias("bucket"))
               .groupBy(id_col, *keys, "bucket")
               .agg(F.count(F.lit(1)).alias("tf")))
@@ -32,7 +36,8 @@ def hashed_tf(df: DataFrame, id_col: str, terms_col: str = "ngrams",
 def term_tf(df: DataFrame, id_col: str, terms_col: str = "ngrams",
             keys: tuple[str, ...] = ()) -> DataFrame:
     """(id, *keys, term, tf): counts of plain terms per document."""
-    return (df.select(id_col, *keys, F.explode(terms_col).alias("term"))
+    return (df.select(id_col, *keys, F.explode_outer(terms_col).alias("term"))
+              .filter(F.col("term").isNotNull())
               .groupBy(id_col, *keys, "term")
               .agg(F.count(F.lit(1)).alias("tf")))
 

@@ -221,14 +221,18 @@ def submission(spark, sf):
 
 # ---- vectors -----------------------------------------------------------------------
 
+def _words(t: DataFrame) -> DataFrame:
+    return t.select(F.explode_outer("tokens").alias("word")).filter(F.col("word").isNotNull())
+
+
 def w2v_vocab(spark, sf):
     t = corpus.tokens(_docs(spark, sf))
-    return vectors.vocabulary(t.select(F.explode("tokens").alias("word")))
+    return vectors.vocabulary(_words(t))
 
 
 def mean_vector(spark, sf):
     t = corpus.tokens(_docs(spark, sf))
-    vocab = vectors.vocabulary(t.select(F.explode("tokens").alias("word")))
+    vocab = vectors.vocabulary(_words(t))
     emb = read_table(spark, sf, "embeddings")
     wv = vectors.hashed_word_vectors(vocab, emb, emb.select(F.count(F.lit(1))).scalar())
     mv = vectors.mean_vectors(t, "doc_id", wv)

@@ -36,7 +36,11 @@ def bigram_features(docs: DataFrame, id_col: str, text_col: str, keys: tuple[str
                     stop_words=None) -> DataFrame:
     """(id, *keys, ngrams): row-local text -> lemmas -> filtered words -> bigrams."""
     words = remove_stop_words(lemmas(ascii_text(text_col)), stop_words)
-    return docs.select(id_col, *keys, bigrams(words).alias("ngrams"))
+    # two projections: the optimizer keeps an expensive column that is read
+    # several times (the bigram expression reads ``words`` thrice) in its own
+    # projection instead of inlining it
+    return (docs.select(id_col, *keys, words.alias("words"))
+                .select(id_col, *keys, bigrams("words").alias("ngrams")))
 
 
 @dataclass
