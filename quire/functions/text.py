@@ -21,6 +21,8 @@ BLANK_REPLACEMENT = "."
 ROC_SEPARATOR = "|"
 OCR_BAD_RATIO = 0.9                   # a file is bad when ratio > 0.9
 SENTENCE_END = "[.!?]"                # a sentence ends with . ! or ? + space
+ASCII_WORD_CHARS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+                    "abcdefghijklmnopqrstuvwxyz0123456789_")   # Perl's byte-mode \w
 # --------------------------------------------------------------------------
 
 
@@ -69,8 +71,8 @@ def ocr_ratio(c) -> Column:
     """
     x = _c(c)
     octets = F.octet_length(x)
-    word = F.length(F.regexp_replace(x, "[^A-Za-z0-9_]", ""))
-    newlines = F.length(x) - F.length(F.regexp_replace(x, "\n", ""))
+    word = F.length(x) - F.length(F.translate(x, ASCII_WORD_CHARS, ""))
+    newlines = F.length(x) - F.length(F.replace(x, F.lit("\n"), F.lit("")))
     denom = octets - newlines
     return F.when(denom > 0, (octets - word) / denom)
 
