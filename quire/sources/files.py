@@ -43,8 +43,8 @@ def read_text_lines(spark: SparkSession, path) -> DataFrame:
 def read_whole_texts(spark: SparkSession, dirs, pattern: str = "*.txt") -> DataFrame:
     """(docid, text): one row per file of the given directories, the file stem as id."""
     paths = [dirs] if isinstance(dirs, str) else list(dirs)
-    df = (spark.read.option("wholetext", True).option("pathGlobFilter", pattern)
-          .text(paths).select("value", "_metadata.file_name"))
+    df = (spark.read.option("pathGlobFilter", pattern)
+          .text(paths, wholetext=True).select("value", "_metadata.file_name"))
     stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
     return df.select(stem.alias("docid"), F.col("value").alias("text"))
 
