@@ -81,7 +81,7 @@ def nb_scores(weights: DataFrame, id_col: str, model: DataFrame, label_col: str)
 
 def nb_predict(docs: DataFrame, id_col: str, weights: DataFrame, model: DataFrame,
                priors: DataFrame, label_col: str) -> DataFrame:
-    """(id, prediction): the best class per document, ties to the lowest index.
+    """(id, *other docs columns, prediction): the best class per document.
 
     ``label_col`` holds class indices (doubles), so the lowest index is the
     tie-break. A document without features gets the class of the largest prior.
@@ -91,8 +91,8 @@ def nb_predict(docs: DataFrame, id_col: str, weights: DataFrame, model: DataFram
                   .agg(F.max_by("cls", F.struct(F.col("score"), -F.col("cls"))).alias("prediction")))
     default = (priors.select(F.max_by(label_col, F.struct(F.col("pi"), -F.col(label_col))))
                      .scalar())
-    return (docs.select(id_col).join(best, id_col, "left")
-                .select(id_col, F.coalesce("prediction", default).alias("prediction")))
+    return (docs.join(best, id_col, "left")
+                .withColumn("prediction", F.coalesce("prediction", default)))
 
 
 def argmax_window(scores: DataFrame, id_col: str) -> DataFrame:

@@ -82,7 +82,8 @@ def build(documents: DataFrame, label_col: str, id_col: str = "doc_id",
     # by the IDF fit, the NB fit and the scoring
     tf = materialize(tfidf.hashed_tf(feats, id_col, "ngrams", ("label_idx", "is_train"),
                                      num_features), keep)
-    docs = docs.drop(text_col)
+    # the per-document table without text is small and read by every step
+    docs = materialize(docs.drop(text_col), keep)
 
     train_docs = docs.filter("is_train")
     m = tfidf.n_docs(train_docs)
@@ -90,13 +91,16 @@ def build(documents: DataFrame, label_col: str, id_col: str = "doc_id",
     weights = tfidf.tfidf(tf, idf, m, "bucket", bounded=True).withColumnRenamed("tfidf", "w")
 
     train_w = weights.filter("is_train")
-    priors = bayes.nb_priors(train_docs, "label_idx", train_w, smoothing, num_features)
+    # the fitted model: classes rows of priors and classes x num_features rows
+    # of theta, kept once fitted like any model
+    priors = materialize(bayes.nb_priors(train_docs, "label_idx", train_w, smoothing,
+                                         num_features), keep)
     theta = bayes.nb_theta(train_w, "label_idx", smoothing, num_features)
-    model = bayes.nb_model(priors, theta, "label_idx", num_features)
+    model = materialize(bayes.nb_model(priors, theta, "label_idx", num_features), keep)
 
     test_docs = docs.filter(~F.col("is_train")) if evaluate_split else docs
     test_w = weights.filter(~F.col("is_train")) if evaluate_split else weights
-    pred = bayes.nb_predict(test_docs, id_col, test_w, model, priors, "label_idx")
-    pred = (pred.join(test_docs.select(id_col, "label"), id_col)
-                .transform(lambda d: labels.index_to_label(d, index, "prediction", "predicted")))
+    pred = bayes.nb_predict(test_docs.select(id_col, "label"), id_col, test_w, model, priors,
+                            "label_idx")
+    pred = labels.index_to_label(pred, index, "prediction", "predicted")
     return NBFlow(docs, tf, index, idf, weights, priors, theta, pred)

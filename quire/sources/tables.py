@@ -18,7 +18,8 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
     the resulting partitioning on the id satisfies later per-id aggregations.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
+    # two tasks per core smooth out documents of very different lengths
+    target = min_partitions or 2 * spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)
