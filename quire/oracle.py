@@ -248,6 +248,10 @@ def oracle_sql() -> dict[str, str]:
         "mean_vector": _mean_vector_sql(toks),
     }
     sql["lemmatize_dict"] = sql["lemma_tokens"]
+    sql["src_csv_corpus"] = sql["merge_labels"]
+    sql["sink_parquet"] = sql["lemma_corpus"]
+    sql["sink_sentences"] = f"SELECT sentence FROM ({sql['sentences']})"
+    sql["sink_predictions"] = sql["submission"]
     sql["distinct_sentences"] = f"SELECT DISTINCT sentence FROM ({sql['sentences']})"
     return sql
 

@@ -14,6 +14,9 @@ from quire.functions import text as T
 from quire.functions.features import train_flag
 from quire.operators import corpus, evaluate, labels, tfidf, vectors
 from quire.plans import tfidf_nb
+from quire.session import scratch_path
+from quire.sinks import files as sinks
+from quire.sources import files as sources
 from quire.sources.tables import documents, read_table, spread
 
 R = 6  # decimals kept in compared doubles
@@ -239,6 +242,46 @@ def mean_vector(spark, sf):
     return mv.withColumn("value", F.round("value", R))
 
 
+# ---- file round trips: write with a sink, read back with a source ------------------
+
+MERGED_SCHEMA = ("ISIN string, ISSUER_NAME string, ZCP_FL string, MIN_TRAD_AMT double, "
+                 "MLT_TRAD_AMT double, OPS_CURR string, GA_NAME string, ROC string, TEXT string")
+
+
+def src_csv_corpus(spark, sf):
+    """Labelled corpus -> CSV (quoted, doubled quotes) -> CSV corpus reader."""
+    path = scratch_path(spark, "roundtrip/labeled_csv", unique=True)
+    sinks.write_labeled_csv(merge_labels(spark, sf), path)
+    return sources.read_csv_corpus(spark, path, MERGED_SCHEMA)
+
+
+def sink_parquet(spark, sf):
+    """Lemma corpus -> parquet (overwrite) -> parquet reader."""
+    path = scratch_path(spark, "roundtrip/lemma_parquet", unique=True)
+    sinks.write_parquet(lemma_corpus(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+def sink_sentences(spark, sf):
+    """Sentences -> text file -> line reader."""
+    path = scratch_path(spark, "roundtrip/sentences", unique=True)
+    sinks.write_sentences(corpus.sentences(_docs(spark, sf), "doc_id"), path)
+    return sources.read_text_lines(spark, path).withColumnRenamed("value", "sentence")
+
+
+def sink_predictions(spark, sf):
+    """Predictions -> quoted headerless CSV parts -> part reader -> last wins ->
+    sorted 8-column submission."""
+    path = scratch_path(spark, "roundtrip/predictions", unique=True)
+    conv = read_table(spark, sf, "conversations")
+    last = labels.last_per_key(conv.select(F.col("conv_id").cast("string").alias("ISIN"),
+                                           F.col("role").alias("predictedCategory"), "turn"),
+                               "ISIN", "turn", ["predictedCategory"])
+    sinks.write_predictions(last, path)
+    back = sources.read_predictions(spark, path)
+    return labels.submission(back, "isin", "label", order_col="line")
+
+
 QUERIES = {
     "clean_text": clean_text,
     "ascii_text": ascii_text,
@@ -273,4 +316,8 @@ QUERIES = {
     "submission": submission,
     "w2v_vocab": w2v_vocab,
     "mean_vector": mean_vector,
+    "src_csv_corpus": src_csv_corpus,
+    "sink_parquet": sink_parquet,
+    "sink_sentences": sink_sentences,
+    "sink_predictions": sink_predictions,
 }

@@ -68,9 +68,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
+def scratch_path(spark: SparkSession, name: str, unique: bool = False) -> str:
     """A path under the shared checkpoint folder for a written table."""
     base = checkpoint_dir(spark).rstrip("/")
+    if unique:
+        import uuid
+
+        name = f"{name}-{uuid.uuid4().hex[:12]}"
     return f"{base}/{name}"
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Spark's CSV writer trims values by default; texts keep their spaces
+KEEP_SPACES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def write_parquet(df: DataFrame, path: str) -> None:
     """Overwrite a parquet data set."""
@@ -15,12 +18,14 @@ def write_predictions(df: DataFrame, path: str, id_col: str = "ISIN",
                       label_col: str = "predictedCategory") -> None:
     """Headerless ``"id","label"`` lines, every field quoted, overwrite."""
     (df.select(F.col(id_col).cast("string"), F.col(label_col).cast("string"))
-       .write.mode("overwrite").option("header", False).option("quoteAll", True).csv(path))
+       .write.mode("overwrite").option("header", False).option("quoteAll", True)
+       .options(**KEEP_SPACES).csv(path))
 
 
 def write_labeled_csv(df: DataFrame, path: str) -> None:
     """Header CSV; quotes inside values are doubled so readers with escape='"' undo them."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+       .options(**KEEP_SPACES).csv(path))
 
 
 def write_sentences(sents: DataFrame, path: str, col: str = "sentence") -> None:

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from quire.operators.corpus import labeled_corpus, unlabeled_corpus
 
 CORRUPT = "_corrupt_record"
+NO_NULL_MARKER = "\u0000"
 
 
 def read_csv_corpus(spark: SparkSession, path, schema: StructType | str | None = None,
@@ -17,8 +18,10 @@ def read_csv_corpus(spark: SparkSession, path, schema: StructType | str | None =
 
     Give a ``schema`` in production: inference costs an extra pass over the data.
     """
+    # the writer puts null as an unquoted empty field and "" as a quoted one;
+    # with no null marker text of its own the reader keeps that distinction
     r = (spark.read.option("header", True).option("escape", '"')
-         .option("multiLine", multi_line))
+         .option("nullValue", NO_NULL_MARKER).option("multiLine", multi_line))
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
     return r.csv(path)
 
