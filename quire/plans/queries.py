@@ -235,10 +235,13 @@ def w2v_vocab(spark, sf):
 
 def mean_vector(spark, sf):
     t = corpus.tokens(_docs(spark, sf))
-    vocab = vectors.vocabulary(_words(t))
+    # one tokenization: the vocabulary is an aggregate of the per-document
+    # counts, and the two reads of that shuffle are the same exchange (reused)
+    counts = vectors.word_counts(t, "doc_id")
+    vocab = vectors.vocabulary_from_counts(counts)
     emb = read_table(spark, sf, "embeddings")
     wv = vectors.hashed_word_vectors(vocab, emb, emb.select(F.count(F.lit(1))).scalar())
-    mv = vectors.mean_vectors(t, "doc_id", wv)
+    mv = vectors.mean_vectors_from_counts(counts, "doc_id", wv)
     return mv.withColumn("value", F.round("value", R))
 
 
