@@ -70,9 +70,21 @@ def nb_model(priors: DataFrame, theta: DataFrame, label_col: str,
                          F.coalesce("theta", "theta0").alias("theta")))
 
 
-def nb_scores(weights: DataFrame, id_col: str, model: DataFrame, label_col: str) -> DataFrame:
-    """(id, label, score) for documents with at least one weighted feature."""
+# a dense model up to this many (class, bucket) rows (~100 MB) may be broadcast
+MAX_BROADCAST_MODEL_ROWS = 4_000_000
+
+
+def nb_scores(weights: DataFrame, id_col: str, model: DataFrame, label_col: str,
+              broadcast_model: bool = False) -> DataFrame:
+    """(id, label, score) for documents with at least one weighted feature.
+
+    ``broadcast_model`` is set by callers that checked the model's row count
+    (classes x num_features) against ``MAX_BROADCAST_MODEL_ROWS``; otherwise
+    the join is planned on measured sizes by AQE.
+    """
     m = model.select(F.col(label_col).alias("cls"), "bucket", "theta", "pi")
+    if broadcast_model:
+        m = F.broadcast(m)
     return (weights.select(id_col, "bucket", "w")
                    .join(m, "bucket")
                    .groupBy(id_col, "cls")
@@ -80,13 +92,13 @@ def nb_scores(weights: DataFrame, id_col: str, model: DataFrame, label_col: str)
 
 
 def nb_predict(docs: DataFrame, id_col: str, weights: DataFrame, model: DataFrame,
-               priors: DataFrame, label_col: str) -> DataFrame:
+               priors: DataFrame, label_col: str, broadcast_model: bool = False) -> DataFrame:
     """(id, *other docs columns, prediction): the best class per document.
 
     ``label_col`` holds class indices (doubles), so the lowest index is the
     tie-break. A document without features gets the class of the largest prior.
     """
-    scores = nb_scores(weights, id_col, model, label_col)
+    scores = nb_scores(weights, id_col, model, label_col, broadcast_model)
     best = (scores.groupBy(id_col)
                   .agg(F.max_by("cls", F.struct(F.col("score"), -F.col("cls"))).alias("prediction")))
     default = (priors.select(F.max_by(label_col, F.struct(F.col("pi"), -F.col(label_col))))

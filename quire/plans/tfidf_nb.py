@@ -100,7 +100,11 @@ def build(documents: DataFrame, label_col: str, id_col: str = "doc_id",
 
     test_docs = docs.filter(~F.col("is_train")) if evaluate_split else docs
     test_w = weights.filter(~F.col("is_train")) if evaluate_split else weights
+    # size check before broadcasting the fitted model: classes x num_features
+    # rows (the priors table is tiny and already kept, so counting it is cheap)
+    n_classes = priors.count() if keep else None
+    small = n_classes is not None and n_classes * num_features <= bayes.MAX_BROADCAST_MODEL_ROWS
     pred = bayes.nb_predict(test_docs.select(id_col, "label"), id_col, test_w, model, priors,
-                            "label_idx")
+                            "label_idx", broadcast_model=small)
     pred = labels.index_to_label(pred, index, "prediction", "predicted")
     return NBFlow(docs, tf, index, idf, weights, priors, theta, pred)
