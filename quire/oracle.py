@@ -253,6 +253,12 @@ def oracle_sql() -> dict[str, str]:
     sql["sink_sentences"] = f"SELECT sentence FROM ({sql['sentences']})"
     sql["sink_predictions"] = sql["submission"]
     sql["distinct_sentences"] = f"SELECT DISTINCT sentence FROM ({sql['sentences']})"
+    union = "(SELECT text FROM documents UNION ALL SELECT text FROM conversations)"
+    sql["all_text_sentences"] = (
+        "SELECT DISTINCT trim(sentence) AS sentence FROM ("
+        " SELECT unnest(string_split(regexp_replace("
+        f"{sent_src}, '([.!?]) ', '\\1' || chr(10), 'g'), chr(10))) AS sentence FROM {union})"
+        " WHERE length(trim(sentence)) > 0")
     return sql
 
 

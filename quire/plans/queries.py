@@ -65,6 +65,18 @@ def distinct_sentences(spark, sf):
     return corpus.distinct_sentences(corpus.sentences(_docs(spark, sf), "doc_id"))
 
 
+def all_text_sentences(spark, sf):
+    """Distinct sentences over several text collections (documents and
+    conversation turns), as for the word-vector training text."""
+    docs = read_table(spark, sf, "documents").select(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text")
+    conv = read_table(spark, sf, "conversations").select(
+        F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit(":"),
+                 F.col("turn").cast("string")).alias("id"), "text")
+    both = spread(docs.unionByName(conv), "id")
+    return corpus.distinct_sentences(corpus.sentences(both, "id"))
+
+
 def tokens(spark, sf):
     t = corpus.tokens(_docs(spark, sf))
     return t.select("doc_id", F.size("tokens").alias("n_tokens"),
@@ -294,6 +306,7 @@ QUERIES = {
     "bad_ocr": bad_ocr,
     "sentences": sentences,
     "distinct_sentences": distinct_sentences,
+    "all_text_sentences": all_text_sentences,
     "tokens": tokens,
     "lemma_tokens": lemma_tokens,
     "lemmatize_dict": lemmatize_dict,

@@ -40,7 +40,7 @@ def test_every_query_is_registered_with_a_twin_or_is_ml():
     "tfidf", "label_index", "nb_priors", "nb_theta", "nb_predict", "weighted_f1",
     "merge_labels", "entities_with_text", "last_per_key", "submission", "w2v_vocab",
     "mean_vector", "corpus_stats", "preview_top5", "src_csv_corpus", "sink_parquet",
-    "sink_sentences", "sink_predictions",
+    "sink_sentences", "sink_predictions", "all_text_sentences",
 ])
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF001)
