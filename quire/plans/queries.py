@@ -265,21 +265,21 @@ MERGED_SCHEMA = ("ISIN string, ISSUER_NAME string, ZCP_FL string, MIN_TRAD_AMT d
 
 def src_csv_corpus(spark, sf):
     """Labelled corpus -> CSV (quoted, doubled quotes) -> CSV corpus reader."""
-    path = scratch_path(spark, "roundtrip/labeled_csv", unique=True)
+    path = scratch_path(spark, "roundtrip/labeled_csv")
     sinks.write_labeled_csv(merge_labels(spark, sf), path)
     return sources.read_csv_corpus(spark, path, MERGED_SCHEMA)
 
 
 def sink_parquet(spark, sf):
     """Lemma corpus -> parquet (overwrite) -> parquet reader."""
-    path = scratch_path(spark, "roundtrip/lemma_parquet", unique=True)
+    path = scratch_path(spark, "roundtrip/lemma_parquet")
     sinks.write_parquet(lemma_corpus(spark, sf), path)
     return spark.read.parquet(path)
 
 
 def sink_sentences(spark, sf):
     """Sentences -> text file -> line reader."""
-    path = scratch_path(spark, "roundtrip/sentences", unique=True)
+    path = scratch_path(spark, "roundtrip/sentences")
     sinks.write_sentences(corpus.sentences(_docs(spark, sf), "doc_id"), path)
     return sources.read_text_lines(spark, path).withColumnRenamed("value", "sentence")
 
@@ -287,7 +287,7 @@ def sink_sentences(spark, sf):
 def sink_predictions(spark, sf):
     """Predictions -> quoted headerless CSV parts -> part reader -> last wins ->
     sorted 8-column submission."""
-    path = scratch_path(spark, "roundtrip/predictions", unique=True)
+    path = scratch_path(spark, "roundtrip/predictions")
     conv = read_table(spark, sf, "conversations")
     last = labels.last_per_key(conv.select(F.col("conv_id").cast("string").alias("ISIN"),
                                            F.col("role").alias("predictedCategory"), "turn"),

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,28 +60,28 @@ def get_spark(master: str | None = None, app: str = "quire",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared file system folder and
-    is used as is. Only when it is unset (local tests) a fresh scratch folder
-    is created and registered.
+    On a cluster ``spark.checkpoint.dir`` must name a folder that every machine
+    sees; it is used as is. A scratch folder of this machine is only made for a
+    local master (tests), where driver and executors are one process; any other
+    master without the setting is an error, because executors could not read
+    back each other's files.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(
+                f"spark.checkpoint.dir is not set (master {master}); name a shared folder")
         d = tempfile.mkdtemp(prefix="quire-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
-
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
+    return d
 
-def scratch_path(spark: SparkSession, name: str, unique: bool = False) -> str:
-    """A path under the shared checkpoint folder for a written table."""
-    base = checkpoint_dir(spark).rstrip("/")
-    if unique:
-        import uuid
 
-        name = f"{name}-{uuid.uuid4().hex[:12]}"
-    return f"{base}/{name}"
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path under the shared folder, used by no other call or run."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from quire.operators.corpus import lemma_corpus
-from quire.session import scratch_path
+from quire.session import checkpoint_dir
 
 
 def scoring_stream(spark: SparkSession, source_dir: str, schema: StructType | str,
@@ -32,7 +32,7 @@ def start_scoring(stream: DataFrame, out_dir: str, name: str = "scoring",
     """Write the scores as parquet; checkpoint kept under the shared folder."""
     spark = stream.sparkSession
     w = (stream.writeStream.format("parquet").option("path", out_dir)
-         .option("checkpointLocation", scratch_path(spark, f"streams/{name}"))
+         .option("checkpointLocation", f"{checkpoint_dir(spark)}/streams/{name}")
          .outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
