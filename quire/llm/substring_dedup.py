@@ -117,4 +117,4 @@ def substring_dedup(docs: DataFrame, k: int = K, q: int = Q) -> DataFrame:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(documents(spark, sf_dir)).drop("text")
+    return substring_dedup(documents(spark, sf_dir)).drop("text", "n_spans")
