@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from quire.llm.bpe import op6_byte_bpe
+from quire.llm.mixing import op8_mixing
 from quire.llm.substring_dedup import op1_substring_dedup
 from quire.llm.suffix_dedup import op5_suffix_dedup
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_byte_bpe": op6_byte_bpe,
+    "op8_mixing": op8_mixing,
 }
 
 ORACLES = {
