@@ -24,7 +24,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     with shuffle_cleanup(spark):
-        df.write.parquet(path)
+        df.select("*").write.parquet(path)  # a query of its own: it takes the setting when made
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -46,8 +46,3 @@ def shuffle_cleanup(spark: SparkSession):
 def text_key(text: str | Column = "text") -> Column:
     """Tells rows of one document id with different texts apart."""
     return F.hash(F.col(text) if isinstance(text, str) else text)
-
-
-def dup_safe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The named columns only: others may carry any name, also one used inside an operator."""
-    return df.select(*columns)
