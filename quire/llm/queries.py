@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quire.llm.bpe import op6_byte_bpe
+from quire.llm.language_id import op9_language_id
 from quire.llm.mixing import op8_mixing
 from quire.llm.substring_dedup import op1_substring_dedup
 from quire.llm.suffix_dedup import op5_suffix_dedup
@@ -12,6 +13,7 @@ QUERIES = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_mixing": op8_mixing,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLES = {
