@@ -11,6 +11,10 @@ their q-grams. Equal windows have equal anchors, so
 3. a piece first seen here, whose anchor has other pieces too, may share single windows with
    them: it goes to the next, larger q. At q = k a piece is one window, and nothing is left.
 
+Documents whose whole text an earlier one has are set aside at first: a hash of each text finds
+them, and their spans are one row each. ``key`` tells rows of one id apart; it is 0 where an id
+has one text only, which is the rule.
+
 Every step is a shuffle with partial aggregation on identifiers, so a passage that a third of
 all documents share costs one row for each task and distinct piece; text moves only to meet
 the ranges of its own document.
@@ -54,13 +58,41 @@ class Spec:
                 np.searchsorted(first, starts))
 
 
+#: More windows than any text has: a span to the end of the text.
+WHOLE = 1 << 30
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, body): body is the text as bytes; rows without an id or text have no part
-    in matches."""
-    return (docs.select("doc_id", text_key().alias("key"), F.col("text").cast("binary").alias("body"))
+    """(doc_id, text_key, body): body is the text as bytes; rows without an id or text have no
+    part in matches."""
+    return (docs.select("doc_id", text_key().alias("text_key"), F.col("text").cast("binary").alias("body"))
             .filter("doc_id is not null and body is not null"))
 
 
+def at_key(body: DataFrame, rows: DataFrame, how: str = "inner") -> DataFrame:
+    """``body`` joined with rows on (doc_id, key)."""
+    rows = rows.withColumnRenamed("doc_id", "_id")
+    same = (F.col("doc_id") == F.col("_id")) & ((F.col("key") == 0) | (F.col("key") == F.col("text_key")))
+    return body.join(rows, same, how).drop("_id")
+
+
+def texts_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, many) of the documents that no earlier one equals, and whole spans of the
+    others; ``many`` says that their id has several texts."""
+    rows = docs.filter("doc_id is not null and text is not null").select(
+        "doc_id", text_key().alias("key"), F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2"))
+    rows = written(rows, "texts")
+    many = rows.groupBy("doc_id").agg((F.min("h1") < F.max("h1")).alias("many"))
+    first = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"))
+    rows = (rows.distinct().join(first, ["h1", "h2"]).join(many, "doc_id")
+            .withColumn("key", F.when(F.col("many"), F.col("key")).otherwise(0)))
+    rows = written(rows.select("doc_id", "key", "many", "first"), "firsts")
+    copies = rows.filter("doc_id > first").select(
+        "doc_id", "key", F.lit(0).alias("at"), F.lit(WHOLE).alias("count"), F.col("first").alias("source_id"),
+        F.col("key").alias("source_key"), F.lit(0).alias("source_at"))
+    return rows.filter("doc_id = first").select("doc_id", "many").distinct(), copies
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
         yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
@@ -133,42 +165,40 @@ def lists(rows: DataFrame, *columns: str) -> DataFrame:
 
 
 def repeated_pieces(docs: DataFrame, spec: Spec) -> DataFrame:
-    """(doc_id, key, at, count, source_id, source_key, source_at): runs of ``count`` windows from token ``at`` on that a
-    document with a smaller id has too, and one place there; together they are all such windows."""
+    """(doc_id, key, at, count, source_id, source_key, source_at): runs of ``count`` windows from
+    token ``at`` on that a document with a smaller id has too, and one place there; together they
+    are all such windows."""
     body = keyed(docs)
+    firsts, copies = texts_of(docs)
     anchors = body.select("doc_id", "body").mapInArrow(_anchors(spec), "anchor long, doc_id long")
     shared = (anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
               .filter("lo < hi").select("anchor"))
-    known = written(lists(anchors.join(shared, "anchor"), "anchor"), "anchors")
+    known = written(lists(anchors.join(shared, "anchor"), "anchor").join(firsts, "doc_id"), "anchors")
     schema = "anchor long, piece long, doc_id long, key int, at int, count int"
-    todo = body.join(known, "doc_id").select("doc_id", "key", "body", "anchor")
-    found = []
+    todo = body.join(known, "doc_id").select("doc_id", F.expr("if(many, text_key, 0)").alias("key"), "body", "anchor")
+    found = [copies]
     for level in range(len(spec.sizes)):
         pieces = written(todo.mapInArrow(_pieces(spec, level), schema), f"pieces{level}")
         place = F.struct("doc_id", "key", "at")
         first = pieces.groupBy("anchor", "piece").agg(F.min(place).alias("first"), F.max("doc_id").alias("hi"))
         last_level = spec.sizes[level] == spec.k
         if last_level:
-            first = first.filter("first.doc_id < hi")
+            first = first.filter("first.doc_id < hi").drop("hi")
         else:
             spread = (first.groupBy("anchor").agg(F.min("first.doc_id").alias("a"), F.max("first.doc_id").alias("b"))
-                      .select("anchor", F.col("a").alias("_lo"), F.col("b").alias("_hi")))
-            first = (first.join(spread, "anchor").withColumn("open", F.expr("_lo < _hi"))
-                     .filter("open or first.doc_id < hi").drop("_lo", "_hi"))
-        judged = pieces.join(first.drop("hi"), ["anchor", "piece"])
+                      .select("anchor", F.expr("a < b").alias("open")))
+            first = first.join(spread, "anchor").filter("open or first.doc_id < hi").drop("hi")
+        judged = pieces.join(first, ["anchor", "piece"])
         repeated = F.col("first.doc_id") < F.col("doc_id")
-        if last_level:
-            out = judged.filter(repeated)
-        else:
-            out = judged.filter(repeated | F.col("open"))
-        out = written(out.select("doc_id", "key", "at", "count", F.when(repeated, F.col("first")).alias("first")),
+        judged = judged.filter(repeated if last_level else repeated | F.col("open"))
+        out = written(judged.select("doc_id", "key", "at", "count", F.when(repeated, F.col("first")).alias("first")),
                       f"judged{level}")
         found.append(out.filter("first is not null")
                      .select("doc_id", "key", "at", "count", F.col("first.doc_id").alias("source_id"),
                              F.col("first.key").alias("source_key"), F.col("first.at").alias("source_at")))
         if not last_level:
             ranges = lists(out.filter("first is null"), "at", "count")
-            todo = body.join(ranges, ["doc_id", "key"]).select("doc_id", "key", "body", "at", "count")
+            todo = at_key(body, ranges).select("doc_id", "key", "body", "at", "count")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -177,7 +207,7 @@ def repeated_pieces(docs: DataFrame, spec: Spec) -> DataFrame:
 
 def covered(at: list[int], count: list[int], k: int, n_tokens: int) -> list[tuple[int, int]]:
     """Maximal [begin, end) of tokens under runs of windows, ascending."""
-    if not at:
+    if not at or n_tokens < k:
         return []
     low = np.array(at, dtype=np.int64)
     high = low + np.array(count, dtype=np.int64) + (k - 1)

@@ -76,8 +76,7 @@ def verified(docs: DataFrame, spans: DataFrame, k: int = K) -> DataFrame:
     there = named.select(F.col("source_id").alias("doc_id"), F.col("source_key").alias("key"),
                          F.col("source_at").alias("at"), "count", "span")
     places = repeats.lists(here.unionByName(there), "at", "count", "span")
-    read = (repeats.keyed(docs).dropDuplicates(["doc_id", "key"]).join(places, ["doc_id", "key"])
-            .select("body", "at", "count", "span").mapInArrow(_digests(k), "span string, digest binary"))
+    read = (repeats.at_key(repeats.keyed(docs), places).select("body", "at", "count", "span").mapInArrow(_digests(k), "span string, digest binary"))
     same = read.groupBy("span").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a = b")
     return named.join(same.select("span"), "span", "left_semi").drop("span")
 
@@ -110,8 +109,8 @@ def substring_dedup(docs: DataFrame, k: int = K, q: int = Q) -> DataFrame:
     joined by one space."""
     spans = verified(docs, repeated_spans(docs, k, q), k)
     places = repeats.lists(spans, "at", "count")
-    body = docs.select("doc_id", text_key().alias("key"), F.col("text").cast("binary").alias("body"))
-    return (body.join(places, ["doc_id", "key"], "left").select("doc_id", "body", "at", "count")
+    body = docs.select("doc_id", text_key().alias("text_key"), F.col("text").cast("binary").alias("body"))
+    return (repeats.at_key(body, places, "left").select("doc_id", "body", "at", "count")
             .mapInArrow(_cut(k), "doc_id long, n_words long, n_removed long, n_spans long, text string, "
                                  "kept_sha256 string"))
 
