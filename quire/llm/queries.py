@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from quire.llm.bpe import op6_byte_bpe
+from quire.llm.fingerprints import op3_fingerprints
 from quire.llm.language_id import op9_language_id
 from quire.llm.mixing import op8_mixing
+from quire.llm.near_dedup import op10_near_dedup
 from quire.llm.substring_dedup import op1_substring_dedup
 from quire.llm.suffix_dedup import op5_suffix_dedup
+from quire.llm.topk_search import op4_topk_search
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_fingerprints": op3_fingerprints,
+    "op4_topk_search": op4_topk_search,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLES = {
@@ -29,6 +35,14 @@ k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
        sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN k ON k.doc_id = w.doc_id""",
+    "op4_topk_search": """
+WITH v AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0),
+d AS (SELECT q.vec_id AS query_id, v.vec_id AS neighbour_id,
+             list_sum(list_transform(range(1, 65), lambda i:
+                 CASE WHEN (coalesce(q.embedding[i], 0) > 0) <> (coalesce(v.embedding[i], 0) > 0) THEN 1 ELSE 0 END)) AS distance
+      FROM v AS q, v WHERE q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS rank FROM d)
+SELECT query_id, rank, neighbour_id, distance::BIGINT AS distance FROM r WHERE rank <= 10""",
     "op5_suffix_dedup": r"""
 WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx, octet_length(encode(coalesce(text, ''))) AS n
            FROM documents),
