@@ -28,6 +28,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Removes the files of a ``written`` table that nothing will read again. What was made of it
+    must have been written, too: a lost executor's part could not be computed anew."""
+    spark = table.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def shuffle_cleanup(spark: SparkSession):
     """Queries run inside remove their shuffle files when they end, not when the driver next

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import grams
-from quire.llm.common import text_key, written
+from quire.llm.common import discard, text_key, written
 
 #: Bytes of text that are turned into arrays at once (a longer document alone).
 BLOCK_BYTES = 1 << 20
@@ -76,6 +76,12 @@ def at_key(body: DataFrame, rows: DataFrame, how: str = "inner") -> DataFrame:
     return body.join(rows, same, how).drop("_id")
 
 
+def unique(rows: DataFrame) -> DataFrame:
+    """Rows with one row for each join key: their hash partitions are even, whatever the other
+    side's keys are, so they are built into hash tables and the other side needs no sort."""
+    return rows.hint("shuffle_hash")
+
+
 def texts_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key, many) of the documents that no earlier one equals, and whole spans of the
     others; ``many`` says that their id has several texts."""
@@ -103,16 +109,31 @@ def batch_of(names: str, *columns) -> pa.RecordBatch:
 
 
 def _anchors(spec: Spec) -> Callable:
+    """From (doc_id, body), for each document the anchors that it shares with another one of its
+    block, and those to be looked for elsewhere: all others, and of the shared ones one mention
+    for the whole block. So a passage that a third of all documents have is shuffled once for
+    each block, not for each document."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in grams.blocks(rows_of(batches), lambda r: len(r[1]), BLOCK_BYTES):
             (tokens,), starts = spec.tokens([r[1] for r in part], 1)
             w = grams.Windows(tokens, starts, spec.k, spec.sizes[0])
-            doc = np.array([r[0] for r in part], dtype=np.int64)[w.documents(w.at)]
-            order = np.lexsort((w.anchor, doc))
+            ids, number = np.unique(np.array([r[0] for r in part], dtype=np.int64), return_inverse=True)
+            doc = number[w.documents(w.at)]
+            order = np.lexsort((doc, w.anchor))
             anchor, doc = w.anchor[order], doc[order]
             new = np.ones(len(doc), dtype=bool)
             new[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
-            yield batch_of("anchor doc_id", anchor[new].view(np.int64), doc[new])
+            anchor, doc = anchor[new].view(np.int64), doc[new]
+            head = np.ones(len(doc), dtype=bool)
+            head[1:] = anchor[1:] != anchor[:-1]
+            alone = head & np.append(head[1:], True)
+            rows = {}
+            for name, mask in (("sought", head), ("shared", ~alone)):
+                order = np.argsort(doc[mask], kind="stable")
+                cuts = np.searchsorted(doc[mask][order], np.arange(len(ids) + 1))
+                rows[name] = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(anchor[mask][order]))
+            yield batch_of("doc_id sought shared", ids, rows["sought"], rows["shared"])
 
     return run
 
@@ -170,15 +191,22 @@ def repeated_pieces(docs: DataFrame, spec: Spec) -> DataFrame:
     are all such windows."""
     body = keyed(docs)
     firsts, copies = texts_of(docs)
-    anchors = body.select("doc_id", "body").mapInArrow(_anchors(spec), "anchor long, doc_id long")
-    shared = (anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-              .filter("lo < hi").select("anchor"))
-    known = written(lists(anchors.join(shared, "anchor"), "anchor").join(firsts, "doc_id"), "anchors")
+    anchors = written(body.select("doc_id", "body").mapInArrow(
+        _anchors(spec), "doc_id long, sought array<long>, shared array<long>"), "anchors")
+    sought = anchors.select("doc_id", F.explode("sought").alias("anchor")).repartition("anchor")
+    twice = (sought.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+             .filter("lo < hi").select("anchor"))
+    found = sought.join(unique(twice), "anchor").select("doc_id", "anchor")
+    found = found.union(anchors.select("doc_id", F.explode("shared")))
+    known = written(lists(found, "anchor").join(firsts, "doc_id"), "known")
+    discard(anchors)
     schema = "anchor long, piece long, doc_id long, key int, at int, count int"
     todo = body.join(known, "doc_id").select("doc_id", F.expr("if(many, text_key, 0)").alias("key"), "body", "anchor")
-    found = [copies]
+    spans = [copies]
     for level in range(len(spec.sizes)):
         pieces = written(todo.mapInArrow(_pieces(spec, level), schema), f"pieces{level}")
+        if not level:
+            discard(known)
         place = F.struct("doc_id", "key", "at")
         first = pieces.groupBy("anchor", "piece").agg(F.min(place).alias("first"), F.max("doc_id").alias("hi"))
         last_level = spec.sizes[level] == spec.k
@@ -187,20 +215,21 @@ def repeated_pieces(docs: DataFrame, spec: Spec) -> DataFrame:
         else:
             spread = (first.groupBy("anchor").agg(F.min("first.doc_id").alias("a"), F.max("first.doc_id").alias("b"))
                       .select("anchor", F.expr("a < b").alias("open")))
-            first = first.join(spread, "anchor").filter("open or first.doc_id < hi").drop("hi")
-        judged = pieces.join(first, ["anchor", "piece"])
+            first = first.join(unique(spread), "anchor").filter("open or first.doc_id < hi").drop("hi")
+        judged = pieces.join(unique(first), ["anchor", "piece"])
         repeated = F.col("first.doc_id") < F.col("doc_id")
         judged = judged.filter(repeated if last_level else repeated | F.col("open"))
         out = written(judged.select("doc_id", "key", "at", "count", F.when(repeated, F.col("first")).alias("first")),
                       f"judged{level}")
-        found.append(out.filter("first is not null")
+        discard(pieces)
+        spans.append(out.filter("first is not null")
                      .select("doc_id", "key", "at", "count", F.col("first.doc_id").alias("source_id"),
                              F.col("first.key").alias("source_key"), F.col("first.at").alias("source_at")))
         if not last_level:
             ranges = lists(out.filter("first is null"), "at", "count")
             todo = at_key(body, ranges).select("doc_id", "key", "body", "at", "count")
-    out = found[0]
-    for more in found[1:]:
+    out = spans[0]
+    for more in spans[1:]:
         out = out.unionByName(more)
     return out
 
