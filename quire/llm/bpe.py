@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import documents
+from quire.llm.common import documents, slices
 
 #: Pieces up to so many characters are remembered with their tokens,
 PIECE_CHARS = 32
@@ -250,7 +250,7 @@ def encode(docs: DataFrame, path: str, pattern: str, columns: tuple[str, ...] =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, split = ranks.value, regex.compile(pattern)
         pieces = kept_by_worker(("pieces", zlib.crc32(data), len(data)), lambda: Pieces(Transducer(read_ranks(data))))
-        for batch in batches:
+        for batch in slices(batches):
             ids = [b"".join(map(pieces.__getitem__, split.findall(t.as_py() or ""))) for t in batch.column(len(columns))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.binary())], [*columns, "ids"])
 
@@ -269,7 +269,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bytes_of = {i: b for b, i in read_ranks(ranks.value).items()}
-        for batch in batches:
+        for batch in slices(batches):
             data, texts = [], []
             for packed in batch.column(names.index("ids")):
                 ids = np.frombuffer(packed.as_py() or b"", dtype="<u4")

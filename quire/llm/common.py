@@ -11,7 +11,6 @@ from quire.session import read_table, scratch_path
 
 #: Words are runs of characters other than 0x20 and 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,8 +22,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     a lost executor takes nothing of it along. Its shuffle files go when it is written."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    with shuffle_cleanup(spark):
-        df.select("*").write.parquet(path)  # a query of its own: it takes the setting when made
+    with settings(spark):
+        df.select("*").write.parquet(path)  # a query of its own: it takes the settings when made
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -37,19 +36,31 @@ def discard(table: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: For queries that write a table: their shuffle files go when they end, not when the driver next
+#: happens to collect garbage; and Python gets whole texts in small batches.
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
+
+
 @contextmanager
-def shuffle_cleanup(spark: SparkSession):
-    """Queries run inside remove their shuffle files when they end, not when the driver next
-    happens to collect garbage."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def settings(spark: SparkSession):
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
     try:
+        for k, v in SETTINGS.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def slices(batches, rows: int = 256):
+    """Record batches of at most so many rows."""
+    for batch in batches:
+        for i in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(i, rows)
 
 
 def text_key(text: str | Column = "text") -> Column:

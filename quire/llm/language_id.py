@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import grams
-from quire.llm.common import documents
+from quire.llm.common import documents, slices
 
 #: Buckets of hashed n-grams, and the length of their embeddings.
 BUCKETS = 1 << 14
@@ -41,7 +41,7 @@ SEED = 3
 REJECTED = 0.002
 #: No document with a higher score is rejected.
 SURE = 0.5
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 UNKNOWN = "und"
 
 #: Bytes that separate words: all ASCII but letters. ASCII capitals become small letters.
@@ -139,7 +139,7 @@ def calibrate(model: Model, logits: np.ndarray, labels: list[str]) -> None:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for unit, lang, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             _, found = buckets([body])
@@ -188,7 +188,7 @@ def predict(docs: DataFrame, model: Model | None, columns: tuple[str, ...] = ("d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for batch in batches:
+        for batch in slices(batches):
             bodies = batch.column(len(columns)).to_pylist()
             lang, score = [UNKNOWN] * len(bodies), np.zeros(len(bodies))
             have = [i for i, b in enumerate(bodies) if b is not None] if model else []

@@ -31,8 +31,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import grams
-from quire.llm.common import documents, written
+from quire.llm.common import documents, slices, written
 from quire.llm.components import components
+from quire.llm.repeats import rows_of
 
 #: Words of a shingle; links have 100 * intersection >= PERCENT * union.
 SHINGLE = 3
@@ -50,7 +51,7 @@ BASE, RATE, LAST = 1.005, 20.0, 65_534
 SMALL = 6
 #: Estimated similarity below which a pair is dropped: 6 standard errors under the threshold.
 ESTIMATE = PERCENT / 100 - 6 * (0.85 * 0.15 / REGISTERS) ** 0.5
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 _RNG = np.random.default_rng(99)
 _XOR = _RNG.integers(0, 1 << 63, REGISTERS, dtype=np.uint64)
@@ -93,23 +94,22 @@ def registers(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-        for part in grams.blocks(((d, b or b"") for d, b in rows), lambda r: len(r[1]), BLOCK_BYTES):
-            docs, ids = shingles([b for _, b in part])
-            count = np.bincount(docs, minlength=len(part))
-            have = np.flatnonzero(count)
-            d1, d2 = np.zeros(len(part), np.uint64), np.zeros(len(part), np.uint64)
-            sketch = [b""] * len(part)
-            if len(have):
-                starts = np.cumsum(count[have]) - count[have]
-                d1[have] = np.add.reduceat(grams.mix(ids ^ np.uint64(0x5DEECE66D)), starts)
-                d2[have] = np.bitwise_xor.reduceat(grams.mix(ids * np.uint64(0x2545F4914F6CDD1D)), starts)
-                for i, row in zip(have, registers(ids, starts), strict=True):
-                    sketch[i] = row.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in part], pa.int64()), pa.array(count.astype(np.int64)), pa.array(d1.view(np.int64)),
-                 pa.array(d2.view(np.int64)), pa.array(sketch, pa.binary())], ["doc_id", "n_shingles", "d1", "d2", "sketch"])
+    rows = ((d, b or b"") for d, b in rows_of(batches))
+    for part in grams.blocks(rows, lambda r: len(r[1]), BLOCK_BYTES):
+        docs, ids = shingles([b for _, b in part])
+        count = np.bincount(docs, minlength=len(part))
+        have = np.flatnonzero(count)
+        d1, d2 = np.zeros(len(part), np.uint64), np.zeros(len(part), np.uint64)
+        sketch = [b""] * len(part)
+        if len(have):
+            starts = np.cumsum(count[have]) - count[have]
+            d1[have] = np.add.reduceat(grams.mix(ids ^ np.uint64(0x5DEECE66D)), starts)
+            d2[have] = np.bitwise_xor.reduceat(grams.mix(ids * np.uint64(0x2545F4914F6CDD1D)), starts)
+            for i, row in zip(have, registers(ids, starts), strict=True):
+                sketch[i] = row.tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([d for d, _ in part], pa.int64()), pa.array(count.astype(np.int64)), pa.array(d1.view(np.int64)),
+             pa.array(d2.view(np.int64)), pa.array(sketch, pa.binary())], ["doc_id", "n_shingles", "d1", "d2", "sketch"])
 
 
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +147,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         if not batch.num_rows:
             continue
         a, b, sa, sb, na, nb = (batch.column(i) for i in range(6))
@@ -194,19 +194,17 @@ def candidates(sets: DataFrame) -> DataFrame:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-        for part in grams.blocks(rows, lambda r: len(r[1]), BLOCK_BYTES):
-            docs, ids = shingles([b for _, b in part])
-            bounds = np.searchsorted(docs, np.arange(len(part) + 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in part], pa.int64()),
-                 pa.array([ids[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())],
-                ["doc_id", "ids"])
+    for part in grams.blocks(rows_of(batches), lambda r: len(r[1]), BLOCK_BYTES):
+        docs, ids = shingles([b for _, b in part])
+        bounds = np.searchsorted(docs, np.arange(len(part) + 1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([d for d, _ in part], pa.int64()),
+             pa.array([ids[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())],
+            ["doc_id", "ids"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
         keep = []
         for i in range(len(a)):

@@ -9,6 +9,7 @@ from quire.llm.mixing import op8_mixing
 from quire.llm.near_dedup import op10_near_dedup
 from quire.llm.substring_dedup import op1_substring_dedup
 from quire.llm.suffix_dedup import op5_suffix_dedup
+from quire.llm.surrogates import op7_pii_surrogates
 from quire.llm.topk_search import op4_topk_search
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_topk_search": op4_topk_search,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_pii_surrogates": op7_pii_surrogates,
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_near_dedup": op10_near_dedup,

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm import repeats
-from quire.llm.common import documents, text_key, written
+from quire.llm.common import documents, slices, text_key, written
 
 #: Words of a window.
 K = 13
@@ -56,7 +56,7 @@ def repeated_spans(docs: DataFrame, k: int = K, q: int = Q) -> DataFrame:
 
 def _digests(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, digests = [], []
             for body, at, count, span in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = body.split()
@@ -83,7 +83,7 @@ def verified(docs: DataFrame, spans: DataFrame, k: int = K) -> DataFrame:
 
 def _cut(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, body, at, count in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = (body or b"").split()
@@ -116,4 +116,4 @@ def substring_dedup(docs: DataFrame, k: int = K, q: int = Q) -> DataFrame:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(documents(spark, sf_dir)).drop("text", "n_spans")
+    return written(substring_dedup(documents(spark, sf_dir)).drop("text", "n_spans"), "op1")
