@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from quire.llm.bpe import op6_byte_bpe
 from quire.llm.fingerprints import op3_fingerprints
 from quire.llm.language_id import op9_language_id
+from quire.llm.line_dedup import op2_line_dedup
 from quire.llm.mixing import op8_mixing
 from quire.llm.near_dedup import op10_near_dedup
 from quire.llm.substring_dedup import op1_substring_dedup
@@ -14,6 +16,7 @@ from quire.llm.topk_search import op4_topk_search
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_line_dedup": op2_line_dedup,
     "op3_fingerprints": op3_fingerprints,
     "op4_topk_search": op4_topk_search,
     "op5_suffix_dedup": op5_suffix_dedup,
@@ -22,6 +25,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_near_dedup": op10_near_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
@@ -37,6 +41,23 @@ k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
        sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN k ON k.doc_id = w.doc_id""",
+    "op2_line_dedup": r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                  unnest(range(0, len(string_split(text, chr(10))))) AS p FROM documents WHERE text IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1 AS i FROM l
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+w AS (SELECT doc_id, i, line || chr(10) || lead(line, 1) OVER o || chr(10) || lead(line, 2) OVER o AS s FROM n
+      WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM w WHERE s IS NOT NULL),
+c AS (SELECT DISTINCT doc_id, i + unnest(range(0, 3)) AS i FROM r WHERE k > 1),
+g AS (SELECT n.doc_id, n.p FROM n JOIN c USING (doc_id, i)),
+m AS (SELECT n.doc_id, n.i, lag(n.i) OVER (PARTITION BY n.doc_id ORDER BY n.i) AS z FROM n JOIN c USING (doc_id, i)),
+k AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY p) AS t FROM l ANTI JOIN g USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, (SELECT count(*) FROM n WHERE n.doc_id = d.doc_id) AS n_lines,
+       (SELECT count(*) FROM g WHERE g.doc_id = d.doc_id) AS n_removed,
+       (SELECT count(*) FROM m WHERE m.doc_id = d.doc_id AND (z IS NULL OR m.i > z + 1)) AS n_runs,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM documents AS d LEFT JOIN k ON k.doc_id = d.doc_id""",
     "op4_topk_search": """
 WITH v AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0),
 d AS (SELECT q.vec_id AS query_id, v.vec_id AS neighbour_id,
