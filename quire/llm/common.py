@@ -37,10 +37,14 @@ def discard(table: DataFrame) -> None:
 
 
 #: For queries that write a table: their shuffle files go when they end, not when the driver next
-#: happens to collect garbage; and Python gets whole texts in small batches.
+#: happens to collect garbage; Python gets whole texts in small batches (large buffers stay with
+#: the JVM's allocator, for each thread that ever had one); and nothing is broadcast but where a
+#: size is proven and the code says so, so that plans are the same at every size.
 SETTINGS = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
 }
 
 

@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import grams
-from quire.llm.common import documents, slices, written
+from quire.llm.common import discard, documents, slices, written
 from quire.llm.components import components
-from quire.llm.repeats import rows_of
+from quire.llm.repeats import rows_of, unique
 
 #: Words of a shingle; links have 100 * intersection >= PERCENT * union.
 SHINGLE = 3
@@ -162,9 +162,10 @@ def candidates(sets: DataFrame) -> DataFrame:
     keys = [f"k{i}" for i in range(len(DEPTHS))]
     rows = sets.select("doc_id", "sketch").mapInArrow(_band_keys, "doc_id long, " + ", ".join(f"{k} long" for k in keys))
     shared = rows.groupBy("k0").agg(F.count("*").alias("n0")).filter("n0 > 1")
-    rows = written(rows.join(shared, "k0"), "bands")
+    rows = written(rows.join(unique(shared), "k0"), "bands")
     popular = rows.groupBy("doc_id").agg(F.sum("n0").alias("meets"))
-    rows = written(rows.join(popular, "doc_id"), "popular")
+    banded, rows = rows, written(rows.join(popular, "doc_id"), "popular")
+    discard(banded)
     pairs, upper = [], None
     for i, k in enumerate(keys):
         # the whole bucket is one of the longer run's parts where a shorter run's was large
@@ -172,7 +173,7 @@ def candidates(sets: DataFrame) -> DataFrame:
         buckets = inside.groupBy(k).agg(F.count("*").alias("n"), F.min("doc_id").alias("least"),
                                         F.max(F.struct("meets", (-F.col("doc_id")).alias("minus"))).alias("centre"))
         buckets = buckets.filter("n > 1")
-        star = inside.join(buckets, k)
+        star = inside.join(unique(buckets), k)
         pairs.append(star.select("doc_id", F.col("least").alias("other")))
         pairs.append(star.select("doc_id", (-F.col("centre.minus")).alias("other")))
         few = star.filter(F.col("n") <= SMALL).select(k, "doc_id", "n")
@@ -185,6 +186,7 @@ def candidates(sets: DataFrame) -> DataFrame:
         out = out.union(more)
     out = out.filter("doc_id <> other").select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b"))
     out = written(out.distinct(), "pairs")
+    discard(rows)
     near = (out.join(sets.selectExpr("doc_id as a", "sketch as sa", "n_shingles as na"), "a")
             .join(sets.selectExpr("doc_id as b", "sketch as sb", "n_shingles as nb"), "b")
             .filter(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
@@ -233,8 +235,10 @@ def near_dedup(docs: DataFrame) -> DataFrame:
                    .join(chosen.selectExpr("first as doc_id", "d.d1", "d.d2"), ["doc_id", "d1", "d2"])
                    .dropDuplicates(["doc_id"]).select("doc_id", "d1", "d2", "n_shingles", "sketch"), "sets")
     likely = candidates(sets)
+    keys = written(sets.select("doc_id", "n_shingles"), "keys")
+    discard(sets)
     ends = likely.selectExpr("a as doc_id").union(likely.selectExpr("b as doc_id")).distinct()
-    keys = ends.join(sets.select("doc_id", "n_shingles"), "doc_id")
+    keys = ends.join(keys, "doc_id")
     full = written(body.filter("body is not null").join(ends, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, ids binary")
                    .join(keys.withColumnRenamed("n_shingles", "n"), "doc_id")
                    .filter("length(ids) = 8 * n").dropDuplicates(["doc_id"]).select("doc_id", "ids"), "full")
@@ -245,6 +249,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
             .join(known.selectExpr("node as b", "component as cb"), "b", "left")
             .filter("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"))
     second = confirmed(rest, full)
+    discard(full)
     known = written(components(known.selectExpr("node as a", "component as b").unionByName(second)), "components")
     found = (classes.join(known.selectExpr("node as first", "component"), "first", "left")
              .select("d1", "d2", F.coalesce("component", "first").alias("component")))
