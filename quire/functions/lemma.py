@@ -77,11 +77,13 @@ def suffix_rule(w: Column) -> Column:
     return out.otherwise(w)
 
 
-def _irregular_map() -> Column:
-    kv = []
-    for form, lemma in IRREGULAR_FORMS:
-        kv += [F.lit(form), F.lit(lemma)]
-    return F.create_map(*kv)
+def one_lemma_per_form(dictionary) -> list[tuple[str, str]]:
+    """Lower-cased pairs, one for each form: the first lemma in alphabetical order."""
+    best: dict[str, str] = {}
+    for form, lemma in dictionary:
+        form, lemma = form.lower(), lemma.lower()
+        best[form] = min(lemma, best.get(form, lemma))
+    return sorted(best.items())
 
 
 def lemma_of(token: Column) -> Column:
@@ -89,11 +91,13 @@ def lemma_of(token: Column) -> Column:
     return lemma_of_lower(F.lower(token))
 
 
-def lemma_of_lower(w: Column) -> Column:
+def lemma_of_lower(w: Column, pairs=IRREGULAR_FORMS) -> Column:
     """Lemma of an already lower-cased token."""
-    forms = [f for f, _ in IRREGULAR_FORMS]
+    if not pairs:
+        return suffix_rule(w)
+    table = F.create_map(*(F.lit(x) for pair in pairs for x in pair))
     # the IN list becomes a hash set; the map is only probed on a hit
-    return F.when(w.isin(forms), F.element_at(_irregular_map(), w)).otherwise(suffix_rule(w))
+    return F.when(w.isin([form for form, _ in pairs]), F.element_at(table, w)).otherwise(suffix_rule(w))
 
 
 def keep_lemma(x: Column) -> Column:
@@ -101,7 +105,7 @@ def keep_lemma(x: Column) -> Column:
     return (F.length(x) >= MIN_LEMMA_LENGTH) & x.rlike(LETTERS_ONLY)
 
 
-def lemmas(text) -> Column:
+def lemmas(text, pairs=IRREGULAR_FORMS) -> Column:
     """Array of filtered, lower-cased lemmas of a text (``[]`` for null)."""
     toks = F.coalesce(lemma_tokens_of(text), F.array().cast("array<string>"))
-    return F.filter(F.transform(F.transform(toks, F.lower), lemma_of_lower), keep_lemma)
+    return F.filter(F.transform(F.transform(toks, F.lower), lambda w: lemma_of_lower(w, pairs)), keep_lemma)

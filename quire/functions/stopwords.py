@@ -8,48 +8,40 @@ their own list (one word per line) passes it with ``load_stop_words``.
 from __future__ import annotations
 
 import functools
-import glob
-import os
 import zipfile
+from pathlib import Path
 
-from pyspark.sql import Column
+import pyspark
+from pyspark import SparkContext
+from pyspark.ml.feature import StopWordsRemover
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_LANGUAGES = ("english", "dutch", "german", "french", "spanish", "italian")
-_RESOURCE = "org/apache/spark/ml/feature/stopwords/{}.txt"
 
 
-def _mllib_jar() -> str | None:
-    import pyspark
-
-    home = os.environ.get("SPARK_HOME") or os.path.dirname(pyspark.__file__)
-    jars = sorted(glob.glob(os.path.join(home, "jars", "spark-mllib_*.jar")))
-    return jars[0] if jars else None
+def _bundled(lang: str) -> list[str]:
+    """Spark's own list. Without a session (SQL twins are made without one) it is read from the
+    jar that it is bundled in."""
+    if SparkContext._active_spark_context is not None:
+        return StopWordsRemover.loadDefaultStopWords(lang)
+    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
+    with zipfile.ZipFile(jar) as z:
+        return z.read(f"org/apache/spark/ml/feature/stopwords/{lang}.txt").decode().splitlines()
 
 
 @functools.lru_cache(maxsize=None)
 def default_stop_words(languages: tuple[str, ...] = DEFAULT_LANGUAGES) -> tuple[str, ...]:
     """Sorted, lower-case union of Spark's bundled lists for ``languages``."""
-    words: set[str] = set()
-    jar = _mllib_jar()
-    if jar:
-        with zipfile.ZipFile(jar) as z:
-            for lang in languages:
-                text = z.read(_RESOURCE.format(lang)).decode("utf-8")
-                words.update(w.strip().lower() for w in text.splitlines())
-    else:  # fall back to the JVM loader
-        from pyspark.ml.feature import StopWordsRemover
-
-        for lang in languages:
-            words.update(w.lower() for w in StopWordsRemover.loadDefaultStopWords(lang))
-    words.discard("")
-    return tuple(sorted(words))
+    words = {w.strip().lower() for lang in languages for w in _bundled(lang)}
+    return tuple(sorted(words - {""}))
 
 
-def load_stop_words(path: str) -> tuple[str, ...]:
-    """A stop list file, one word per line; blank lines ignored."""
-    with open(path, encoding="utf-8") as f:
-        return tuple(sorted({w.strip().lower() for w in f if w.strip()}))
+def load_stop_words(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """A stop list file anywhere Spark reads, one word per line; blank lines ignored. A list is a
+    part of the expressions it filters, so the driver holds it."""
+    words = spark.read.text(path).select(F.lower(F.trim("value")).alias("w")).filter("w <> ''").distinct()
+    return tuple(sorted(r.w for r in words.collect()))
 
 
 def remove_stop_words(tokens, stop_words=None) -> Column:

@@ -10,15 +10,17 @@ Spark ML's NaiveBayes. The model tables are bounded by classes x num_features.
 
 Scale: training is two partial aggregations (per class, per class x bucket),
 whose shuffles carry at most partitions x classes x num_features rows whatever
-the corpus size. Scoring joins each (document, bucket) weight with the model's
-rows for that bucket (an equi-join on bucket; the model side is small and AQE
-broadcasts it), then sums per (document, class) with a map-side partial
-aggregate.
+the corpus size. Scoring keeps the model sparse: with theta0_c for buckets that
+class c never saw, a score is pi_c + theta0_c * sum(w) + the sum over seen
+buckets of w * (theta_cb - theta0_c). One model row per bucket holds the last
+differences of all classes, so no row is multiplied by the number of classes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.features import NUM_FEATURES
@@ -56,58 +58,61 @@ def nb_theta(weights: DataFrame, label_col: str, smoothing: float = 1.0,
                         .alias("theta")))
 
 
-def nb_model(priors: DataFrame, theta: DataFrame, label_col: str,
-             num_features: int = NUM_FEATURES) -> DataFrame:
-    """Dense model rows (label, bucket, theta, pi) for all buckets of every class.
+def nb_model(theta: DataFrame, priors: DataFrame, label_col: str) -> DataFrame:
+    """(bucket, gain): one row per bucket that training saw.
 
-    Generated per class with ``explode(sequence(...))`` and filled from the
-    sparse table; classes x num_features rows, a proven bound.
+    ``gain`` has a place for each class, in index order: theta - theta0 where the class saw the
+    bucket, 0 elsewhere. ``label_col`` holds class indices 0..K-1 as doubles.
     """
-    dense = priors.select(label_col, "pi", "theta0",
-                          F.explode(F.sequence(F.lit(0), F.lit(num_features - 1))).alias("bucket"))
-    return (dense.join(theta.select(label_col, "bucket", "theta"), [label_col, "bucket"], "left")
-                 .select(label_col, "bucket", "pi",
-                         F.coalesce("theta", "theta0").alias("theta")))
-
+    k = priors.select(F.count(F.lit(1))).scalar()
+    gains = (theta.join(priors.select(label_col, "theta0"), label_col)
+                  .groupBy("bucket")
+                  .agg(F.map_from_entries(F.collect_list(F.struct(
+                      F.col(label_col).cast("int"), F.col("theta") - F.col("theta0")))).alias("_g")))
+    gains = gains.withColumn("_c", F.sequence(F.lit(0), (k - 1).cast("int")))
+    places = F.transform("_c", lambda c: F.coalesce(F.element_at("_g", c), F.lit(0.0)))
+    return gains.select("bucket", places.alias("gain"))
 
-# a dense model up to this many (class, bucket) rows (~100 MB) may be broadcast
-MAX_BROADCAST_MODEL_ROWS = 4_000_000
 
+def nb_scores(weights: DataFrame, id_col: str, model: DataFrame, priors: DataFrame,
+              label_col: str) -> DataFrame:
+    """(id, scores): for documents with at least one feature of positive weight, an array with the score of
+    each class:
 
-def nb_scores(weights: DataFrame, id_col: str, model: DataFrame, label_col: str,
-              broadcast_model: bool = False) -> DataFrame:
-    """(id, label, score) for documents with at least one weighted feature.
+      pi_c + theta0_c * sum(w) + sum over seen buckets of w * gain_c
 
-    ``broadcast_model`` is set by callers that checked the model's row count
-    (classes x num_features) against ``MAX_BROADCAST_MODEL_ROWS``; otherwise
-    the join is planned on measured sizes by AQE.
+    One row per (document, bucket) meets one row per bucket, whatever the number of classes; the
+    gains are summed as a vector, with a partial aggregate in each task.
     """
-    m = model.select(F.col(label_col).alias("cls"), "bucket", "theta", "pi")
-    if broadcast_model:
-        m = F.broadcast(m)
-    return (weights.select(id_col, "bucket", "w")
-                   .join(m, "bucket")
-                   .groupBy(id_col, "cls")
-                   .agg((F.sum(F.col("w") * F.col("theta")) + F.max("pi")).alias("score")))
+    k = priors.select(F.count(F.lit(1))).scalar()
+    # a weight of 0 (a term that all training documents have) adds nothing to any score
+    joined = weights.filter("w > 0").select(id_col, "bucket", "w").join(model, "bucket", "left")
+    gain = array_to_vector(F.coalesce("gain", F.array_repeat(F.lit(0.0), k.cast("int"))))
+    sums = (joined.select(id_col, "w", gain.alias("gain")).groupBy(id_col)
+                  .agg(Summarizer.sum(F.col("gain"), F.col("w")).alias("gain"), F.sum("w").alias("mass"))
+                  .withColumn("_c", _classes(priors, label_col)))
+    return sums.select(id_col, F.zip_with(vector_to_array("gain"), "_c",
+                                          lambda g, c: c["pi"] + c["theta0"] * F.col("mass") + g).alias("scores"))
+
+
+def _classes(priors: DataFrame, label_col: str) -> Column:
+    """(label_col, pi, theta0) of the classes in index order, as a scalar subquery: the classes of a
+    fitted model are few enough for every task."""
+    return priors.select(F.array_sort(F.collect_list(F.struct(
+        F.col(label_col).alias("idx"), "pi", "theta0")))).scalar()
 
 
 def nb_predict(docs: DataFrame, id_col: str, weights: DataFrame, model: DataFrame,
-               priors: DataFrame, label_col: str, broadcast_model: bool = False) -> DataFrame:
+               priors: DataFrame, label_col: str) -> DataFrame:
     """(id, *other docs columns, prediction): the best class per document.
 
-    ``label_col`` holds class indices (doubles), so the lowest index is the
-    tie-break. A document without features gets the class of the largest prior.
+    ``label_col`` holds class indices (doubles); equal scores go to the lowest index. A document
+    without features gets the class of the largest prior.
     """
-    scores = nb_scores(weights, id_col, model, label_col, broadcast_model)
-    best = (scores.groupBy(id_col)
-                  .agg(F.max_by("cls", F.struct(F.col("score"), -F.col("cls"))).alias("prediction")))
+    scores = nb_scores(weights, id_col, model, priors, label_col)
+    best = scores.select(id_col, (F.array_position("scores", F.array_max("scores")) - 1).cast("double")
+                         .alias("prediction"))
     default = (priors.select(F.max_by(label_col, F.struct(F.col("pi"), -F.col(label_col))))
                      .scalar())
     return (docs.join(best, id_col, "left")
                 .withColumn("prediction", F.coalesce("prediction", default)))
-
-
-def argmax_window(scores: DataFrame, id_col: str) -> DataFrame:
-    """Same arg-max with a window, for callers that keep all columns."""
-    w = Window.partitionBy(id_col).orderBy(F.desc("score"), F.asc("cls"))
-    return scores.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")

@@ -30,12 +30,6 @@ def unlabeled_corpus(df: DataFrame, id_col: str, text_col: str = "text") -> Data
                      T.clean_text(text_col).alias("text"))
 
 
-def flatten_text(df: DataFrame, text_col: str = "text", out_col: str = "text",
-                 strip_quotes: bool = True, blank_lines: bool = False) -> DataFrame:
-    """Replace a raw text column by its one-line ASCII form."""
-    return df.withColumn(out_col, T.ascii_text(text_col, strip_quotes, blank_lines))
-
-
 def ocr_quality(df: DataFrame, id_col: str, text_col: str = "text",
                 threshold: float = T.OCR_BAD_RATIO) -> DataFrame:
     """(id, ratio, is_bad) per document."""
@@ -82,40 +76,34 @@ def lemma_corpus(df: DataFrame, text_col: str = "text", out_col: str = "LEMMAS",
     return df.withColumn(out_col, L.lemmas(src))
 
 
-def lemmatize_with_dictionary(df: DataFrame, id_col: str, dictionary: DataFrame,
-                              text_col: str = "text", out_col: str = "LEMMAS",
-                              flatten: bool = True, broadcast_max_rows: int = 1_000_000
-                              ) -> DataFrame:
-    """Lemmas via a join with a (form, lemma) dictionary table.
+def lemmatize_with_dictionary(df: DataFrame, dictionary, text_col: str = "text",
+                              out_col: str = "LEMMAS", flatten: bool = True) -> DataFrame:
+    """Lemmas by a dictionary of (form, lemma) pairs; forms it lacks fall back to the suffix rules.
+
+    The pairs are a part of the expression: every task probes them row by row, without a
+    shuffle. A form listed more than once has its first lemma in alphabetical order.
+    """
+    src = T.ascii_text(text_col) if flatten else F.col(text_col)
+    return df.withColumn(out_col, L.lemmas(src, L.one_lemma_per_form(dictionary)))
+
+
+def lemmatize_by_join(df: DataFrame, id_col: str, dictionary: DataFrame, text_col: str = "text",
+                      out_col: str = "LEMMAS", flatten: bool = True) -> DataFrame:
+    """The same with a dictionary table too large for an expression.
 
-    Tokens are exploded with their position, looked up in the dictionary
-    (left join; missing forms fall back to the suffix rules), filtered and
-    re-assembled in token order per document. The dictionary is broadcast only
-    when its row count is below ``broadcast_max_rows``; beyond it the join is
-    a shuffle join that AQE may still split for hot forms.
+    The distinct forms of the corpus, not its tokens, meet the dictionary; each document gets
+    the map of its own forms, and its tokens are looked up in place, in their order.
     """
     src = T.ascii_text(text_col) if flatten else F.col(text_col)
-    toks = (df.select(F.col(id_col),
-                      F.posexplode(L.lemma_tokens_of(src)).alias("pos", "tok"))
-              .withColumn("form", F.lower("tok")))
-    d = dictionary.select(F.lower("form").alias("form"), F.col("lemma").alias("dict_lemma"))
-    n = d.count()
-    d = F.broadcast(d) if n <= broadcast_max_rows else d
-    lem = (toks.join(d, "form", "left")
-               .select(id_col, "pos",
-                       F.lower(F.coalesce("dict_lemma", L.suffix_rule(F.col("form")))).alias("lemma"))
-               .filter(L.keep_lemma(F.col("lemma"))))
-    per_doc = (lem.groupBy(id_col)
-                  .agg(F.array_sort(F.collect_list(F.struct("pos", "lemma"))).alias("pl"))
-                  .select(id_col, F.transform("pl", lambda s: s["lemma"]).alias(out_col)))
-    # documents without any kept lemma get []
-    return (df.join(per_doc, id_col, "left")
-              .withColumn(out_col, F.coalesce(F.col(out_col), _empty())))
-
-
-def dictionary_frame(spark) -> "DataFrame":
-    """The built-in irregular forms as a (form, lemma) table."""
-    return spark.createDataFrame(L.IRREGULAR_FORMS, "form string, lemma string")
+    d = (dictionary.select(F.lower("form").alias("form"), F.lower("lemma").alias("lemma"))
+                   .groupBy("form").agg(F.min("lemma").alias("lemma")))
+    toks = df.withColumn("_toks", F.transform(F.coalesce(L.lemma_tokens_of(src), _empty()), F.lower))
+    forms = toks.select(id_col, F.explode(F.array_distinct("_toks")).alias("form"))
+    maps = (forms.join(d, "form").groupBy(id_col)
+                 .agg(F.map_from_entries(F.collect_list(F.struct("form", "lemma"))).alias("_map")))
+    found = toks.join(maps, id_col, "left")
+    lemma = F.transform("_toks", lambda t: F.coalesce(F.element_at("_map", t), L.suffix_rule(t)))
+    return found.withColumn(out_col, F.filter(lemma, L.keep_lemma)).drop("_toks", "_map")
 
 
 def filtered_words(df: DataFrame, in_col: str = "LEMMAS", out_col: str = "words",

@@ -53,16 +53,20 @@ def idf(tf: DataFrame, m: Column, key: str = "bucket") -> DataFrame:
               .withColumn("idf", F.log((m + 1.0) / (F.col("df") + 1.0))))
 
 
+#: An idf table of at most so many rows (about 32 bytes each) is broadcast.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
 def tfidf(tf: DataFrame, idf_df: DataFrame, m: Column, key: str = "bucket",
-          bounded: bool = True) -> DataFrame:
+          rows: int | None = None) -> DataFrame:
     """Weights tf * idf; a feature unseen when fitting gets ln(m + 1).
 
-    ``bounded`` marks an idf table with at most ``num_features`` rows (hashed
-    features), which is broadcast; a plain-term vocabulary grows with the data
-    and is left to the planner (AQE broadcasts it only if it turns out small).
+    ``rows`` is a proven bound on the idf table's rows (the feature space of hashed terms); it is
+    broadcast if that is small. A plain-term vocabulary grows with the data and is left to the
+    planner (AQE broadcasts it only if it turns out small, and splits hot terms otherwise).
     """
     side = idf_df.select(key, "idf")
-    if bounded:
+    if rows is not None and rows <= MAX_BROADCAST_ROWS:
         side = F.broadcast(side)
     unseen = F.log(m + 1.0)
     return (tf.join(side, key, "left")

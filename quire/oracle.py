@@ -14,6 +14,9 @@ from quire.functions import lemma as L
 from quire.functions import text as T
 from quire.functions.features import NUM_FEATURES, SPLIT_SEED, TRAIN_PREFIX
 from quire.functions.stopwords import default_stop_words
+from quire.operators.labels import SUBMISSION_COLUMNS
+from quire.operators.vectors import VECTOR_SIZE
+from quire.plans.queries import DICTIONARY, OCR_QUERY_RATIO
 
 WS = r"[\t\n\x0B\f\r ]"
 
@@ -55,14 +58,14 @@ def suffix_rule(w: str) -> str:
     return "(CASE " + " ".join(parts) + f" ELSE {w} END)"
 
 
-def lemma_of(tok: str) -> str:
+def lemma_of(tok: str, pairs=L.IRREGULAR_FORMS) -> str:
     w = f"lower({tok})"
-    irregular = " ".join(f"WHEN {q(f)} THEN {q(l)}" for f, l in L.IRREGULAR_FORMS)
+    irregular = " ".join(f"WHEN {q(f)} THEN {q(l)}" for f, l in pairs)
     return f"(CASE {w} {irregular} ELSE {suffix_rule(w)} END)"
 
 
-def lemmas(x: str) -> str:
-    mapped = f"list_transform(coalesce({lemma_tokens(x)}, []), lambda t: {lemma_of('t')})"
+def lemmas(x: str, pairs=L.IRREGULAR_FORMS) -> str:
+    mapped = f"list_transform(coalesce({lemma_tokens(x)}, []), lambda t: {lemma_of('t', pairs)})"
     return (f"list_filter({mapped}, lambda x: length(x) >= {L.MIN_LEMMA_LENGTH} "
             f"AND regexp_full_match(x, '\\p{{L}}+'))")
 
@@ -104,16 +107,17 @@ def ocr_ratio(x: str) -> str:
 # Naive Bayes flow as CTEs
 # ---------------------------------------------------------------------------
 
-def nb_ctes(label: str = "lang", n: int = NUM_FEATURES, lam: float = 1.0) -> str:
+def nb_ctes(label: str = "lang", n: int = NUM_FEATURES, lam: float = 1.0, score: str = "NOT is_train") -> str:
+    """The flow; ``score`` says which documents are predicted."""
     words = remove_stop_words(lemmas(ascii_text("text")))
     return f"""
 idx AS (
   SELECT label, n, CAST(row_number() OVER (ORDER BY n DESC, label) - 1 AS DOUBLE) AS idx
-  FROM (SELECT CAST({label} AS VARCHAR) AS label, count(*) AS n FROM documents GROUP BY 1)),
+  FROM (SELECT coalesce(CAST({label} AS VARCHAR), '') AS label, count(*) AS n FROM documents GROUP BY 1)),
 docs AS (
-  SELECT d.doc_id, CAST(d.{label} AS VARCHAR) AS label, i.idx AS label_idx,
+  SELECT d.doc_id, coalesce(CAST(d.{label} AS VARCHAR), '') AS label, i.idx AS label_idx,
          {train_flag('d.doc_id')} AS is_train, d.text
-  FROM documents d LEFT JOIN idx i ON CAST(d.{label} AS VARCHAR) = i.label),
+  FROM documents d LEFT JOIN idx i ON coalesce(CAST(d.{label} AS VARCHAR), '') = i.label),
 feats AS (SELECT doc_id, label_idx, is_train, {bigrams('ws')} AS ngrams
           FROM (SELECT doc_id, label_idx, is_train, {words} AS ws FROM docs)),
 tf AS (
@@ -137,14 +141,14 @@ priors AS (
 theta AS (SELECT s_cb.label_idx, s_cb.bucket, s_cb.s_cb,
                  ln(s_cb.s_cb + {lam}) - ln(s_c.s_c + {n} * {lam}) AS theta
           FROM s_cb JOIN s_c USING (label_idx)),
-test AS (SELECT doc_id, label FROM docs WHERE NOT is_train),
-sumx AS (SELECT doc_id, sum(w) AS sx FROM w WHERE NOT is_train GROUP BY 1),
+test AS (SELECT doc_id, label FROM docs WHERE {score}),
+sumx AS (SELECT doc_id, sum(w) AS sx FROM w WHERE {score} GROUP BY 1),
 base AS (SELECT t.doc_id, p.label_idx AS cls, p.pi + p.theta0 * coalesce(s.sx, 0) AS base
          FROM test t CROSS JOIN priors p LEFT JOIN sumx s ON s.doc_id = t.doc_id),
 overlap AS (SELECT w.doc_id, th.label_idx AS cls, sum(w.w * (th.theta - p.theta0)) AS ov
             FROM w JOIN theta th ON th.bucket = w.bucket
                    JOIN priors p ON p.label_idx = th.label_idx
-            WHERE NOT w.is_train GROUP BY ALL),
+            WHERE {score} GROUP BY ALL),
 scores AS (SELECT b.doc_id, b.cls, b.base + coalesce(o.ov, 0) AS score
            FROM base b LEFT JOIN overlap o ON o.doc_id = b.doc_id AND o.cls = b.cls),
 best AS (SELECT doc_id, cls FROM (
@@ -191,7 +195,7 @@ def oracle_sql() -> dict[str, str]:
         "unlabeled_corpus": f"SELECT CAST(doc_id AS VARCHAR) AS isin, {clean_text('text')} AS text FROM documents",
         "ocr_quality": (f"SELECT doc_id, {r6(ocr_ratio('text'))} AS ratio, "
                         f"coalesce({ocr_ratio('text')} > {T.OCR_BAD_RATIO}, true) AS is_bad FROM documents"),
-        "bad_ocr": f"SELECT doc_id FROM documents WHERE coalesce({ocr_ratio('text')} > {T.OCR_BAD_RATIO}, true)",
+        "bad_ocr": f"SELECT doc_id FROM documents WHERE coalesce({ocr_ratio('text')} > {OCR_QUERY_RATIO}, true)",
         "sentences": (
             "SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, trim(sentence) AS sentence FROM ("
             " SELECT doc_id, generate_subscripts(s, 1) - 1 AS sent_no, unnest(s) AS sentence FROM ("
@@ -247,11 +251,44 @@ def oracle_sql() -> dict[str, str]:
                       "GROUP BY word HAVING count(*) >= 30"),
         "mean_vector": _mean_vector_sql(toks),
     }
-    sql["lemmatize_dict"] = sql["lemma_tokens"]
+    own = lemmas(at, L.one_lemma_per_form(DICTIONARY))
+    sql["lemmatize_dict"] = (f"SELECT doc_id, CAST(len(l) AS INTEGER) AS n_lemmas, {_arr_str('l')} AS lemmas "
+                             f"FROM (SELECT doc_id, {own} AS l FROM documents)")
+    sql["lemmatize_join"] = sql["lemmatize_dict"]
     sql["src_csv_corpus"] = sql["merge_labels"]
     sql["sink_parquet"] = sql["lemma_corpus"]
     sql["sink_sentences"] = f"SELECT sentence FROM ({sql['sentences']})"
-    sql["sink_predictions"] = sql["submission"]
+    last = ("SELECT CAST(conv_id AS VARCHAR) AS isin, CASE WHEN conv_id % 10 = 0 THEN 'corrected' ELSE arg_max(role, turn) END AS label "
+            "FROM conversations GROUP BY conv_id")
+    sql["sink_predictions"] = ("SELECT isin AS ISIN, label AS \"ISSUER.NAME\", '' AS \"GA.NAME\", '' AS \"OPS.CURR\", '' AS \"ZCP.FL\", "
+                               f"'' AS \"ROC\", 0 AS \"MIN.TRAD.AMT\", 0 AS \"MLT.TRAD.AMT\" FROM ({last})")
+    header = ",".join(f'"{c}"' for c in SUBMISSION_COLUMNS)
+    sql["sink_submission"] = (f"SELECT {q(header)} AS value UNION ALL "
+                              f"SELECT '\"' || isin || '\",\"' || label || '\",,,,,0,0' FROM ({last})")
+    merged = sql["src_csv_corpus"]
+    line = "||','||".join(f"coalesce(CAST({c} AS VARCHAR), '')" if c in ("MIN_TRAD_AMT", "MLT_TRAD_AMT") else f"'\"' || replace({c}, '\"', '\"\"') || '\"'"
+                          for c in ("ISIN", "ISSUER_NAME", "ZCP_FL", "MIN_TRAD_AMT", "MLT_TRAD_AMT", "OPS_CURR", "GA_NAME", "ROC", "TEXT"))
+    sql["sink_labeled_csv"] = f"SELECT {line} AS value FROM ({merged})"
+    sql["src_labeled_corpus"] = f"SELECT OPS_CURR AS category, {clean_text('TEXT')} AS text FROM ({merged})"
+    sql["src_unlabeled_corpus"] = f"SELECT CAST(doc_id AS VARCHAR) AS isin, {clean_text(at)} AS text FROM documents"
+    sql["src_label_csv"] = merged
+    sql["src_text_lines"] = f"SELECT {at} AS value FROM documents"
+    sql["src_whole_text"] = sql["src_text_lines"]
+    sql["malformed_rows"] = ("SELECT CASE WHEN o_orderkey % 7 = 0 THEN CAST(o_orderkey AS VARCHAR) "
+                             "WHEN o_orderkey % 11 = 0 THEN o_orderkey || ',' || o_orderstatus || ',more' "
+                             "ELSE 'x' || o_orderkey || ',' || o_orderstatus END AS line FROM orders "
+                             "WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 13 = 0")
+    sql["ml_nb_predict"] = nb + "SELECT doc_id, label AS lang, predicted AS \"predictedCategory\" FROM pred"
+    every = "WITH " + nb_ctes(score="true").strip() + "\n"
+    sql["score_saved_pipeline"] = every + "SELECT doc_id AS \"ISIN\", predicted AS \"predictedCategory\" FROM pred"
+    sql["ml_random_split"] = sql["hash_split"]
+    sql["ml_hashed_tf"] = (f"WITH b AS (SELECT doc_id, list_transform(ngrams, lambda t: {bucket('t')}) AS b FROM {bigram_docs}) "
+                           "SELECT doc_id, CAST(len(list_distinct(b)) AS BIGINT) AS nnz, CAST(len(b) AS DOUBLE) AS total_tf FROM b")
+    vocab = (f"SELECT word FROM (SELECT unnest(coalesce({ws_tokens(clean_text('sentence'))}, [])) AS word "
+             f"FROM (SELECT DISTINCT sentence FROM ({sql['sentences']}))) GROUP BY word HAVING count(*) >= 30")
+    sql["w2v_vectors_check"] = (f"SELECT word, CAST({VECTOR_SIZE} AS BIGINT) AS size, true AS finite FROM ({vocab})")
+    sql["w2v_doc_vectors_check"] = f"SELECT doc_id, CAST({VECTOR_SIZE} AS BIGINT) AS size, true AS finite FROM documents"
+    sql["w2v_rf_check"] = (f"SELECT doc_id, true AS known_class, true AS sums_to_one FROM documents WHERE NOT {train_flag('doc_id')}")
     sql["distinct_sentences"] = f"SELECT DISTINCT sentence FROM ({sql['sentences']})"
     union = "(SELECT text FROM documents UNION ALL SELECT text FROM conversations)"
     sql["all_text_sentences"] = (
@@ -264,13 +301,18 @@ def oracle_sql() -> dict[str, str]:
 
 def _merge_labels_sql(at: str) -> str:
     return f"""
-WITH iss AS (SELECT CAST(c_custkey AS VARCHAR) AS isin, replace(c_name, '"', '') AS issuer_name,
-                    'N' AS zcp_fl, c_acctbal AS min_trad_amt, CAST(c_nationkey AS DOUBLE) AS mlt_trad_amt,
-                    c_mktsegment AS ops_curr FROM customer),
-ga AS (SELECT CAST(doc_id AS VARCHAR) AS isin, replace('Q' || CAST(quality AS VARCHAR), '"', '') AS ga_name FROM labels),
+WITH iss AS (SELECT isin, arg_max(issuer_name, p) AS issuer_name, arg_max(zcp_fl, p) AS zcp_fl, arg_max(min_trad_amt, p) AS min_trad_amt,
+                    arg_max(mlt_trad_amt, p) AS mlt_trad_amt, arg_max(ops_curr, p) AS ops_curr
+             FROM (SELECT CAST(c_custkey AS VARCHAR) AS isin, replace(c_name, '"', '') AS issuer_name, 'N' AS zcp_fl,
+                          CAST(c_acctbal AS DOUBLE) AS min_trad_amt, CAST(c_nationkey AS DOUBLE) AS mlt_trad_amt, c_mktsegment AS ops_curr, 0 AS p FROM customer
+                   UNION ALL
+                   SELECT CAST(s_suppkey AS VARCHAR), replace(s_name, '"', ''), 'N', CAST(s_acctbal AS DOUBLE), CAST(s_nationkey AS DOUBLE), 'SUPPLIER', 1 FROM supplier)
+             GROUP BY isin),
+ga AS (SELECT CAST(doc_id AS VARCHAR) AS isin, CASE WHEN max(toxic) = 1 THEN 'TOXIC' ELSE 'Q' || CAST(max(quality) AS VARCHAR) END AS ga_name
+       FROM labels GROUP BY doc_id),
 roc AS (SELECT CAST(o_custkey AS VARCHAR) AS isin,
                array_to_string(list_sort(list_distinct(list(replace(o_orderpriority, '"', '')))), '|') AS roc
-        FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+        FROM orders GROUP BY 1),
 dm AS (SELECT CAST(c_custkey AS VARCHAR) AS docid, CAST(c_custkey AS VARCHAR) AS isin FROM customer),
 tx AS (SELECT CAST(doc_id AS VARCHAR) AS docid, text FROM documents),
 first_doc AS (SELECT isin, min(docid) AS docid FROM dm WHERE docid IN (SELECT docid FROM tx) GROUP BY isin)
@@ -289,11 +331,12 @@ WITH t AS (SELECT doc_id, coalesce({toks}, []) AS tokens FROM documents),
 vocab AS (SELECT word FROM (SELECT unnest(tokens) AS word FROM t) GROUP BY word HAVING count(*) >= 30),
 wv AS (SELECT v.word, e.embedding AS vector FROM vocab v JOIN embeddings e
        ON e.vec_id = ((('0x' || substr(md5(v.word), 1, 8))::BIGINT) % (SELECT count(*) FROM embeddings))),
-counts AS (SELECT doc_id, n_tokens, word, count(*) AS c FROM
-           (SELECT doc_id, len(tokens) AS n_tokens, unnest(tokens) AS word FROM t) GROUP BY ALL),
-ex AS (SELECT c.doc_id, c.n_tokens, c.c, generate_subscripts(w.vector, 1) - 1 AS dim, unnest(w.vector) AS v
-       FROM counts c JOIN wv w USING (word))
-SELECT doc_id, CAST(n_tokens AS INTEGER) AS n_tokens, CAST(dim AS INTEGER) AS dim,
-       round(sum(c * CAST(v AS DOUBLE)) / n_tokens, 6) AS value
-FROM ex GROUP BY doc_id, n_tokens, dim
+counts AS (SELECT doc_id, word, count(*) AS c FROM (SELECT doc_id, unnest(tokens) AS word FROM t) GROUP BY ALL),
+ex AS (SELECT c.doc_id, c.c, generate_subscripts(w.vector, 1) - 1 AS dim, unnest(w.vector) AS v
+       FROM counts c JOIN wv w USING (word)),
+sums AS (SELECT doc_id, dim, sum(c * CAST(v AS DOUBLE)) AS s FROM ex GROUP BY doc_id, dim),
+dims AS (SELECT unnest(range(0, (SELECT max(len(embedding)) FROM embeddings))) AS dim)
+SELECT t.doc_id, CAST(len(tokens) AS INTEGER) AS n_tokens, CAST(dims.dim AS INTEGER) AS dim,
+       CASE WHEN len(tokens) > 0 THEN round(coalesce(s, 0.0) / len(tokens), 6) ELSE 0.0 END AS value
+FROM t CROSS JOIN dims LEFT JOIN sums ON sums.doc_id = t.doc_id AND sums.dim = dims.dim
 """

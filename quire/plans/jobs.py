@@ -30,9 +30,10 @@ def flatten_input_job(spark: SparkSession, issuers_csv, guarantors_csv, roc_csv,
     iss = sources.read_label_file(spark, issuers_csv, ISSUER_SCHEMA)
     issuers = iss.select(F.col("ISIN").alias("isin"), F.col("`ISSUER.NAME`").alias("issuer_name"),
                          F.col("`ZCP.FL`").alias("zcp_fl"), F.col("`MIN.TRAD.AMT`").alias("min_trad_amt"),
-                         F.col("`MLT.TRAD.AMT`").alias("mlt_trad_amt"), F.col("`OPS.CURR`").alias("ops_curr"))
+                         F.col("`MLT.TRAD.AMT`").alias("mlt_trad_amt"), F.col("`OPS.CURR`").alias("ops_curr"),
+                         "position")
     ga = sources.read_label_file(spark, guarantors_csv, GUARANTOR_SCHEMA).select(
-        F.col("ISIN").alias("isin"), F.col("`GA.NAME`").alias("ga_name"))
+        F.col("ISIN").alias("isin"), F.col("`GA.NAME`").alias("ga_name"), "position")
     roc = sources.read_label_file(spark, roc_csv, ROC_SCHEMA).select(
         F.col("ISIN").alias("isin"), F.col("ROC").alias("roc"))
     dm = sources.read_label_file(spark, docid_csv, DOCID_SCHEMA).select(
@@ -58,9 +59,10 @@ def bad_ocr_job(spark: SparkSession, txt_dirs) -> DataFrame:
     return corpus.bad_ocr(sources.read_whole_texts(spark, txt_dirs), "docid")
 
 
-def lemmatize_job(spark: SparkSession, input_csv, save_as: str, text_col: str = "TEXT") -> DataFrame:
+def lemmatize_job(spark: SparkSession, input_csv, save_as: str, text_col: str = "TEXT",
+                  schema=None) -> DataFrame:
     """Corpus CSV -> corpus + LEMMAS column -> parquet."""
-    lem = corpus.lemma_corpus(sources.read_csv_corpus(spark, input_csv), text_col, "LEMMAS")
+    lem = corpus.lemma_corpus(sources.read_csv_corpus(spark, input_csv, schema), text_col, "LEMMAS")
     sinks.write_parquet(lem, save_as)
     return spark.read.parquet(save_as)
 
@@ -74,10 +76,10 @@ def word2vec_job(spark: SparkSession, input_txt, save_as: str) -> Word2VecModel:
 
 
 def tfidf_nb_job(spark: SparkSession, label_col: str, lemmas_path: str, evaluate: bool = True,
-                 save_as: str | None = None):
+                 save_as: str | None = None, id_col: str = "ISIN"):
     """Train TF-IDF + NB; evaluate on a 30% split or train on all and save."""
     lem = spark.read.parquet(lemmas_path)
-    train, test = ml.random_split(lem, evaluate)
+    train, test = ml.split(lem, id_col, evaluate)
     train = train.persist()
     indexer = ml.fit_label_indexer(lem, label_col)
     model = ml.nb_pipeline(indexer).fit(train)
@@ -89,10 +91,11 @@ def tfidf_nb_job(spark: SparkSession, label_col: str, lemmas_path: str, evaluate
 
 
 def w2v_rf_job(spark: SparkSession, label_col: str, labeled_csv, w2v_path: str,
-               evaluate: bool = True, save_as: str | None = None):
-    """Train word vectors + random forest on a labelled corpus CSV."""
-    lab = sources.read_labeled_corpus(spark, label_col, labeled_csv)
-    train, test = ml.random_split(lab, evaluate)
+               evaluate: bool = True, save_as: str | None = None, schema=None):
+    """Train a random forest on word vectors of a labelled corpus CSV; evaluate on a 30% split
+    (by a hash of the text) or train on all and save."""
+    lab = sources.read_labeled_corpus(spark, label_col, labeled_csv, schema=schema)
+    train, test = ml.split(lab, "text", evaluate)
     train = train.persist()
     indexer = ml.fit_label_indexer(lab, "category")
     model = ml.rf_pipeline(indexer, Word2VecModel.load(w2v_path)).fit(train)
@@ -115,9 +118,10 @@ def pipeline_classifier_job(spark: SparkSession, pipeline_path: str, unlabeled_p
     return head
 
 
-def combine_results_job(spark: SparkSession, results_dir: str, out_path: str) -> DataFrame:
-    """Prediction part files -> last prediction per id -> submission CSV."""
+def combine_results_job(spark: SparkSession, results_dir: str, out_dir: str) -> DataFrame:
+    """Prediction part files -> last prediction per id -> one submission CSV in ``out_dir``, named
+    after the results folder."""
     back = sources.read_predictions(spark, results_dir)
-    sub = labels.submission(back, "isin", "label", order_col="line")
-    sinks.write_submission(sub, out_path)
+    sub = labels.submission(back, "isin", "label", order_col="position")
+    sinks.write_submission(sub, f"{out_dir.rstrip('/')}/{sinks.submission_name(results_dir)}")
     return sub

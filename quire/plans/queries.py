@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.functions.features import train_flag
 from quire.operators import corpus, evaluate, labels, tfidf, vectors
-from quire.plans import tfidf_nb
+from quire.plans import jobs, tfidf_nb
 from quire.session import scratch_path
 from quire.sinks import files as sinks
 from quire.sources import files as sources
@@ -53,8 +53,12 @@ def ocr_quality(spark, sf):
                   .withColumn("ratio", F.round("ratio", R)))
 
 
+#: A share of non-word characters that some documents of the test corpus exceed.
+OCR_QUERY_RATIO = 0.25
+
+
 def bad_ocr(spark, sf):
-    return corpus.bad_ocr(_docs(spark, sf), "doc_id")
+    return corpus.bad_ocr(_docs(spark, sf), "doc_id", threshold=OCR_QUERY_RATIO)
 
 
 def sentences(spark, sf):
@@ -89,11 +93,23 @@ def lemma_tokens(spark, sf):
                     _joined("lemmas").alias("lemmas"))
 
 
+#: A dictionary of its own; a form listed twice has its first lemma in alphabetical order.
+DICTIONARY = [("and", "also"), ("der", "derr"), ("les", "leurs"), ("que", "quel"), ("that", "thatt"),
+              ("the", "thez"), ("The", "thee"), ("und", "undd")]
+
+
+def _lemma_rows(t: DataFrame) -> DataFrame:
+    return t.select("doc_id", F.size("lemmas").alias("n_lemmas"), _joined("lemmas").alias("lemmas"))
+
+
 def lemmatize_dict(spark, sf):
-    d = corpus.dictionary_frame(spark)
-    t = corpus.lemmatize_with_dictionary(_docs(spark, sf), "doc_id", d, out_col="lemmas")
-    return t.select("doc_id", F.size("lemmas").alias("n_lemmas"),
-                    _joined("lemmas").alias("lemmas"))
+    return _lemma_rows(corpus.lemmatize_with_dictionary(_docs(spark, sf), DICTIONARY, out_col="lemmas"))
+
+
+def lemmatize_join(spark, sf):
+    """The same by a join with the dictionary as a table."""
+    table = spark.createDataFrame(DICTIONARY, "form string, lemma string")
+    return _lemma_rows(corpus.lemmatize_by_join(_docs(spark, sf), "doc_id", table, out_col="lemmas"))
 
 
 def lemma_corpus(spark, sf):
@@ -136,8 +152,8 @@ def idf(spark, sf):
 def tfidf_query(spark, sf):
     docs = read_table(spark, sf, "documents")
     m = tfidf.n_docs(docs)
-    tf = tfidf.term_tf(_bigram_docs(spark, sf), "doc_id").persist()
-    w = tfidf.tfidf(tf, tfidf.idf(tf, m, "term"), m, "term", bounded=False)
+    tf = tfidf.term_tf(_bigram_docs(spark, sf), "doc_id")  # one exchange, read twice
+    w = tfidf.tfidf(tf, tfidf.idf(tf, m, "term"), m, "term")
     return w.withColumn("tfidf", F.round("tfidf", R))
 
 
@@ -162,7 +178,9 @@ def index_to_label(spark, sf):
 # ---- Naive Bayes (relational) -------------------------------------------------
 
 def _flow(spark, sf) -> tfidf_nb.NBFlow:
-    return tfidf_nb.build(_docs(spark, sf, ("doc_id", "text", "lang")), "lang")
+    # nothing is kept in memory, as nobody would free it: within one query the training
+    # documents' terms are one exchange that all steps of the fit read
+    return tfidf_nb.build(_docs(spark, sf, ("doc_id", "text", "lang")), "lang", keep=None)
 
 
 def nb_priors(spark, sf):
@@ -198,16 +216,23 @@ def preview_top5(spark, sf):
 # ---- label merge and submission --------------------------------------------------
 
 def _label_sources(spark, sf):
-    cust = read_table(spark, sf, "customer")
-    issuers = cust.select(F.col("c_custkey").alias("isin"), F.col("c_name").alias("issuer_name"),
-                          F.lit("N").alias("zcp_fl"), F.col("c_acctbal").alias("min_trad_amt"),
-                          F.col("c_nationkey").cast("double").alias("mlt_trad_amt"),
-                          F.col("c_mktsegment").alias("ops_curr"))
+    """Customers, and after them suppliers with the same keys, as issuers; two labels of each
+    document, one after the other, as guarantors; all orders as multi-valued labels."""
+    cust, sup = read_table(spark, sf, "customer"), read_table(spark, sf, "supplier")
+
+    def issuer(df, p, segment, rank):
+        return df.select(F.col(f"{p}_{'custkey' if p == 'c' else 'suppkey'}").alias("isin"), F.col(f"{p}_name").alias("issuer_name"),
+                         F.lit("N").alias("zcp_fl"), F.col(f"{p}_acctbal").cast("double").alias("min_trad_amt"),
+                         F.col(f"{p}_nationkey").cast("double").alias("mlt_trad_amt"), segment.alias("ops_curr"),
+                         F.lit(rank).alias("position"))
+
+    issuers = issuer(cust, "c", F.col("c_mktsegment"), 0).unionByName(issuer(sup, "s", F.lit("SUPPLIER"), 1))
     lab = read_table(spark, sf, "labels")
-    guarantors = lab.select(F.col("doc_id").alias("isin"),
-                            F.concat(F.lit("Q"), F.col("quality").cast("string")).alias("ga_name"))
-    rocs = (read_table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
-            .select(F.col("o_custkey").alias("isin"), F.col("o_orderpriority").alias("roc")))
+    guarantors = lab.select(F.col("doc_id").alias("isin"), F.concat(F.lit("Q"), F.col("quality").cast("string")).alias("ga_name"),
+                            F.lit(0).alias("position"))
+    guarantors = guarantors.unionByName(lab.filter("toxic = 1").select(
+        F.col("doc_id").alias("isin"), F.lit("TOXIC").alias("ga_name"), F.lit(1).alias("position")))
+    rocs = read_table(spark, sf, "orders").select(F.col("o_custkey").alias("isin"), F.col("o_orderpriority").alias("roc"))
     # every entity names one document file; only some of those files exist
     docmap = cust.select(F.col("c_custkey").alias("docid"), F.col("c_custkey").alias("isin"))
     texts = read_table(spark, sf, "documents").select(F.col("doc_id").alias("docid"), "text")
@@ -246,14 +271,15 @@ def w2v_vocab(spark, sf):
 
 
 def mean_vector(spark, sf):
-    t = corpus.tokens(_docs(spark, sf))
-    # one tokenization: the vocabulary is an aggregate of the per-document
-    # counts, and the two reads of that shuffle are the same exchange (reused)
-    counts = vectors.word_counts(t, "doc_id")
-    vocab = vectors.vocabulary_from_counts(counts)
+    # the counts are a table: the vocabulary, its size and the sums all read them
+    path = scratch_path(spark, "counts")
+    vectors.word_counts(corpus.tokens(_docs(spark, sf)), "doc_id").write.parquet(path)
+    counts = spark.read.parquet(path)
     emb = read_table(spark, sf, "embeddings")
-    wv = vectors.hashed_word_vectors(vocab, emb, emb.select(F.count(F.lit(1))).scalar())
-    mv = vectors.mean_vectors_from_counts(counts, "doc_id", wv)
+    rows, size = emb.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    vocab = vectors.vocabulary_from_counts(counts)
+    wv = vectors.hashed_word_vectors(vocab, emb, F.lit(rows))
+    mv = vectors.mean_vectors(counts, "doc_id", wv, vocab.count(), size)
     return mv.withColumn("value", F.round("value", R))
 
 
@@ -270,6 +296,79 @@ def src_csv_corpus(spark, sf):
     return sources.read_csv_corpus(spark, path, MERGED_SCHEMA)
 
 
+def sink_labeled_csv(spark, sf):
+    """The lines of the labelled corpus CSV, as written."""
+    path = scratch_path(spark, "roundtrip/labeled_lines")
+    merged = merge_labels(spark, sf)
+    sinks.write_labeled_csv(merged, path)
+    return sources.read_text_lines(spark, path).filter(F.col("value") != sinks.csv_header(merged))
+
+
+def src_labeled_corpus(spark, sf):
+    """Labelled corpus CSV -> (category, text) of one label column."""
+    path = scratch_path(spark, "roundtrip/labeled_read")
+    sinks.write_labeled_csv(merge_labels(spark, sf), path)
+    return sources.read_labeled_corpus(spark, "OPS_CURR", path, schema=MERGED_SCHEMA)
+
+
+def src_unlabeled_corpus(spark, sf):
+    """Unlabelled corpus CSV -> (isin, text)."""
+    path = scratch_path(spark, "roundtrip/unlabeled_read")
+    sinks.write_labeled_csv(_docs(spark, sf).select(F.col("doc_id").cast("string").alias("ISIN"), T.ascii_text("text").alias("TEXT")), path)
+    return sources.read_unlabeled_corpus(spark, path, schema="ISIN string, TEXT string")
+
+
+def src_label_csv(spark, sf):
+    """The four label files as CSV -> readers with positions -> merge."""
+    base = scratch_path(spark, "roundtrip/labels")
+    issuers, guarantors, rocs, docmap, texts = _label_sources(spark, sf)
+
+    def through(df, name, schema):
+        # part files stand in the order of the rows
+        (df.orderBy("position").drop("position") if "position" in df.columns else df).write.option("header", True).option("escape", '"').csv(f"{base}/{name}")
+        return sources.read_label_file(spark, f"{base}/{name}", schema)
+
+    return labels.merge_labels(
+        through(issuers, "issuers", "isin string, issuer_name string, zcp_fl string, min_trad_amt double, mlt_trad_amt double, ops_curr string"),
+        through(guarantors, "guarantors", "isin string, ga_name string"), through(rocs, "rocs", "isin string, roc string"),
+        through(docmap, "docids", "docid string, isin string"), texts)
+
+
+def _flat(spark, sf):
+    return _docs(spark, sf).select("doc_id", T.ascii_text("text").alias("value"))
+
+
+def src_text_lines(spark, sf):
+    """Flattened documents -> text files, a document a line -> line reader."""
+    path = scratch_path(spark, "roundtrip/lines")
+    _flat(spark, sf).select("value").write.text(path)
+    return sources.read_text_lines(spark, path)
+
+
+def src_whole_text(spark, sf):
+    """Flattened documents -> text files in two folders -> whole-file reader over both -> lines."""
+    path = scratch_path(spark, "roundtrip/whole")
+    for i in (0, 1):
+        (_flat(spark, sf).filter(F.col("doc_id") % 2 == i).select("value")
+         .write.option("maxRecordsPerFile", 500).text(f"{path}/{i}"))
+    files = sources.read_whole_texts(spark, [f"{path}/0", f"{path}/1"], "part-*")
+    return files.select(F.explode(F.split(F.regexp_replace("text", "\n$", ""), "\n")).alias("value"))
+
+
+def malformed_rows(spark, sf):
+    """Orders as CSV lines, some too short, some too long, some of a wrong type -> the lines that do
+    not parse."""
+    path = scratch_path(spark, "roundtrip/malformed")
+    key = F.col("o_orderkey")
+    line = (F.when(key % 7 == 0, key.cast("string")).when(key % 11 == 0, F.concat_ws(",", key, "o_orderstatus", F.lit("more")))
+            .when(key % 13 == 0, F.concat_ws(",", F.concat(F.lit("x"), key.cast("string")), "o_orderstatus"))
+            .otherwise(F.concat_ws(",", key, "o_orderstatus")))
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    (read_table(spark, sf, "orders").select(line.alias("value"))
+     .select(F.when(first, F.concat(F.lit("key,status\n"), "value")).otherwise(F.col("value")).alias("value")).write.text(path))
+    return sources.malformed_rows(spark, path, "key long, status string")
+
+
 def sink_parquet(spark, sf):
     """Lemma corpus -> parquet (overwrite) -> parquet reader."""
     path = scratch_path(spark, "roundtrip/lemma_parquet")
@@ -284,17 +383,32 @@ def sink_sentences(spark, sf):
     return sources.read_text_lines(spark, path).withColumnRenamed("value", "sentence")
 
 
+def _prediction_parts(spark, sf) -> str:
+    """Two prediction part files of very different sizes with the same ids: the first has every
+    turn's role, the second, read later, corrects some conversations."""
+    path = scratch_path(spark, "roundtrip/predictions")
+    conv = read_table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("ISIN"), "role", "turn")
+    last = labels.last_per_key(conv, "ISIN", "turn", ["role"])
+    large = conv.select("ISIN", F.concat("role", F.lit("?")).alias("predictedCategory"), F.lit(0).alias("part"))
+    middle = last.select("ISIN", F.col("role").alias("predictedCategory"), F.lit(1).alias("part"))
+    small = last.filter(F.col("ISIN").cast("long") % 10 == 0).select("ISIN", F.lit("corrected").alias("predictedCategory"), F.lit(2).alias("part"))
+    parts = large.unionByName(middle).unionByName(small).repartitionByRange(3, "part")
+    sinks.write_predictions(parts, path)
+    return path
+
+
 def sink_predictions(spark, sf):
     """Predictions -> quoted headerless CSV parts -> part reader -> last wins ->
     sorted 8-column submission."""
-    path = scratch_path(spark, "roundtrip/predictions")
-    conv = read_table(spark, sf, "conversations")
-    last = labels.last_per_key(conv.select(F.col("conv_id").cast("string").alias("ISIN"),
-                                           F.col("role").alias("predictedCategory"), "turn"),
-                               "ISIN", "turn", ["predictedCategory"])
-    sinks.write_predictions(last, path)
-    back = sources.read_predictions(spark, path)
-    return labels.submission(back, "isin", "label", order_col="line")
+    back = sources.read_predictions(spark, _prediction_parts(spark, sf))
+    return labels.submission(back, "isin", "label", order_col="position")
+
+
+def sink_submission(spark, sf):
+    """Prediction parts -> the submission file, by its lines."""
+    out = scratch_path(spark, "roundtrip/submission")
+    jobs.combine_results_job(spark, _prediction_parts(spark, sf), out)
+    return sources.read_text_lines(spark, out)
 
 
 QUERIES = {
@@ -310,6 +424,7 @@ QUERIES = {
     "tokens": tokens,
     "lemma_tokens": lemma_tokens,
     "lemmatize_dict": lemmatize_dict,
+    "lemmatize_join": lemmatize_join,
     "lemma_corpus": lemma_corpus,
     "stopwords_removed": stopwords_removed,
     "bigrams": bigrams,
@@ -336,4 +451,12 @@ QUERIES = {
     "sink_parquet": sink_parquet,
     "sink_sentences": sink_sentences,
     "sink_predictions": sink_predictions,
+    "sink_labeled_csv": sink_labeled_csv,
+    "sink_submission": sink_submission,
+    "src_labeled_corpus": src_labeled_corpus,
+    "src_unlabeled_corpus": src_unlabeled_corpus,
+    "src_label_csv": src_label_csv,
+    "src_text_lines": src_text_lines,
+    "src_whole_text": src_whole_text,
+    "malformed_rows": malformed_rows,
 }

@@ -1,9 +1,9 @@
 """Flow A as one relational plan: lemmas -> stop words -> bigrams -> hashed TF
 -> IDF -> Naive Bayes -> predictions -> evaluation.
 
-Everything is lazy; each public function returns DataFrames that share the
-same upstream plan. ``NBFlow`` keeps the pieces so callers (queries, bench,
-tests) can pick what they need.
+Nothing runs until a result is asked for; the DataFrames of an ``NBFlow`` share
+the same upstream plan. Callers (queries, bench, tests) pick what they need and
+call ``release`` when done.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from quire.functions.lemma import lemmas
 from quire.functions.stopwords import remove_stop_words
 from quire.functions.text import ascii_text
 from quire.operators import bayes, evaluate, labels, tfidf
-from quire.sources.tables import spread
 
 
 def materialize(df: DataFrame, how: str | None = "persist") -> DataFrame:
@@ -45,14 +44,15 @@ def bigram_features(docs: DataFrame, id_col: str, text_col: str, keys: tuple[str
 
 @dataclass
 class NBFlow:
-    docs: DataFrame        # (id, label, label_idx, is_train)
-    tf: DataFrame          # (id, label_idx, is_train, bucket, tf)
+    docs: DataFrame        # (id, label, is_train)
+    tf: DataFrame          # (id, label, is_train, bucket, tf)
     index: DataFrame       # (label, n, idx)
     idf: DataFrame         # (bucket, df, idf)         fitted on training docs
-    weights: DataFrame     # (id, label_idx, is_train, bucket, tf, w)
+    weights: DataFrame     # (id, label, is_train, bucket, tf, w)
     priors: DataFrame      # (label_idx, n_docs, pi, theta0)
     theta: DataFrame       # (label_idx, bucket, s_cb, theta)
     predictions: DataFrame  # (id, label, prediction, predicted) on test docs
+    kept: list[DataFrame]  # what ``release`` frees
 
     def confusion(self) -> DataFrame:
         return evaluate.confusion_matrix(self.predictions, "label", "predicted")
@@ -60,51 +60,57 @@ class NBFlow:
     def metrics(self) -> DataFrame:
         return evaluate.summary_metrics(self.confusion())
 
+    def release(self) -> None:
+        """Frees the tables that the flow keeps, after its results are computed."""
+        for df in self.kept:
+            df.unpersist()
+
 
 def build(documents: DataFrame, label_col: str, id_col: str = "doc_id",
           text_col: str = "text", num_features: int = NUM_FEATURES,
           smoothing: float = 1.0, stop_words=None, evaluate_split: bool = True,
           keep: str | None = "persist") -> NBFlow:
-    """Wire the whole flow over a document table.
+    """Wire the whole flow over a document table. No job runs here (but for
+    ``keep="checkpoint"``, which writes).
 
     ``evaluate_split=True``: train on the md5 70% split, predict the other 30%.
     ``False``: train on all documents and predict all of them.
+
+    The label goes along with its document's terms, as a string: neither the text nor the
+    documents are ever shuffled on the label, only sums by class and bucket are.
     """
-    index = labels.label_index(documents, label_col)
     is_train = train_flag(id_col) if evaluate_split else F.lit(True)
-    docs = labels.index_labels(
-        documents.select(id_col, F.col(label_col).cast("string").alias("label"), text_col,
-                         is_train.alias("is_train")),
-        index, "label", "label_idx")
-    feats = bigram_features(spread(docs, id_col), id_col, text_col,
-                            ("label_idx", "is_train"), stop_words)
+    docs = documents.select(id_col, labels.label_text(label_col).alias("label"), text_col,
+                            is_train.alias("is_train"))
+    index = labels.label_index(documents, label_col)
+    feats = bigram_features(docs, id_col, text_col, ("label", "is_train"), stop_words)
     # the one expensive step (text -> hashed TF) is computed once and re-used
     # by the IDF fit, the NB fit and the scoring
-    tf = materialize(tfidf.hashed_tf(feats, id_col, "ngrams", ("label_idx", "is_train"),
-                                     num_features), keep)
-    # the per-document table without text is small and read by every step
-    docs = materialize(docs.drop(text_col), keep)
+    tf = materialize(tfidf.hashed_tf(feats, id_col, "ngrams", ("label", "is_train"), num_features), keep)
+    docs = docs.drop(text_col)
 
     train_docs = docs.filter("is_train")
     m = tfidf.n_docs(train_docs)
     idf = tfidf.idf(tf.filter("is_train"), m, "bucket")
-    weights = tfidf.tfidf(tf, idf, m, "bucket", bounded=True).withColumnRenamed("tfidf", "w")
+    weights = tfidf.tfidf(tf, idf, m, "bucket", rows=num_features).withColumnRenamed("tfidf", "w")
 
     train_w = weights.filter("is_train")
-    # the fitted model: classes rows of priors and classes x num_features rows
-    # of theta, kept once fitted like any model
-    priors = materialize(bayes.nb_priors(train_docs, "label_idx", train_w, smoothing,
-                                         num_features), keep)
-    theta = bayes.nb_theta(train_w, "label_idx", smoothing, num_features)
-    model = materialize(bayes.nb_model(priors, theta, "label_idx", num_features), keep)
+    by_class = index.select("label", F.col("idx").alias("label_idx"))
+    # the fitted model: a row of priors for each class and at most classes x num_features rows of theta
+    priors = materialize(bayes.nb_priors(train_docs, "label", train_w, smoothing, num_features)
+                         .join(by_class, "label").select("label_idx", "n_docs", "pi", "theta0"), keep)
+    theta = materialize(bayes.nb_theta(train_w, "label", smoothing, num_features)
+                        .join(by_class, "label").select("label_idx", "bucket", "s_cb", "theta"), keep)
+    classes = priors.select(F.array_sort(F.collect_list("label_idx"))).scalar()
+    place = lambda c: (F.array_position(classes, F.col(c)) - 1).cast("double")
+    # classes that no training document has are no classes of the model
+    model_priors = priors.withColumn("cls", place("label_idx"))
+    model = bayes.nb_model(theta.withColumn("cls", place("label_idx")), model_priors, "cls")
 
     test_docs = docs.filter(~F.col("is_train")) if evaluate_split else docs
     test_w = weights.filter(~F.col("is_train")) if evaluate_split else weights
-    # size check before broadcasting the fitted model: classes x num_features
-    # rows (the priors table is tiny and already kept, so counting it is cheap)
-    n_classes = priors.count() if keep else None
-    small = n_classes is not None and n_classes * num_features <= bayes.MAX_BROADCAST_MODEL_ROWS
-    pred = bayes.nb_predict(test_docs.select(id_col, "label"), id_col, test_w, model, priors,
-                            "label_idx", broadcast_model=small)
+    pred = bayes.nb_predict(test_docs.select(id_col, "label"), id_col, test_w, model, model_priors, "cls")
+    pred = pred.withColumn("prediction", F.element_at(classes, (F.col("prediction") + 1).cast("int")))
     pred = labels.index_to_label(pred, index, "prediction", "predicted")
-    return NBFlow(docs, tf, index, idf, weights, priors, theta, pred)
+    kept = [tf, priors, theta] if keep == "persist" else []
+    return NBFlow(docs, tf, index, idf, weights, priors, theta, pred, kept)

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from quire.plans import jobs
@@ -52,3 +54,39 @@ def test_flows_end_to_end(spark, tmpdir_path):
     sub = jobs.combine_results_job(spark, os.path.join(d, "run"), os.path.join(d, "submission"))
     rows = sub.collect()
     assert len(rows) == 60 and [r.ISIN for r in rows] == sorted(r.ISIN for r in rows)
+    (file,) = [f for f in os.listdir(os.path.join(d, "submission")) if f.endswith(".csv")]
+    assert len(open(os.path.join(d, "submission", file)).readlines()) == 61
+
+    # word vectors, and a forest on them: train and evaluate, train and save
+    jobs.word2vec_job(spark, os.path.join(d, "all_text"), os.path.join(d, "w2v"))
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
+        jobs.word2vec_job(spark, os.path.join(d, "all_text"), os.path.join(d, "w2v"))
+    metrics = jobs.w2v_rf_job(spark, "ISSUER_NAME", os.path.join(d, "labels_text"), os.path.join(d, "w2v"))
+    assert 0.0 <= metrics["accuracy"] <= 1.0
+    jobs.w2v_rf_job(spark, "ISSUER_NAME", os.path.join(d, "labels_text"), os.path.join(d, "w2v"), evaluate=False,
+                    save_as=os.path.join(d, "forest"))
+    assert os.path.isdir(os.path.join(d, "forest"))
+
+
+def test_stop_word_file(spark, tmpdir_path):
+    from quire.functions.stopwords import load_stop_words
+    path = os.path.join(tmpdir_path, "stop.txt")
+    open(path, "w").write("The\n\n of \nthe\n")
+    assert load_stop_words(spark, path) == ("of", "the")
+
+
+class _Cluster:
+    """What ``checkpoint_dir`` asks of a session, with a cluster's master."""
+
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class sparkContext:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from quire.session import checkpoint_dir
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_Cluster())

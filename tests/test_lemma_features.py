@@ -20,12 +20,21 @@ def test_dictionary_join_equals_rowlocal(spark):
     df = spark.createDataFrame([(1, "Children went to the markets"), (2, ""), (3, None)],
                                "doc_id long, text string")
     a = {r.doc_id: r.LEMMAS for r in corpus.lemma_corpus(df).collect()}
-    b = {r.doc_id: r.LEMMAS for r in corpus.lemmatize_with_dictionary(
-        df, "doc_id", corpus.dictionary_frame(spark)).collect()}
-    assert a == b
+    b = {r.doc_id: r.LEMMAS for r in corpus.lemmatize_with_dictionary(df, L.IRREGULAR_FORMS).collect()}
+    table = spark.createDataFrame(L.IRREGULAR_FORMS, "form string, lemma string")
+    c = {r.doc_id: r.LEMMAS for r in corpus.lemmatize_by_join(df, "doc_id", table).collect()}
+    assert a == b == c
     assert a[1] == ["child", "the", "market"]
 
 
+def test_a_form_listed_twice_adds_no_token(spark):
+    pairs = [("bonds", "bondz"), ("Bonds", "bond"), ("issues", "issued")]
+    df = spark.createDataFrame([(1, "bonds issues")], "doc_id long, text string")
+    assert corpus.lemmatize_with_dictionary(df, pairs).first().LEMMAS == ["bond", "issued"]
+    table = spark.createDataFrame(pairs, "form string, lemma string")
+    assert corpus.lemmatize_by_join(df, "doc_id", table).first().LEMMAS == ["bond", "issued"]
+
+
 def test_stop_words_case_insensitive_and_bigrams_bridge(spark):
     words = remove_stop_words(F.split(F.col("x"), " "))
     assert arr(spark, words, "Issuer OF Bonds") == ["Issuer", "Bonds"]

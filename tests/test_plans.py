@@ -14,9 +14,23 @@ def test_scan_reads_only_needed_columns(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in p
 
 
-def test_label_filter_pushed_to_scan(spark):
+def test_merge_starts_from_the_entities_with_text(spark):
     p = plan_of(E.queries()["merge_labels"](spark, SF001))
-    assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)" in p
+    assert "FullOuter" not in p and "RightOuter" not in p
+    assert "ReadSchema: struct<o_custkey:bigint,o_orderpriority:string>" in p
+
+
+def test_dictionary_lemmatizer_is_row_local(spark):
+    df = E.queries()["lemmatize_dict"](spark, SF001)
+    p = plan_of(df)
+    assert p.count("Exchange") == p.count("REPARTITION_BY_NUM")
+
+
+def test_mean_vector_tokenizes_once(spark):
+    from quire.operators import corpus, vectors
+    from quire.sources.tables import documents
+    counts = vectors.word_counts(corpus.tokens(documents(spark, SF001, ("doc_id", "text"))), "doc_id")
+    assert plan_of(counts).count("regexp_replace") == 1
 
 
 def test_no_cross_joins(spark):

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF001
 
-TABLES = "customer orders documents embeddings labels conversations".split()
+TABLES = "customer supplier orders documents embeddings labels conversations".split()
 
 
 @pytest.fixture(scope="module")
@@ -30,8 +30,8 @@ def norm_rows(rows, cols):
 def test_every_query_is_registered_with_a_twin_or_is_ml():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    ml_only = set(qs) - set(sql)
-    assert all(k.startswith(("ml_", "w2v_", "pipeline", "score_")) for k in ml_only)
+    ml_only = {k for k in set(qs) - set(sql) if not k.startswith("op") and k != "pipeline"}
+    assert ml_only == {"pipeline_params", "w2v_vectors", "w2v_doc_vectors", "w2v_rf_predict"}
 
 
 @pytest.mark.parametrize("key", [
@@ -40,7 +40,10 @@ def test_every_query_is_registered_with_a_twin_or_is_ml():
     "tfidf", "label_index", "nb_priors", "nb_theta", "nb_predict", "weighted_f1",
     "merge_labels", "entities_with_text", "last_per_key", "submission", "w2v_vocab",
     "mean_vector", "corpus_stats", "preview_top5", "src_csv_corpus", "sink_parquet",
-    "sink_sentences", "sink_predictions", "all_text_sentences",
+    "sink_sentences", "sink_predictions", "all_text_sentences", "bad_ocr", "lemmatize_join",
+    "sink_labeled_csv", "sink_submission", "src_labeled_corpus", "src_unlabeled_corpus", "src_label_csv",
+    "src_text_lines", "src_whole_text", "malformed_rows", "ml_nb_predict", "ml_hashed_tf", "ml_random_split",
+    "score_saved_pipeline",
 ])
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF001)
@@ -56,18 +59,16 @@ def test_entry_smoke(spark):
     assert len(rows) > 0
 
 
-def test_ml_nb_and_saved_pipeline(spark):
-    pred = E.queries()["ml_nb_predict"](spark, SF001).collect()
-    assert pred and {r.predictedCategory for r in pred} <= {"en", "fr", "de", "es"}
-    scored = E.queries()["score_saved_pipeline"](spark, SF001)
-    assert scored.columns == ["ISIN", "predictedCategory"]
-    assert scored.count() > 0
+def test_pipeline_params_are_whole(spark):
+    rows = E.queries()["pipeline_params"](spark, SF001).collect()
+    assert max(len(r.value) for r in rows if r.param == "stopWords") > 5000
+    assert {"de", "en", "es", "fr"} <= set(next(r.value for r in rows if r.stage_class == "IndexToString" and r.param == "labels").strip("[]").replace("'", "").split(", "))
 
 
 def test_w2v_rf(spark):
     v = E.queries()["w2v_vectors"](spark, SF001).collect()
     assert v and all(len(r.vector) == 300 for r in v)
-    out = E.queries()["w2v_rf_predict"](spark, SF001).collect()
-    assert out and all(r.predictedCategory in {"en", "fr", "de", "es"} for r in out)
+    out = E.queries()["w2v_rf_check"](spark, SF001).collect()
+    assert out and all(r.known_class and r.sums_to_one for r in out)
     dv = E.queries()["w2v_doc_vectors"](spark, SF001).collect()
     assert len(dv) == 200 and all(math.isfinite(x) for x in dv[0].vector)
