@@ -15,9 +15,10 @@ Documents whose whole text an earlier one has are set aside at first: a hash of
 them, and their spans are one row each. ``key`` tells rows of one id apart; it is 0 where an id
 has one text only, which is the rule.
 
-Every step is a shuffle with partial aggregation on identifiers, so a passage that a third of
-all documents share costs one row for each task and distinct piece; text moves only to meet
-the ranges of its own document.
+Anchors and pieces are aggregated within blocks of documents before they are shuffled, so a
+passage that a third of all documents share costs a row for each block; joins on anchors, which
+many different pieces may share, can be split. Text moves only to meet the ranges of its own
+document.
 """
 
 from __future__ import annotations
@@ -168,11 +169,19 @@ def _pieces(spec: Spec, level: int) -> Callable:
             second = grams.gram_ids(lanes[1], [spec.k], lane=1)[spec.k]
             unit = w.documents(w.at[which])
             own = doc[unit]
-            ids = np.array([r[0] for r in part], dtype=np.int64)
-            keys = np.array([r[1] for r in part], dtype=np.int32)
-            yield batch_of("anchor piece doc_id key at count", w.anchor[which].view(np.int64),
-                           w.piece_ids(which, second, 1).view(np.int64), ids[own], keys[own],
-                           (w.at[which] + shift[unit]).astype(np.int32), w.count[which].astype(np.int32))
+            ids = np.array([r[0] for r in part], dtype=np.int64)[own]
+            keys = np.array([r[1] for r in part], dtype=np.int32)[own]
+            at = (w.at[which] + shift[unit]).astype(np.int32)
+            anchor, piece = w.anchor[which].view(np.int64), w.piece_ids(which, second, 1).view(np.int64)
+            # of equal pieces in the block, all but those of the least id are repeats already
+            order = np.lexsort((at, keys, ids, piece, anchor))
+            head = np.ones(len(order), dtype=bool)
+            head[1:] = (anchor[order][1:] != anchor[order][:-1]) | (piece[order][1:] != piece[order][:-1])
+            first = order[np.flatnonzero(head)[np.cumsum(head) - 1]]  # of each row in order
+            open_ = ids[order] == ids[first]
+            columns = [x[order] for x in (anchor, piece, ids, keys, at, w.count[which].astype(np.int32))]
+            source = [pa.array(x[first], mask=open_) for x in (ids, keys, at)]
+            yield batch_of("anchor piece doc_id key at count source_id source_key source_at", *columns, *source)
 
     return run
 
@@ -201,33 +210,45 @@ def repeated_pieces(docs: DataFrame, spec: Spec) -> DataFrame:
     found = found.union(anchors.select("doc_id", F.explode("shared")))
     known = written(lists(found, "anchor").join(firsts, "doc_id"), "known")
     discard(anchors)
-    schema = "anchor long, piece long, doc_id long, key int, at int, count int"
+    schema = ("anchor long, piece long, doc_id long, key int, at int, count int, source_id long, source_key int, "
+              "source_at int")
+    columns = ["doc_id", "key", "at", "count", "source_id", "source_key", "source_at"]
     todo = body.join(known, "doc_id").select("doc_id", F.expr("if(many, text_key, 0)").alias("key"), "body", "anchor")
     spans = [copies]
     for level in range(len(spec.sizes)):
         pieces = written(todo.mapInArrow(_pieces(spec, level), schema), f"pieces{level}")
         if not level:
             discard(known)
-        place = F.struct("doc_id", "key", "at")
-        first = pieces.groupBy("anchor", "piece").agg(F.min(place).alias("first"), F.max("doc_id").alias("hi"))
-        last_level = spec.sizes[level] == spec.k
-        if last_level:
-            first = first.filter("first.doc_id < hi").drop("hi")
+        # one exchange for the least place of each piece and for its occurrences: all reads of it
+        # need the same rows and columns
+        dealt = (pieces.filter("source_id is null and anchor is not null and piece is not null")
+                 .selectExpr("anchor", "piece", "doc_id", "shiftleft(cast(key as long), 32) | at as place", "count")
+                 .repartition("anchor", "piece"))
+        first = dealt.groupBy("anchor", "piece").agg(
+            F.min("doc_id").alias("first_id"), F.min_by(F.expr("place + 0 * count"), "doc_id").alias("first_place"))
+        judged = dealt.join(unique(first), ["anchor", "piece"])
+        repeated = F.col("first_id") < F.col("doc_id")
+        at = lambda c: F.expr(f"cast({c} & 4294967295 as int)")
+        key = lambda c: F.expr(f"cast(shiftright({c}, 32) as int)")
+        if spec.sizes[level] == spec.k:
+            judged = judged.filter(repeated)
         else:
-            spread = (first.groupBy("anchor").agg(F.min("first.doc_id").alias("a"), F.max("first.doc_id").alias("b"))
-                      .select("anchor", F.expr("a < b").alias("open")))
-            first = first.join(unique(spread), "anchor").filter("open or first.doc_id < hi").drop("hi")
-        judged = pieces.join(unique(first), ["anchor", "piece"])
-        repeated = F.col("first.doc_id") < F.col("doc_id")
-        judged = judged.filter(repeated if last_level else repeated | F.col("open"))
-        out = written(judged.select("doc_id", "key", "at", "count", F.when(repeated, F.col("first")).alias("first")),
-                      f"judged{level}")
+            # pieces first seen here that differ from another document's with the same anchor
+            spread = (first.groupBy("anchor").agg(((F.min("first_id") < F.max("first_id"))
+                                                   & F.min("first_place").isNotNull()).alias("open"))
+                      .filter("open").select("anchor"))
+            opened = first.join(unique(spread), "anchor").select(
+                "anchor", "piece", F.expr("first_id is not null and first_place is not null").alias("open"))
+            judged = judged.join(unique(opened), ["anchor", "piece"], "left").filter(repeated | F.col("open"))
+        out = judged.select("doc_id", key("place").alias("key"), at("place").alias("at"), "count",
+                            *(F.when(repeated, c).alias(f"source_{n}") for c, n in (
+                                (F.col("first_id"), "id"), (key("first_place"), "key"), (at("first_place"), "at"))))
+        out = out.unionByName(pieces.filter("source_id is not null").select(columns))
+        out = written(out, f"judged{level}")
         discard(pieces)
-        spans.append(out.filter("first is not null")
-                     .select("doc_id", "key", "at", "count", F.col("first.doc_id").alias("source_id"),
-                             F.col("first.key").alias("source_key"), F.col("first.at").alias("source_at")))
-        if not last_level:
-            ranges = lists(out.filter("first is null"), "at", "count")
+        spans.append(out.filter("source_id is not null"))
+        if spec.sizes[level] != spec.k:
+            ranges = lists(out.filter("source_id is null"), "at", "count")
             todo = at_key(body, ranges).select("doc_id", "key", "body", "at", "count")
     out = spans[0]
     for more in spans[1:]:
