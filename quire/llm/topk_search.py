@@ -1,7 +1,7 @@
 """Exact top-k search on binary codes by incremental multi-index hashing.
 
-A vector's code has one bit for each component, its sign. Codes are cut into segments of about
-log2(number of codes) bits, and each segment indexes the distinct codes by its value. A code
+A vector's code has one bit for each component, its sign. Codes are cut into segments of at
+most log2(number of codes) bits, and each segment indexes the distinct codes by its value. A code
 within distance r of a query's differs in some segment by at most r / segments bits. So a query
 probes the index with all values that differ from its own segments by 0 bits, then 1, 2, ...;
 after radius s every code up to distance segments * (s + 1) - 1 is found. A query ends when it has
@@ -19,7 +19,7 @@ columns are ignored.
 from __future__ import annotations
 
 from itertools import combinations
-from math import log2
+from math import ceil, log2
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -45,7 +45,7 @@ def code_of(vector: str = "embedding") -> Column:
 
 def segment_bounds(n_codes: int) -> list[tuple[int, int]]:
     """(first bit, bits) of the segments for so many codes."""
-    count = max(1, min(BITS // 2, round(BITS / log2(max(4, n_codes)))))
+    count = max(1, min(BITS // 2, ceil(BITS / log2(max(4, n_codes)))))
     size = [BITS // count + (i < BITS % count) for i in range(count)]
     return [(sum(size[:i]), n) for i, n in enumerate(size)]
 
