@@ -35,10 +35,12 @@ from quire.llm.common import documents, slices
 
 #: Pieces up to so many characters are remembered with their tokens,
 PIECE_CHARS = 32
-#: so many of them in a generation,
-REMEMBERED = 250_000
-#: and so many states before the machine is begun anew.
-STATES = 150_000
+#: so many of them in a generation (there are two),
+REMEMBERED = 350_000
+#: so many states before the machine is begun anew,
+STATES = 60_000
+#: and transitions into states of so many pending bytes.
+SHORT = 5
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -63,8 +65,11 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
-        #: All proper prefixes of tokens: bytes after which a token may still grow.
-        self.openings = {b[:n] for b in ranks for n in range(1, len(b))}
+        #: Tokens and their proper prefixes: 2 * (id + 1) of a token, and 1 more where a longer token
+        #: begins with these bytes.
+        self.begun = {b[:n]: 1 for b in ranks for n in range(1, len(b))}
+        for b, i in ranks.items():
+            self.begun[b] = self.begun.get(b, 0) + 2 * (i + 1)
         self.halves: dict[int, tuple[int, int]] = {}
         self.clear()
 
@@ -74,8 +79,11 @@ class Transducer:
         self.start = self.state(-1, b"", [0], [-1], [1])
 
     def state(self, before: int, pending: bytes, open: list[int], *rest: list[int]) -> State:
+        """The state of these contents. Long ones seldom come again and are not remembered."""
         if open[0]:  # no token can follow the final one directly any more
             before = -1
+        if len(pending) > SHORT:
+            return State(before, pending, open, *rest)
         key = (before, pending)
         found = self.states.get(key)
         if found is None:
@@ -120,33 +128,43 @@ class Transducer:
         return self.pairs[key]
 
     def step(self, state: State, byte: int) -> tuple[tuple[int, ...], State]:
-        pending, old = state.pending + bytes([byte]), state.last
+        pending, old, begun, pairs = state.pending + bytes((byte,)), state.last, self.begun, self.pairs
         m, way, open = len(pending), 0, []
         for at in state.open:  # ascending: the longest token first
-            begun = pending[at:]
-            if begun in self.openings:
+            code = begun.get(pending[at:])
+            if code is None:
+                continue
+            if code & 1:
                 open.append(at)
-            if not way:
-                token = self.ranks.get(begun)
-                if token is not None and self.valid(old[at] if at else state.before, token):
+            if not way and code > 1:
+                token, before = (code >> 1) - 1, old[at] if at else state.before
+                good = pairs.get((before, token))
+                if good or good is None and self.valid(before, token):
                     way, chosen = state.via[at] | 1 << m, token
         if not way:
             raise ValueError(f"no token for byte {byte}")
-        last, via, common = [*old, chosen], [*state.via, way], way
+        via, common = state.via, way
         for at in open:
             common &= via[at]
         open.append(m)
         cut = common.bit_length() - 1
         if not cut:
-            edge = ((), self.state(state.before, pending, open, last, via))
+            edge = ((), self.state(state.before, pending, open, [*old, chosen], [*via, way]))
+        elif cut == m:
+            final, at = [chosen], m - len(self.bytes_of[chosen])
+            while at:
+                final.append(old[at])
+                at -= len(self.bytes_of[old[at]])
+            edge = (tuple(final[::-1]), self.state(chosen, b"", [0], [-1], [1]))
         else:
             final, at = [], cut
             while at:
-                final.append(last[at])
-                at -= len(self.bytes_of[last[at]])
-            edge = (tuple(final[::-1]), self.state(last[cut], pending[cut:], [at - cut for at in open],
-                                                   [-1, *last[cut + 1:]], [v >> cut for v in via[cut:]]))
-        state.next[byte] = edge
+                final.append(old[at])
+                at -= len(self.bytes_of[old[at]])
+            edge = (tuple(final[::-1]), self.state(old[cut], pending[cut:], [at - cut for at in open],
+                                                   [-1, *old[cut + 1:], chosen], [v >> cut for v in (*via[cut:], way)]))
+        if m <= SHORT:
+            state.next[byte] = edge
         return edge
 
     def encode(self, piece: bytes) -> list[int]:
@@ -262,8 +280,8 @@ def encode(docs: DataFrame, path: str, pattern: str, columns: tuple[str, ...] =
 CHUNK = 1 << 14
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """The columns of ``encoded``, ``decoded`` (bytes) and ``text``."""
+def decode(encoded: DataFrame, path: str, made: tuple[str, ...] = ("decoded", "text")) -> DataFrame:
+    """The columns of ``encoded``, and of ``decoded`` (bytes) and ``text`` those asked for."""
     ranks = vocabulary(encoded.sparkSession, path)
     names = encoded.columns
 
@@ -276,18 +294,20 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 parts = list(decode_stream((ids[i:i + CHUNK] for i in range(0, len(ids), CHUNK)), bytes_of))
                 data.append(b"".join(p[0] for p in parts))
                 texts.append("".join(p[1] for p in parts))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary()), pa.array(texts, pa.string())],
-                                             [*names, "decoded", "text"])
+            columns = {"decoded": lambda: pa.array(data, pa.binary()), "text": lambda: pa.array(texts, pa.string())}
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(columns[c]() for c in made)], [*names, *made])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields]
-    return encoded.mapInArrow(run, ", ".join([*fields, "decoded binary", "text string"]))
+    kinds = {"decoded": "binary", "text": "string"}
+    return encoded.mapInArrow(run, ", ".join([*fields, *(f"{c} {kinds[c]}" for c in made)]))
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding and decoding each text."""
-    return (decode(encode(docs, path, pattern), path)
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding and decoding each text. The ids of a
+    text decode to UTF-8, so the decoded text's bytes are the decoded bytes."""
+    return (decode(encode(docs, path, pattern), path, ("text",))
             .select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                    F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")))
+                    F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")))
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
