@@ -20,6 +20,8 @@ with U+FFFD in the text; repeated rows are encoded alike; other columns are igno
 from __future__ import annotations
 
 import base64
+import hashlib
+import struct
 import sys
 import types
 import zlib
@@ -29,14 +31,13 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quire.llm.common import documents, slices
 
 #: Pieces up to so many characters are remembered with their tokens,
 PIECE_CHARS = 32
 #: so many of them in a generation (there are two),
-REMEMBERED = 350_000
+REMEMBERED = 450_000
 #: so many states before the machine is begun anew,
 STATES = 60_000
 #: and transitions into states of so many pending bytes.
@@ -197,7 +198,8 @@ class Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         packed = self.older.get(piece)
         if packed is None:
-            packed = np.array(self.transducer.encode(piece.encode()), dtype="<u4").tobytes()
+            ids = self.transducer.encode(piece.encode())
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= PIECE_CHARS:
             if len(self) >= REMEMBERED:
                 self.older = dict(self)
@@ -260,54 +262,79 @@ def vocabulary(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
+def _encoder(ranks, pattern: str):
+    """Texts to packed ids, in a task."""
+    data, split = ranks.value, regex.compile(pattern)
+    pieces = kept_by_worker(("pieces", zlib.crc32(data), len(data)), lambda: Pieces(Transducer(read_ranks(data))))
+    return lambda text: b"".join(map(pieces.__getitem__, split.findall(text or "")))
+
+
+def _decoder(ranks):
+    """Packed ids to bytes and text, in a task."""
+    data = ranks.value
+    bytes_of = kept_by_worker(("bytes", zlib.crc32(data), len(data)), lambda: {i: b for b, i in read_ranks(data).items()})
+
+    def decode(packed: bytes) -> tuple[bytes, str]:
+        ids = np.frombuffer(packed or b"", dtype="<u4")
+        parts = list(decode_stream((ids[i:i + CHUNK] for i in range(0, len(ids), CHUNK)), bytes_of))
+        return b"".join(p[0] for p in parts), "".join(p[1] for p in parts)
+
+    return decode
+
+
+#: Ids that are decoded at once.
+CHUNK = 1 << 14
+
+
+def _ddl(df: DataFrame, *more: str) -> str:
+    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), *more])
+
+
 def encode(docs: DataFrame, path: str, pattern: str, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``columns`` and ``ids``: the tokens of ``text`` as packed little-endian 32-bit integers."""
     ranks = vocabulary(docs.sparkSession, path)
-    kept = docs.select(*columns, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, split = ranks.value, regex.compile(pattern)
-        pieces = kept_by_worker(("pieces", zlib.crc32(data), len(data)), lambda: Pieces(Transducer(read_ranks(data))))
+        ids = _encoder(ranks, pattern)
         for batch in slices(batches):
-            ids = [b"".join(map(pieces.__getitem__, split.findall(t.as_py() or ""))) for t in batch.column(len(columns))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.binary())], [*columns, "ids"])
-
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]]
-    return kept.mapInArrow(run, ", ".join([*fields, "ids binary"]))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array([ids(t.as_py()) for t in batch.column(len(columns))], pa.binary())], [*columns, "ids"])
 
-
-#: Ids that are decoded at once.
-CHUNK = 1 << 14
+    return docs.select(*columns, "text").mapInArrow(run, _ddl(docs.select(*columns), "ids binary"))
 
 
-def decode(encoded: DataFrame, path: str, made: tuple[str, ...] = ("decoded", "text")) -> DataFrame:
-    """The columns of ``encoded``, and of ``decoded`` (bytes) and ``text`` those asked for."""
-    ranks = vocabulary(encoded.sparkSession, path)
-    names = encoded.columns
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """The columns of ``encoded``, ``decoded`` (bytes) and ``text``."""
+    ranks, names = vocabulary(encoded.sparkSession, path), encoded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = {i: b for b, i in read_ranks(ranks.value).items()}
+        made = _decoder(ranks)
         for batch in slices(batches):
-            data, texts = [], []
-            for packed in batch.column(names.index("ids")):
-                ids = np.frombuffer(packed.as_py() or b"", dtype="<u4")
-                parts = list(decode_stream((ids[i:i + CHUNK] for i in range(0, len(ids), CHUNK)), bytes_of))
-                data.append(b"".join(p[0] for p in parts))
-                texts.append("".join(p[1] for p in parts))
-            columns = {"decoded": lambda: pa.array(data, pa.binary()), "text": lambda: pa.array(texts, pa.string())}
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(columns[c]() for c in made)], [*names, *made])
+            out = [made(p.as_py()) for p in batch.column(names.index("ids"))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([b for b, _ in out], pa.binary()), pa.array([t for _, t in out], pa.string())],
+                [*names, "decoded", "text"])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields]
-    kinds = {"decoded": "binary", "text": "string"}
-    return encoded.mapInArrow(run, ", ".join([*fields, *(f"{c} {kinds[c]}" for c in made)]))
+    return encoded.mapInArrow(run, _ddl(encoded, "decoded binary", "text string"))
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding and decoding each text. The ids of a
-    text decode to UTF-8, so the decoded text's bytes are the decoded bytes."""
-    return (decode(encode(docs, path, pattern), path, ("text",))
-            .select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                    F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")))
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding and decoding each text, in one pass:
+    only digests leave the task, and a Python worker that encodes goes on encoding."""
+    ranks = vocabulary(docs.sparkSession, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, made = _encoder(ranks, pattern), _decoder(ranks)
+        for batch in slices(batches):
+            packed = [ids(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()),
+                 pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
+                 pa.array([hashlib.sha256(made(p)[0]).hexdigest() for p in packed], pa.string())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
