@@ -70,19 +70,19 @@ def keyed(docs: DataFrame) -> DataFrame:
             .filter("doc_id is not null and body is not null"))
 
 
-def at_key(body: DataFrame, rows: DataFrame, how: str = "inner") -> DataFrame:
-    """``body`` joined with rows on (doc_id, key)."""
-    rows = rows.withColumnRenamed("doc_id", "_id")
-    same = (F.col("doc_id") == F.col("_id")) & ((F.col("key") == 0) | (F.col("key") == F.col("text_key")))
-    return body.join(rows, same, how).drop("_id")
-
-
 def unique(rows: DataFrame) -> DataFrame:
     """Rows with one row for each join key: their hash partitions are even, whatever the other
     side's keys are, so they are built into hash tables and the other side needs no sort."""
     return rows.hint("shuffle_hash")
 
 
+def at_key(body: DataFrame, rows: DataFrame, how: str = "inner") -> DataFrame:
+    """``body`` joined with rows, one for each document, on (doc_id, key); texts are not sorted."""
+    rows = rows.withColumnRenamed("doc_id", "_id")
+    same = (F.col("doc_id") == F.col("_id")) & ((F.col("key") == 0) | (F.col("key") == F.col("text_key")))
+    return body.join(unique(rows), same, how).drop("_id")
+
+
 def texts_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key, many) of the documents that no earlier one equals, and whole spans of the
     others; ``many`` says that their id has several texts."""
@@ -213,7 +213,7 @@ def repeated_pieces(docs: DataFrame, spec: Spec) -> DataFrame:
     schema = ("anchor long, piece long, doc_id long, key int, at int, count int, source_id long, source_key int, "
               "source_at int")
     columns = ["doc_id", "key", "at", "count", "source_id", "source_key", "source_at"]
-    todo = body.join(known, "doc_id").select("doc_id", F.expr("if(many, text_key, 0)").alias("key"), "body", "anchor")
+    todo = body.join(unique(known), "doc_id").select("doc_id", F.expr("if(many, text_key, 0)").alias("key"), "body", "anchor")
     spans = [copies]
     for level in range(len(spec.sizes)):
         pieces = written(todo.mapInArrow(_pieces(spec, level), schema), f"pieces{level}")
