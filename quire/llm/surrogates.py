@@ -44,8 +44,9 @@ PHONE = (r"(?<![\p{L}\d+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2
          r"(?![\p{L}\d])")
 SOCIAL = r"(?<![\p{L}\d-])\d{3}-\d{2}-\d{4}(?![\p{L}\d-])"
 CARD = r"(?<![\p{L}\d])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{13,19})(?![\p{L}\d])"
-PERSON = (rf"(?<![\p{{L}}\d])(?:(?:{_MALE}|{_FEMALE}|{_OTHER})\.? {_NAME}(?: {_NAME})?|(?:{_HIS}|{_HER}) {_NAME})(?![\p{{L}}\d])")
-ENTITY = "|".join(["(?:" + p + ")" for p in (MAIL, ACCOUNT, TOKEN, ADDRESS, PHONE, SOCIAL, CARD, PERSON)])
+PERSON = (rf"(?<![\p{{L}}\d])(?=\p{{Lu}})(?:(?:{_MALE}|{_FEMALE}|{_OTHER})\.? {_NAME}(?: {_NAME})?|(?:{_HIS}|{_HER}) {_NAME})(?![\p{{L}}\d])")
+#: No entity begins within a word; that is asked once, before all alternatives.
+ENTITY = r"(?<![\p{L}\p{N}])(?:" + "|".join(["(?:" + p + ")" for p in (MAIL, ACCOUNT, TOKEN, ADDRESS, PHONE, SOCIAL, CARD, PERSON)]) + ")"
 
 
 def _sql(text: str) -> str:
