@@ -32,7 +32,7 @@ PARAGRAPH = 160
 #: Tables, and the power of two of the cells in each.
 TABLES, BITS = 4, 3
 #: Digests of a part on the second try, on average.
-PART = 8
+PART = 12
 #: Ranges of ids in which documents meet their next one; the driver and a broadcast hold their
 #: bounds, so their number is fixed.
 RANGES = 1024
@@ -58,9 +58,15 @@ def _place(item: str, index: str, bits: int) -> str:
     return f"(shiftrightunsigned({item}.h, shiftright({index}, {bits}) * 10) & {mask}L) = ({index} & {mask})"
 
 
+def _let(value: str, name: str, body: str, zero: str) -> str:
+    """``body`` with a name for a value that is computed once."""
+    return f"aggregate(array({value}), {zero}, (unused_{name}, {name}) -> {body})"
+
+
 def _cells(placed: str, bits: int) -> str:
-    return (f"transform(sequence(0, {(TABLES << bits) - 1}), ci -> aggregate(filter({placed}, it -> {_place('it', 'ci', bits)}), "
+    each = (f"transform(sequence(0, {(TABLES << bits) - 1}), ci -> aggregate(filter(pl, it -> {_place('it', 'ci', bits)}), "
             f"{_NO_CELL}, (ac, it) -> named_struct('n', ac.n + 1, 'v', ac.v ^ it.v)))")
+    return _let(placed, "pl", each, "cast(array() as array<struct<n:int,v:bigint>>)")
 
 
 def _minus(a: str, b: str) -> str:
@@ -68,8 +74,8 @@ def _minus(a: str, b: str) -> str:
 
 
 def _peel(cells: str, bits: int, salt: int, rounds: int) -> str:
-    """(ok, added, removed) of a difference. Each round takes the lone digests of one table, which
-    are in one cell of it only, out of all tables."""
+    """(ok, added, removed, left) of a difference. Each round takes the lone digests of one table,
+    which are in one cell of it only, out of all tables; it ends when no table has any."""
     width = 1 << bits
     table = f"slice(st.c, {width} * (rd % {TABLES}) + 1, {width})"
     lone = (f"filter(transform(filter(transform({table}, (ce, wi) -> named_struct('n', ce.n, 'v', ce.v, 'i', wi)), "
@@ -78,19 +84,15 @@ def _peel(cells: str, bits: int, salt: int, rounds: int) -> str:
             f"ln -> (shiftrightunsigned(ln.h, (rd % {TABLES}) * 10) & {width - 1}L) = ln.i)")
     out = (f"transform(s2.c, (ce, cj) -> aggregate(filter(lone, lt -> {_place('lt', 'cj', bits)}), ce, "
            f"(ax, lt) -> named_struct('n', ax.n - lt.n, 'v', ax.v ^ lt.v)))")
-    step = (f"aggregate(array({lone}), st, (s2, lone) -> if(size(lone) = 0, s2, named_struct('c', {out}, "
-            f"'p', s2.p + size(filter(lone, lq -> lq.n > 0)), 'm', s2.m + size(filter(lone, lq -> lq.n < 0)))))")
+    step = (f"if(st.z >= {TABLES}, st, aggregate(array({lone}), st, (s2, lone) -> if(size(lone) = 0, "
+            f"named_struct('c', s2.c, 'p', s2.p, 'm', s2.m, 'z', s2.z + 1), named_struct('c', {out}, "
+            f"'p', s2.p + size(filter(lone, lq -> lq.n > 0)), 'm', s2.m + size(filter(lone, lq -> lq.n < 0)), 'z', 0))))")
     left = "aggregate(en.c, 0, (ag, ce) -> ag + abs(ce.n))"
-    return (f"aggregate(sequence(0, {rounds - 1}), named_struct('c', {cells}, 'p', 0, 'm', 0), (st, rd) -> {step}, "
+    return (f"aggregate(sequence(0, {rounds - 1}), named_struct('c', {cells}, 'p', 0, 'm', 0, 'z', 0), (st, rd) -> {step}, "
             f"en -> named_struct('ok', forall(en.c, ce -> ce.n = 0 and ce.v = 0L), 'added', en.p, 'removed', en.m, "
             f"'left', {left}))")
 
 
-def _let(value: str, name: str, body: str, zero: str) -> str:
-    """``body`` with a name for a value that is computed once."""
-    return f"aggregate(array({value}), {zero}, (unused_{name}, {name}) -> {body})"
-
-
 _NONE = "named_struct('ok', false, 'added', 0, 'removed', 0, 'left', 0)"
 
 
@@ -124,7 +126,7 @@ def cells(digests: str = "digests") -> Column:
 
 def as_string(cells: str = "cells") -> Column:
     """A sketch as text: number and XOR of each cell."""
-    return F.expr(f"base64(unhex(array_join(transform({cells}, ce -> concat(lpad(hex(ce.n), 6, '0'), lpad(hex(ce.v), 16, '0'))), '')))")
+    return F.expr(f"array_join(transform({cells}, ce -> concat(ce.n, '.', hex(ce.v))), ' ')")
 
 
 def compare(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
