@@ -168,23 +168,32 @@ class Transducer:
             state.next[byte] = edge
         return edge
 
+    def ended(self, state: State, byte: int) -> list[int]:
+        """The tokens after the last final one when the piece ends with this byte, last one first."""
+        pending, last = state.pending + bytes((byte,)), state.last
+        for at in state.open:
+            code = self.begun.get(pending[at:])
+            if code is not None and code > 1 and self.valid(last[at] if at else state.before, (code >> 1) - 1):
+                out = [(code >> 1) - 1]
+                while at:
+                    out.append(last[at])
+                    at -= len(self.bytes_of[last[at]])
+                return out
+        raise ValueError(f"no token for byte {byte}")
+
     def encode(self, piece: bytes) -> list[int]:
         """Tokens of one piece."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
+        if len(self.states) > STATES or len(self.pairs) > REMEMBERED:
+            self.clear()
         out, state = [], self.start
-        for byte in piece:
+        for byte in piece[:-1]:
             tokens, state = state.next.get(byte) or self.step(state, byte)
             if tokens:
                 out += tokens
-        rest, at = [], len(state.pending)
-        while at:
-            rest.append(state.last[at])
-            at -= len(self.bytes_of[rest[-1]])
-        if len(self.states) > STATES or len(self.pairs) > REMEMBERED:
-            self.clear()
-        return out + rest[::-1]
+        return out + self.ended(state, piece[-1])[::-1]
 
 
 class Pieces(dict):
