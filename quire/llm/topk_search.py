@@ -5,7 +5,8 @@ most log2(number of codes) bits, and each segment indexes the distinct codes by
 within distance r of a query's differs in some segment by at most r / segments bits. So a query
 probes the index with all values that differ from its own segments by 0 bits, then 1, 2, ...;
 after radius s every code up to distance segments * (s + 1) - 1 is found. A query ends when it has
-k verified neighbours within that distance: then no other can be among the nearest k.
+k verified neighbours within that distance: then no other can be among the nearest k. Until then,
+codes farther than the k-th neighbour found so far are passed over.
 
 Equal codes are one entry that keeps its k + 1 least ids, so a vector that fills a third of the
 table is found and compared once. Ties go to the smaller id. Everything is SQL functions.
@@ -71,7 +72,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
         F.expr(f"named_struct('seg', {i}, 'value', {_segment('code', *b)})") for i, b in enumerate(bounds)))).alias("s"),
         "code", "ids").select("s.seg", "s.value", "code", "ids")
     index = written(index, "index")
-    active = written(asked.select(F.col("code").alias("query")).distinct(), "active")
+    # ``most``: no neighbour of the query can be farther, given those found so far
+    active = written(asked.select(F.col("code").alias("query"), F.lit(BITS).alias("most")).distinct(), "active")
     empty = "query long, code long, ids array<long>, distance int"
     best = vectors.sparkSession.createDataFrame([], empty)
     ended = []
@@ -81,13 +83,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
             masks = [sum(1 << x for x in c) for c in combinations(range(bits), radius)]
             if not masks:
                 continue
-            probe = active.select("query", F.lit(i).alias("seg"), F.explode(F.lit(np.array(masks, dtype=np.int64))).alias("mask"))
-            probe = probe.select("query", "seg", F.expr(f"{_segment('query', first, bits)} ^ mask").alias("value"))
+            probe = active.select("query", "most", F.lit(i).alias("seg"), F.explode(F.lit(np.array(masks, dtype=np.int64))).alias("mask"))
+            probe = probe.select("query", "most", "seg", F.expr(f"{_segment('query', first, bits)} ^ mask").alias("value"))
             probes = probe if probes is None else probes.unionByName(probe)
         apart = [f"bit_count({_segment('query ^ code', *b).replace('query ^ code', '(query ^ code)')})" for b in bounds]
         # a code is taken up once: where the first of its closest segments is probed
         turn = f"array_position(array({', '.join(apart)}), {radius}) = seg + 1 and array_min(array({', '.join(apart)})) = {radius}"
-        found = (probes.join(index, ["seg", "value"]).filter(turn)
+        found = (probes.join(index, ["seg", "value"]).filter(turn).filter("bit_count(query ^ code) <= most")
                  .select("query", "code", "ids", F.expr("cast(bit_count(query ^ code) as int)").alias("distance")))
         w = Window.partitionBy("query").orderBy("distance", F.element_at("ids", 1), "code")
         best = (best.unionByName(found).withColumn("n", F.row_number().over(w)).filter(F.col("n") <= k + 1).drop("n"))
@@ -98,7 +100,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
         if radius < max(b for _, b in bounds):
             ended.append(written(best.join(sure, "query", "left_semi"), "ended"))
             best = written(best.join(sure, "query", "left_anti"), "open")
-            active = written(active.join(sure, "query", "left_anti"), "active")
+            so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            most = (best.withColumn("have", F.sum(F.size("ids")).over(so_far)).filter(F.col("have") > k)
+                    .groupBy("query").agg(F.min("distance").alias("kth")))
+            active = written(active.join(sure, "query", "left_anti").join(most, "query", "left")
+                             .select("query", F.coalesce("kth", "most").alias("most")), "active")
             if active.isEmpty():
                 break
     for more in ended:
