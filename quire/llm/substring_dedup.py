@@ -54,31 +54,40 @@ def repeated_spans(docs: DataFrame, k: int = K, q: int = Q) -> DataFrame:
                                 "source_key", (F.col("at") + F.col("lag")).alias("source_at")), "spans")
 
 
+_PLACE = ["doc_id", "key", "at", "count"]
+
+
 def _digests(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            ids, digests = [], []
-            for body, at, count, span in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            rows = []
+            for doc_id, key, body, at, count in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = body.split()
-                for a, n, s in zip(at, count, span, strict=True):
-                    ids.append(s)
-                    digests.append(hashlib.blake2b(b" ".join(words[a:a + n + k - 1]), digest_size=16).digest())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(digests, pa.binary())],
-                                             ["span", "digest"])
+                for a, n in zip(at, count, strict=True):
+                    text = b" ".join(words[a:a + n + k - 1])
+                    rows.append((doc_id, key, a, n, hashlib.blake2b(text, digest_size=16).digest()))
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                list(zip(*rows, strict=True)) or [[]] * 5, kinds, strict=True)], [*_PLACE, "digest"])
 
     return run
 
 
 def verified(docs: DataFrame, spans: DataFrame, k: int = K) -> DataFrame:
-    """The spans whose words at the source coordinates are the same."""
-    named = spans.withColumn("span", F.concat_ws(":", "doc_id", "key", "at", "source_id", "source_at", "count"))
-    here = named.select("doc_id", "key", "at", "count", "span")
-    there = named.select(F.col("source_id").alias("doc_id"), F.col("source_key").alias("key"),
-                         F.col("source_at").alias("at"), "count", "span")
-    places = repeats.lists(here.unionByName(there), "at", "count", "span")
-    read = (repeats.at_key(repeats.keyed(docs), places).select("body", "at", "count", "span").mapInArrow(_digests(k), "span string, digest binary"))
-    same = read.groupBy("span").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a = b")
-    return named.join(same.select("span"), "span", "left_semi").drop("span")
+    """The spans whose words at the source coordinates are the same. A place that many spans
+    have as their source is read once."""
+    there = spans.select(F.col("source_id").alias("doc_id"), F.col("source_key").alias("key"),
+                         F.col("source_at").alias("at"), "count")
+    places = repeats.lists(spans.select(_PLACE).union(there).distinct(), "at", "count")
+    read = (repeats.at_key(repeats.keyed(docs), places).select("doc_id", "key", "body", "at", "count")
+            .mapInArrow(_digests(k), "doc_id long, key int, at int, count int, digest binary")
+            .groupBy(_PLACE).agg(F.min("digest").alias("digest")))  # equal rows have equal places
+    read = written(read, "digests")
+    source = read.select(*(F.col(c).alias(f"source_{c.removeprefix('doc_')}") for c in _PLACE[:3]), "count",
+                         F.col("digest").alias("source_digest"))
+    return (spans.join(repeats.unique(read), _PLACE)
+            .join(repeats.unique(source), ["source_id", "source_key", "source_at", "count"])
+            .filter("digest = source_digest").select(spans.columns))
 
 
 def _cut(k: int):
