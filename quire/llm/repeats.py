@@ -7,7 +7,7 @@ their q-grams. Equal windows have equal anchors, so
 
 1. anchors seen in one document only drop out (one narrow row for each piece);
 2. of the other anchors, a piece whose whole sequence an earlier document has is repeated
-   as one;
+   as one (by two 64-bit names: its anchor's and its own);
 3. a piece first seen here, whose anchor has other pieces too, may share single windows with
    them: it goes to the next, larger q. At q = k a piece is one window, and nothing is left.
 
@@ -146,7 +146,9 @@ def _pieces(spec: Spec, level: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in grams.blocks(rows_of(batches), lambda r: len(r[2]), BLOCK_BYTES):
-            lanes, starts = spec.tokens([r[2] for r in part], 2)
+            # where a piece is one window, its name is of another lane than its anchor
+            single = spec.sizes[level] == spec.k
+            lanes, starts = spec.tokens([r[2] for r in part], 1 + single)
             doc = np.arange(len(part))
             shift = np.zeros(len(part), dtype=np.int64) - starts[:-1]
             if level:
@@ -166,7 +168,7 @@ def _pieces(spec: Spec, level: int) -> Callable:
                 which = np.flatnonzero(np.isin(w.anchor.view(np.int64), known))
             if not len(which):
                 continue
-            second = grams.gram_ids(lanes[1], [spec.k], lane=1)[spec.k]
+            second = grams.gram_ids(lanes[1], [spec.k], lane=1)[spec.k] if single else w.window
             unit = w.documents(w.at[which])
             own = doc[unit]
             ids = np.array([r[0] for r in part], dtype=np.int64)[own]
