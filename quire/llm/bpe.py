@@ -37,9 +37,9 @@ from quire.llm.common import documents, slices
 #: Pieces up to so many characters are remembered with their tokens,
 PIECE_CHARS = 32
 #: so many of them in a generation (there are two),
-REMEMBERED = 450_000
+REMEMBERED = 900_000
 #: so many states before the machine is begun anew,
-STATES = 60_000
+STATES = 200_000
 #: and transitions into states of so many pending bytes.
 SHORT = 5
 
