@@ -84,7 +84,7 @@ def test_verification_drops_a_span_that_differs_at_its_source(spark):
 
 
 def test_empty_tables(spark):
-    none = frame(spark, []) if False else spark.createDataFrame([], DOCS)
+    none = spark.createDataFrame([], DOCS)
     assert substring_dedup.substring_dedup(none).collect() == []
     assert suffix_dedup.suffix_dedup(none).collect() == []
     assert line_dedup.line_dedup(none).collect() == []
