@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.functions.features import train_flag
-from quire.operators import corpus, evaluate, labels, tfidf, vectors
+from quire.operators import corpus, labels, tfidf, vectors
 from quire.plans import jobs, tfidf_nb
 from quire.session import scratch_path
 from quire.sinks import files as sinks
