@@ -14,6 +14,11 @@ maxima of the registers, and equal registers are as frequent as the sets are sim
   is greater, and pairs far below the threshold drop out.
 * What is left is confirmed on the full sets; first each set's most likely partner, then,
   of the other pairs, those not connected yet.
+* Members of a crowded bucket that are not connected after that are compared exactly, by prefix
+  filter: two sets of 0.85 share one of the first few of their shingles in any order that holds
+  for all. Shingles within one component come first, being shared with no other, then the rare
+  ones; so those of a template come last and are hardly ever among the first few. A set that has
+  many shingles of a template among them costs a comparison with each such set of the template.
 
 Edge cases: a text that is null or has no word has an empty set and is linked with nothing;
 a text of fewer words than a shingle is one shingle; rows without an id are linked with
@@ -27,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm import grams
@@ -114,23 +119,25 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(d2.view(np.int64)), pa.array(sketch, pa.binary())], ["doc_id", "n_shingles", "d1", "d2", "sketch"])
 
 
-def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", *(f"k{i}" for i in range(len(DEPTHS)))]
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype="<u2").reshape(-1, REGISTERS).astype(np.uint64)
-        rows = np.concatenate([rows, rows], axis=1)  # runs go on at the first register
-        docs = np.asarray(batch.column(0))
-        for band in range(BANDS):
-            keys, value, done = [], np.full(len(rows), band, dtype=np.uint64), 0
-            for depth in DEPTHS:
-                for i in range(done, depth):
-                    value = grams.pair(value, rows[:, band * ROWS + i], i)
-                done = depth
-                key = grams.mix(value).view(np.int64)
-                keys.append(pa.array(key) if depth == ROWS or band % EVERY == 0 else pa.nulls(len(rows), pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(docs), *keys], names)
+def _band_keys(names: list[str], depths: tuple[int, ...] = DEPTHS):
+    """Rows of columns ``names`` and, last, a sketch: with the keys of its buckets in its place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.frombuffer(b"".join(batch.columns[-1].to_pylist()), dtype="<u2").reshape(-1, REGISTERS).astype(np.uint64)
+            rows = np.concatenate([rows, rows], axis=1)  # runs go on at the first register
+            for band in range(BANDS):
+                keys, value, done = [], np.full(len(rows), band, dtype=np.uint64), 0
+                for depth in depths:
+                    for i in range(done, depth):
+                        value = grams.pair(value, rows[:, band * ROWS + i], i)
+                    done = depth
+                    key = grams.mix(value).view(np.int64)
+                    keys.append(pa.array(key) if depth == ROWS or band % EVERY == 0 else pa.nulls(len(rows), pa.int64()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *keys], [*names, *(f"k{i}" for i in range(len(depths)))])
+
+    return run
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -163,7 +170,7 @@ def candidates(sets: DataFrame) -> DataFrame:
     """(a, b, likely): pairs of sets, a < b, that share a bucket and may be similar enough.
     ``sets`` has (doc_id, n_shingles, sketch)."""
     keys = [f"k{i}" for i in range(len(DEPTHS))]
-    rows = sets.select("doc_id", "sketch").mapInArrow(_band_keys, "doc_id long, " + ", ".join(f"{k} long" for k in keys))
+    rows = sets.select("doc_id", "sketch").mapInArrow(_band_keys(["doc_id"]), "doc_id long, " + ", ".join(f"{k} long" for k in keys))
     shared = rows.groupBy("k0").agg(F.count("*").alias("n0")).filter("n0 > 1")
     rows = written(rows.join(unique(shared), "k0"), "bands")
     popular = rows.groupBy("doc_id").agg(F.sum("n0").alias("meets"))
@@ -190,7 +197,12 @@ def candidates(sets: DataFrame) -> DataFrame:
     out = out.filter("doc_id <> other").select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b"))
     out = written(out.distinct(), "pairs")
     discard(rows)
-    near = (out.join(sets.selectExpr("doc_id as a", "sketch as sa", "n_shingles as na"), "a")
+    return estimated(out, sets)
+
+
+def estimated(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, likely): the pairs (a, b) that may be similar enough by their sketches."""
+    near = (pairs.join(sets.selectExpr("doc_id as a", "sketch as sa", "n_shingles as na"), "a")
             .join(sets.selectExpr("doc_id as b", "sketch as sb", "n_shingles as nb"), "b")
             .filter(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
             .select("a", "b", "sa", "sb", "na", "nb").mapInArrow(_estimated, "a long, b long, likely double")
@@ -227,6 +239,63 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                    .select("a", "b", "x", "y").mapInArrow(_similar, "a long, b long"), "links")
 
 
+def full_sets(body: DataFrame, keys: DataFrame) -> DataFrame:
+    """(doc_id, ids): the sets of the documents of ``keys`` (doc_id, n_shingles)."""
+    return written(body.filter("body is not null").join(keys.select("doc_id"), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, ids binary")
+                   .join(keys.withColumnRenamed("n_shingles", "n"), "doc_id")
+                   .filter("length(ids) = 8 * n").dropDuplicates(["doc_id"]).select("doc_id", "ids"), "full")
+
+
+def crowded(sets: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc_id, component): the members of all buckets too large to compare their sets with each
+    other whose sets are not all of one component."""
+    rows = (sets.join(unique(known.selectExpr("node as doc_id", "component")), "doc_id", "left")
+            .select("doc_id", F.coalesce("component", "doc_id").alias("component"), "sketch")
+            .mapInArrow(_band_keys(["doc_id", "component"], DEPTHS[:1]), "doc_id long, component long, k0 long"))
+    rows = written(rows, "buckets")
+    mixed = (rows.groupBy("k0").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .filter((F.col("n") > SMALL) & (F.col("lo") < F.col("hi"))).select("k0"))
+    members = written(rows.join(unique(mixed), "k0", "left_semi").select("doc_id", "component").distinct(), "members")
+    discard(rows)
+    return members
+
+
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        for doc, component, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            values = np.frombuffer(ids, np.int64)
+            fixed = [pa.array(np.full(len(values), x, dtype=np.int64)) for x in (doc, component, len(values))]
+            yield pa.RecordBatch.from_arrays([*fixed, pa.array(values)], ["doc_id", "component", "n", "shingle"])
+
+
+def remainder(members: DataFrame, full: DataFrame) -> DataFrame:
+    """(a, b): all pairs of members of different components that can be similar enough."""
+    rows = written(full.join(unique(members), "doc_id").select("doc_id", "component", "ids")
+                   .mapInArrow(_spread, "doc_id long, component long, n long, shingle long"), "shingles")
+    shared = (rows.groupBy("shingle").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+              .filter("lo < hi").select("shingle", "df"))
+    # places in the order; shingles that only one component has stand before
+    one = Window.partitionBy("doc_id")
+    placed = (rows.join(unique(shared), "shingle")
+              .withColumn("at", F.col("n") - F.count("*").over(one) + F.row_number().over(one.orderBy("df", "shingle"))))
+    need = f"(({PERCENT} * n + 99) div 100)"
+    prefix = written(placed.filter(f"at <= n - {need} + 1").drop("df"), "prefix")
+    discard(rows)
+    # what most sets with a shingle are connected to already is not compared within itself
+    main = (prefix.groupBy("shingle", "component").agg(F.count("*").alias("c")).groupBy("shingle")
+            .agg(F.max(F.struct("c", "component")).alias("most")).select("shingle", F.col("most.component").alias("main")))
+    prefix = written(prefix.join(unique(main), "shingle").withColumn("minor", F.expr("component <> main")).drop("main"), "prefix")
+    # a set no larger than its partner needs fewer places
+    fewer = f"((2 * {PERCENT} * n + {99 + PERCENT}) div {100 + PERCENT})"
+    less, more = prefix.filter(f"at <= n - {fewer} + 1").alias("s"), prefix.alias("l")
+    fits = F.expr(f"""s.shingle = l.shingle and s.component <> l.component
+ and (s.n < l.n or s.n = l.n and s.doc_id < l.doc_id) and 100 * s.n >= {PERCENT} * l.n
+ and {100 + PERCENT} * (least(s.n - s.at, l.n - l.at) + 1) >= {PERCENT} * (s.n + l.n)""")
+    pairs = (less.filter("s.minor").join(more, fits).select("s.doc_id", F.col("l.doc_id").alias("other"))
+             .union(less.filter("not s.minor").join(more.filter("l.minor"), fits).select("s.doc_id", F.col("l.doc_id").alias("other"))))
+    return written(pairs.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct(), "pairs")
+
+
 def near_dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept)."""
     body = docs.select("doc_id", F.col("text").cast("binary").alias("body"))
@@ -239,12 +308,8 @@ def near_dedup(docs: DataFrame) -> DataFrame:
                    .dropDuplicates(["doc_id"]).select("doc_id", "d1", "d2", "n_shingles", "sketch"), "sets")
     likely = candidates(sets)
     keys = written(sets.select("doc_id", "n_shingles"), "keys")
-    discard(sets)
     ends = likely.selectExpr("a as doc_id").union(likely.selectExpr("b as doc_id")).distinct()
-    keys = ends.join(keys, "doc_id")
-    full = written(body.filter("body is not null").join(ends, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, ids binary")
-                   .join(keys.withColumnRenamed("n_shingles", "n"), "doc_id")
-                   .filter("length(ids) = 8 * n").dropDuplicates(["doc_id"]).select("doc_id", "ids"), "full")
+    full = full_sets(body, ends.join(keys, "doc_id"))
     best = likely.groupBy("b").agg(F.max(F.struct("likely", (-F.col("a")).alias("minus"))).alias("best"))
     first = confirmed(best.select((-F.col("best.minus")).alias("a"), "b"), full)
     known = written(components(first), "components")
@@ -254,6 +319,13 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     second = confirmed(rest, full)
     discard(full)
     known = written(components(known.selectExpr("node as a", "component as b").unionByName(second)), "components")
+    members = crowded(sets, known)
+    if not members.isEmpty():
+        full = full_sets(body, members.join(keys, "doc_id").select("doc_id", "n_shingles"))
+        third = confirmed(estimated(remainder(members, full), sets).select("a", "b"), full)
+        discard(full)
+        known = written(components(known.selectExpr("node as a", "component as b").unionByName(third)), "components")
+    discard(sets)
     found = (classes.join(known.selectExpr("node as first", "component"), "first", "left")
              .select("d1", "d2", F.coalesce("component", "first").alias("component")))
     return (sketches.select("doc_id", "n_shingles", "d1", "d2").join(found, ["d1", "d2"], "left")

@@ -149,6 +149,19 @@ def test_near_dedup_of_one_large_group(spark):
     assert sorted(map(tuple, near_dedup.near_dedup(frame(spark, rows)).collect())) == sorted(brute.near(rows))
 
 
+@pytest.mark.parametrize("filled,shared", [(20, 3), (24, 6)])
+def test_near_dedup_of_a_template_whose_only_links_are_pairs(spark, filled, shared):
+    # the template alone makes 0.83 or 0.81, with what a pair shares 0.86
+    template = [f"t{i}" for i in range(202)]
+    rows = []
+    for d in range(120):
+        own = [f"p{d // 2}w{i}" for i in range(shared)] + [f"d{d}w{i}" for i in range(filled - shared)]
+        rows.append((d, " ".join(template + own)))
+    expected = brute.near(rows)
+    assert len({component for _, _, component, _ in expected}) == 60
+    assert sorted(map(tuple, near_dedup.near_dedup(frame(spark, rows)).collect())) == sorted(expected)
+
+
 def test_near_dedup_null_and_repeated_ids(spark):
     text = " ".join(f"w{i}" for i in range(30))
     got = near_dedup.near_dedup(frame(spark, [(None, text), (2, text), (2, text), (1, text), (None, None)])).collect()
