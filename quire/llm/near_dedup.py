@@ -52,8 +52,6 @@ ROWS = REGISTERS // BANDS
 DEPTHS = (ROWS, 2 * ROWS, 4 * ROWS)
 #: Base and rate of the registers' scale, and its last value.
 BASE, RATE, LAST = 1.005, 20.0, 65_534
-#: Longer runs are looked at from every so many bands on.
-EVERY = 3
 #: Sets in a bucket that are compared with each other, not only with the centres.
 SMALL = 6
 #: Estimated similarity below which a pair is dropped: 6 standard errors under the threshold.
@@ -134,7 +132,7 @@ def _band_keys(names: list[str], depths: tuple[int, ...] = DEPTHS):
                         value = grams.pair(value, rows[:, band * ROWS + i], i)
                     done = depth
                     key = grams.mix(value).view(np.int64)
-                    keys.append(pa.array(key) if depth == ROWS or band % EVERY == 0 else pa.nulls(len(rows), pa.int64()))
+                    keys.append(pa.array(key))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *keys], [*names, *(f"k{i}" for i in range(len(depths)))])
 
     return run
@@ -179,7 +177,7 @@ def candidates(sets: DataFrame) -> DataFrame:
     pairs, upper = [], None
     for i, k in enumerate(keys):
         # the whole bucket is one of the longer run's parts where a shorter run's was large
-        inside = rows if upper is None else rows.filter(f"{k} is not null").join(unique(upper), keys[i - 1], "left_semi")
+        inside = rows if upper is None else rows.join(unique(upper), keys[i - 1], "left_semi")
         buckets = inside.groupBy(k).agg(F.count("*").alias("n"), F.min("doc_id").alias("least"),
                                         F.max(F.struct("meets", (-F.col("doc_id")).alias("minus"))).alias("centre"))
         buckets = buckets.filter("n > 1")
