@@ -8,8 +8,9 @@ after radius s every code up to distance segments * (s + 1) - 1 is found. A quer
 k verified neighbours within that distance: then no other can be among the nearest k. Until then,
 codes farther than the k-th neighbour found so far are passed over.
 
-Equal codes are one entry that keeps its k + 1 least ids, so a vector that fills a third of the
-table is found and compared once. Ties go to the smaller id. Everything is SQL functions.
+Equal codes are one entry that keeps its k + 1 least distinct ids and how often each has the code, k
+at most, so a vector that fills a third of the table is found and compared once. Rows with the
+query's own id are not counted wherever it is decided what is near enough. Ties go to the smaller id. Everything is SQL functions.
 
 Edge cases: a null vector or id, or a vector without components, is neither query nor neighbour;
 a null or zero component is a 0 bit; components past the 64th are added to those 64 places
@@ -64,8 +65,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
     rows = written(coded(vectors), "codes")
     asked = written(coded(queries).distinct(), "queries")
     least = Window.partitionBy("code").orderBy("id")
-    entries = (rows.withColumn("n", F.row_number().over(least)).filter(F.col("n") <= k + 1).groupBy("code")
-               .agg(F.array_sort(F.collect_list("id")).alias("ids")))
+    counted = rows.groupBy("code", "id").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("times"))
+    # one of the k + 1 ids may be the query's own; of the others k rows are enough
+    entries = (counted.withColumn("n", F.row_number().over(least)).filter(F.col("n") <= k + 1).groupBy("code")
+               .agg(F.array_sort(F.collect_list(F.struct("id", "times"))).alias("ids")))
     entries = written(entries, "entries")
     bounds = segment_bounds(entries.count())
     index = entries.select(F.explode(F.array(*(
@@ -74,7 +77,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
     index = written(index, "index")
     # ``most``: no neighbour of the query can be farther, given those found so far
     active = written(asked.select(F.col("code").alias("query"), F.lit(BITS).alias("most")).distinct(), "active")
-    empty = "query long, code long, ids array<long>, distance int"
+    empty = "query long, code long, ids array<struct<id:long,times:int>>, distance int"
     best = vectors.sparkSession.createDataFrame([], empty)
     ended = []
     for radius in range(max(b for _, b in bounds) + 1):
@@ -91,18 +94,23 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
         turn = f"array_position(array({', '.join(apart)}), {radius}) = seg + 1 and array_min(array({', '.join(apart)})) = {radius}"
         found = (probes.join(index, ["seg", "value"]).filter(turn).filter("bit_count(query ^ code) <= most")
                  .select("query", "code", "ids", F.expr("cast(bit_count(query ^ code) as int)").alias("distance")))
-        w = Window.partitionBy("query").orderBy("distance", F.element_at("ids", 1), "code")
-        best = (best.unionByName(found).withColumn("n", F.row_number().over(w)).filter(F.col("n") <= k + 1).drop("n"))
+        # k + 1 least ids that differ are enough: one of them may be the query's own, in any number of codes
+        best = best.unionByName(found).withColumn("least", F.col("ids")[0]["id"])
+        once = Window.partitionBy("query", "least").orderBy("distance", "code")
+        w = Window.partitionBy("query").orderBy("distance", "least", "code").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        best = (best.withColumn("new", (F.row_number().over(once) == 1).cast("int")).withColumn("n", F.sum("new").over(w))
+                .filter(F.col("n") <= k + 1).drop("n", "new", "least"))
         best = written(best, "best")
         covered = len(bounds) * (radius + 1) - 1
-        sure = (best.filter(F.col("distance") <= covered).groupBy("query").agg(F.sum(F.size("ids")).alias("have"))
+        # ids within a distance: when k + 1 differ, k are not the query's own
+        others = best.select("query", "distance", F.explode("ids.id").alias("id")).groupBy("query", "id").agg(F.min("distance").alias("distance"))
+        sure = (others.filter(F.col("distance") <= covered).groupBy("query").agg(F.count("*").alias("have"))
                 .filter(F.col("have") > k).select("query"))
         if radius < max(b for _, b in bounds):
             ended.append(written(best.join(sure, "query", "left_semi"), "ended"))
             best = written(best.join(sure, "query", "left_anti"), "open")
-            so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            most = (best.withColumn("have", F.sum(F.size("ids")).over(so_far)).filter(F.col("have") > k)
-                    .groupBy("query").agg(F.min("distance").alias("kth")))
+            rank = F.row_number().over(Window.partitionBy("query").orderBy("distance", "id"))
+            most = others.withColumn("n", rank).filter(F.col("n") == k + 1).select("query", F.col("distance").alias("kth"))
             active = written(active.join(sure, "query", "left_anti").join(most, "query", "left")
                              .select("query", F.coalesce("kth", "most").alias("most")), "active")
             if active.isEmpty():
@@ -110,8 +118,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
     for more in ended:
         best = best.unionByName(more)
     pairs = (asked.withColumnRenamed("code", "query").join(best, "query")
-             .select(F.col("id").alias("query_id"), "distance", F.explode("ids").alias("neighbour_id"))
-             .filter("query_id <> neighbour_id"))
+             .select(F.col("id").alias("query_id"), "distance", F.explode("ids").alias("other"))
+             .filter("query_id <> other.id")
+             .select("query_id", "distance", F.explode(F.expr("array_repeat(other.id, other.times)")).alias("neighbour_id")))
     w = Window.partitionBy("query_id").orderBy("distance", "neighbour_id")
     return (pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("long"), "neighbour_id", F.col("distance").cast("long")))

@@ -97,6 +97,29 @@ def test_top_k(spark, rows, k):
     assert sorted(map(tuple, got.collect())) == nearest(rows, k, 10)
 
 
+def crowded(seed):
+    """Few codes and ids: a query's id stands several times in its own code and in others."""
+    rng = random.Random(seed)
+    near = [[1.0 if i > j else -1.0 for i in range(64)] for j in range(12)]
+    return ([(0, v) for v in near] + [(0, near[0])] * 14 + [(i, near[0]) for i in range(1, 8)] * 2
+            + [(rng.choice([3, 10, 20, 21, 22]), rng.choice(near)) for _ in range(20)])
+
+
+@pytest.mark.parametrize("rows,k", [([(0, [1.0] * 8)] * 2 + [(i, [1.0] * 8) for i in range(1, 11)] + [(11, [-1.0] * 8)], 10),
+                                    ([(0, [1.0] * 8)] * 9 + [(i, [1.0] * 8) for i in range(1, 6)] + [(11, [-1.0] * 8)], 4),
+                                    (crowded(1), 3), (crowded(2), 10)])
+def test_top_k_of_a_repeated_query_id(spark, rows, k):
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk_search.top_k(table, table.filter("vec_id % 10 = 0"), k=k).select("query_id", "neighbour_id", "distance").collect()
+    codes = [(i, tuple(x > 0 for x in v)) for i, v in rows]
+    expected = []
+    for query in {i for i, _ in codes if i % 10 == 0}:
+        own = {c for i, c in codes if i == query}
+        found = sorted((sum(x != y for x, y in zip(c, o)), i) for c in own for i, o in codes if i != query)
+        expected += [(query, i, d) for d, i in found[:k]]
+    assert sorted(map(tuple, got)) == sorted(expected)
+
+
 def test_top_k_of_nothing(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk_search.top_k(table, table).collect() == []
