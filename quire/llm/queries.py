@@ -9,10 +9,13 @@ from quire.llm.language_id import op9_language_id
 from quire.llm.line_dedup import op2_line_dedup
 from quire.llm.mixing import op8_mixing
 from quire.llm.near_dedup import op10_near_dedup
+from quire.llm.spelling import op13_spelling_variants
 from quire.llm.substring_dedup import op1_substring_dedup
 from quire.llm.suffix_dedup import op5_suffix_dedup
 from quire.llm.surrogates import op7_pii_surrogates
 from quire.llm.topk_search import op4_topk_search
+from quire.llm.toxicity import op11_toxicity
+from quire.llm.whitening import op12_embedding_whitening
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_near_dedup": op10_near_dedup,
+    "op11_toxicity": op11_toxicity,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -84,4 +90,28 @@ k AS (SELECT doc_id, count(*) AS spans, sum(e - b) AS removed, max(e) AS last,
 SELECT h.doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
        sha256(unhex(coalesce(t, '') || substr(hx, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM h LEFT JOIN k ON k.doc_id = h.doc_id""",
+    "op13_spelling_variants": r"""
+WITH t AS (SELECT list_reduce(list_prepend(k, range(0, 8)), lambda c, i: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END)) AS v, k
+           FROM (SELECT unnest(range(0, 256)) AS k)),
+x AS (SELECT list(v ORDER BY k) AS tab FROM t),
+e AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+r AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS c FROM e
+      WHERE length(run) >= 7 GROUP BY ALL),
+b AS (SELECT run, c, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS hx FROM r),
+h AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(hx) // 2),
+          lambda i: ('0x' || substr(hx, 2 * i + 1, 2))::BIGINT)),
+          lambda s, y: xor(s >> 8, tab[(xor(s, y) & 255) + 1])), 4294967295::BIGINT) AS h FROM b, x),
+w AS (SELECT word, sum(c)::BIGINT AS n FROM (SELECT c, CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) ||
+          substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word FROM h) WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+d AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS s FROM (SELECT *, unnest(range(0, length(word))) AS i FROM w)),
+p AS (SELECT a.word, z.word AS near, z.n AS near_n FROM d AS a JOIN d AS z ON a.i = z.i AND a.s = z.s AND a.word <> z.word
+      UNION SELECT d.word, w.word, w.n FROM d JOIN w ON d.s = w.word
+      UNION SELECT w.word, d.word, d.n FROM d JOIN w ON d.s = w.word),
+q AS (SELECT word, count(*) AS n_near, max(near_n) AS top FROM p GROUP BY word),
+g AS (SELECT p.word, min(near) AS form, max(near_n) AS form_n FROM p JOIN q ON p.word = q.word AND near_n = top GROUP BY p.word),
+f AS (SELECT w.word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form,
+             CASE WHEN form_n >= 10 * n THEN form_n END AS form_n FROM w LEFT JOIN q USING (word) LEFT JOIN g USING (word))
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, coalesce(f4.form, f3.form, f2.form, f1.form, f.form, f.word) AS root
+FROM f LEFT JOIN f AS f1 ON f1.word = f.form LEFT JOIN f AS f2 ON f2.word = f1.form
+LEFT JOIN f AS f3 ON f3.word = f2.form LEFT JOIN f AS f4 ON f4.word = f3.form""",
 }
