@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
+from quire.session import scratch_path
 
 # ---- fixed values of the published method -----------------------------------
 ABBREVIATION_SCORE = 0.3
@@ -113,23 +114,31 @@ class SentenceModel:
 
 
 def learn(df: DataFrame, text_col: str = "text") -> SentenceModel:
-    """The three lists from all texts of ``df``."""
+    """The three lists from all texts of ``df``. Two passes over the texts: counts of types, and of what
+    follows periods and other marks; both are written to the shared folder, as all lists read them."""
+    spark = df.sparkSession
+
+    def kept(table: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        table.write.parquet(path)
+        return spark.read.schema(table.schema).parquet(path)
+
     tokens = typed_tokens(df, text_col)
-    counts = type_counts(tokens)
+    counts = kept(type_counts(tokens), "sentence-types")
+    followed = kept(tokens.filter("next_kind <> '' and (dotted or sure)").groupBy("kind", "dotted", "sure", "next_kind")
+                    .agg(F.count("*").alias("c")), "sentence-ends")
     abbreviations = abbreviation_scores(counts).filter(F.col("score") >= ABBREVIATION_SCORE).select("kind")
     n = counts.agg(F.sum(F.col("n_dot") + F.col("n_plain")).cast("double").alias("n")).scalar()
     size = (F.col("n_dot") + F.col("n_plain")).cast("double")
 
-    numbered = tokens.filter((F.col("next_kind") == NUMBER) & F.col("dotted") & _word(F.col("kind"))).groupBy("kind").agg(F.count("*").cast("double").alias("c12"))
+    numbered = followed.filter((F.col("next_kind") == NUMBER) & F.col("dotted") & _word(F.col("kind"))).groupBy("kind").agg(F.sum("c").cast("double").alias("c12"))
     of_number = counts.filter(F.col("kind") == NUMBER).agg(F.coalesce(F.sum(size), F.lit(0.0)).alias("n")).scalar()
     bound = numbered.join(counts, "kind").withColumn("c1", F.col("n_dot").cast("double")).withColumn("c2", of_number).withColumn("n", n)
     ratio = dunning(F.col("c1"), F.col("c2"), F.col("c12"), F.col("n"))
     bound = bound.filter((ratio >= COLLOCATION_SCORE) & (F.col("c12") * F.col("n") > F.col("c1") * F.col("c2"))).select("kind")
 
     # sure ends: marks other than periods, and periods after words that are no abbreviations or initials
-    ends = (tokens.filter("next_kind is not null and next_kind <> ''")
-            .filter(F.col("sure") | (F.col("dotted") & (F.char_length("kind") > 1) & (F.col("kind") != NUMBER)))
-            .groupBy("kind", "sure", "next_kind").agg(F.count("*").alias("c")))
+    ends = followed.filter(F.col("sure") | (F.col("dotted") & (F.char_length("kind") > 1) & (F.col("kind") != NUMBER)))
     ends = ends.join(abbreviations.withColumn("abbreviated", F.lit(True)), "kind", "left").filter(F.col("sure") | F.col("abbreviated").isNull())
     after = ends.groupBy(F.col("next_kind").alias("kind")).agg(F.sum("c").cast("double").alias("c12"))
     n_ends = after.agg(F.sum("c12").alias("c1")).scalar()

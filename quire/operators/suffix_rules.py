@@ -9,8 +9,8 @@ that has a rule; rules are a trie laid out as a table, looked up by joins.
 Rules and forms are aggregated; the distinct forms of a corpus, not its tokens, meet the rules.
 
 Edge cases: null or empty forms and lemmas are no pairs; forms and lemmas count in lower case; a form
-listed twice votes once with its first lemma in alphabetical order; a form without a rule is its
-own lemma; an empty dictionary has no rules.
+listed twice votes once with its first lemma in alphabetical order; a form without a rule, or
+one that a rule would cut to nothing, is its own lemma; an empty dictionary has no rules.
 """
 
 from __future__ import annotations
@@ -64,7 +64,7 @@ def lemmas_of_forms(forms: DataFrame, rules: DataFrame, max_suffix: int = MAX_SU
     found = heavy_light_join(tried, rules.select("suffix", "cut", "added"), "suffix", "inner", heavy=[""])  # all forms have the empty suffix
     longest = found.groupBy("form").agg(F.max_by(F.struct("cut", "added"), "k").alias("r"))
     made = F.concat(F.substring(F.col("form"), F.lit(1), F.char_length("form") - F.col("r.cut")), F.col("r.added"))
-    return forms.join(longest, "form", "left").select("form", F.coalesce(made, F.col("form")).alias("lemma"))
+    return forms.join(longest, "form", "left").select("form", F.coalesce(F.nullif(made, F.lit("")), F.col("form")).alias("lemma"))
 
 
 def lemmatize(df: DataFrame, id_col: str, rules: DataFrame, text_col: str = "text", out_col: str = "LEMMAS",

@@ -155,7 +155,7 @@ tk AS (SELECT doc_id, lower(unnest(t)) AS form, unnest(range(0, len(t))) AS p FR
 fm AS (SELECT DISTINCT form FROM tk),
 fk AS (SELECT form, unnest(range(0, least(length(form), {X.MAX_SUFFIX}) + 1)) AS k FROM fm),
 lo AS (SELECT form, arg_max(cut, k) AS cut, arg_max(added, k) AS added FROM fk JOIN ru ON ru.suffix = substr(form, length(form) - k + 1, k) GROUP BY form),
-lm AS (SELECT form, CASE WHEN cut IS NULL THEN form ELSE substr(form, 1, length(form) - cut) || added END AS lemma FROM fm LEFT JOIN lo USING (form)),
+lm AS (SELECT form, coalesce(nullif(substr(form, 1, length(form) - cut) || added, ''), form) AS lemma FROM fm LEFT JOIN lo USING (form)),
 dl AS (SELECT doc_id, p, lemma FROM tk JOIN lm USING (form) WHERE length(lemma) >= {L.MIN_LEMMA_LENGTH} AND regexp_full_match(lemma, '\\p{{L}}+'))
 SELECT d.doc_id, count(lemma)::INTEGER AS n_lemmas, coalesce(string_agg(lemma, ' ' ORDER BY p), '') AS lemmas
 FROM documents AS d LEFT JOIN dl ON dl.doc_id = d.doc_id GROUP BY d.doc_id"""

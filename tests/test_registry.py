@@ -31,7 +31,7 @@ def test_every_query_is_registered_with_a_twin_or_is_ml():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     ml_only = {k for k in set(qs) - set(sql) if not k.startswith("op") and k != "pipeline"}
-    assert ml_only == {"pipeline_params", "w2v_vectors", "w2v_doc_vectors", "w2v_rf_predict"}
+    assert ml_only == {"pipeline_params", "w2v_vectors", "w2v_doc_vectors", "w2v_rf_predict", "pmi_vectors"}
 
 
 @pytest.mark.parametrize("key", [
