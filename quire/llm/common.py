@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import contextmanager
+from threading import get_ident
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,23 +19,52 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+#: For each thread that makes a result, the paths of the tables written on the way. A plain dict, as this
+#: module travels with the functions of tasks.
+_TABLES: dict[int, list[str]] = {}
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: it is computed once, its lineage ends there, and
     a lost executor takes nothing of it along. Its shuffle files go when it is written."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if get_ident() in _TABLES:
+        _TABLES[get_ident()].append(path)
     with settings(spark):
         df.select("*").write.parquet(path)  # a query of its own: it takes the settings when made
     return spark.read.schema(df.schema).parquet(path)
 
 
+def result(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` returns, as a written table; every table written on the way to it is removed."""
+    outer, tables = _TABLES.get(get_ident()), []
+    _TABLES[get_ident()] = tables
+    try:
+        out = written(make(), name)
+    finally:
+        if outer is None:
+            del _TABLES[get_ident()]
+        else:
+            _TABLES[get_ident()] = outer
+    for path in tables[:-1]:
+        remove(out.sparkSession, path)
+    if outer is not None:
+        outer.append(tables[-1])
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(table: DataFrame) -> None:
     """Removes the files of a ``written`` table that nothing will read again. What was made of it
     must have been written, too: a lost executor's part could not be computed anew."""
     spark = table.sparkSession
     for file in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, file)
 
 
 #: For queries that write a table: their shuffle files go when they end, not when the driver next

@@ -19,7 +19,7 @@ first language by code point; repeated rows are predicted alike; other columns a
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -153,8 +153,9 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, learn_from: Column, rows_a_language: int = ROWS_A_LANGUAGE) -> Model | None:
     """A model of the languages of the rows where ``learn_from`` holds and ``lang`` is known.
 
-    The driver gets one row for each language and, for at most about ``rows_a_language`` rows of
-    each, counts of at most ``BUCKETS`` buckets: sizes that do not grow with the corpus.
+    The driver gets one row for each language and, for about ``rows_a_language`` different texts of
+    each at most, counts of at most ``BUCKETS`` buckets. Copies of a text are made one before that, so
+    the sample does not grow with the corpus or with its copies.
     """
     known = docs.filter(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull())
     known = known.select(F.xxhash64(F.lit(SEED), "text").alias("unit"), "lang", F.col("text").cast("binary").alias("body"))
@@ -166,7 +167,8 @@ def fit(docs: DataFrame, learn_from: Column, rows_a_language: int = ROWS_A_LANGU
     for lang, n in sorted(counts.items()):
         keep = F.when(F.col("lang") == lang, min(space, rows_a_language * space // n)).otherwise(keep)
     sample = (known.filter(F.pmod(F.xxhash64("unit"), F.lit(space)) < keep)
-              .mapInArrow(_features, "unit long, lang string, at binary, weight binary").collect())
+              .mapInArrow(_features, "unit long, lang string, at binary, weight binary")
+              .groupBy("unit", "lang").agg(F.min("at").alias("at"), F.min("weight").alias("weight")).collect())
     languages = sorted(counts)
     rows = sorted({(r.unit, r.lang, bytes(r["at"]), bytes(r["weight"])) for r in sample})
     rows = [(u, lang, np.frombuffer(a, "<i4"), np.frombuffer(w, "<f4")) for u, lang, a, w in rows]
@@ -183,11 +185,12 @@ def predict(docs: DataFrame, model: Model | None, columns: tuple[str, ...] = ("d
     """``columns``, ``lang_pred`` and ``score``. Rows without letters are ``und``, whatever the
     score of the others; ``reject`` says whether the model would not vouch for its answer."""
     kept = docs.select(*columns, F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).cast("binary").alias("body"))
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # buckets x languages
+    # buckets x languages; arrays and numbers only: a broadcast object would need this library where it is read
+    sent = docs.sparkSession.sparkContext.broadcast(asdict(model) if model else None)
     names = [*columns, "lang_pred", "score", "reject"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = Model(**sent.value) if sent.value else None
         for batch in slices(batches):
             bodies = batch.column(len(columns)).to_pylist()
             lang, score = [UNKNOWN] * len(bodies), np.zeros(len(bodies))

@@ -4,9 +4,10 @@ Of each window of ``WINDOW`` consecutive lines (blank ones do not count) the lea
 the window's fingerprint, the rightmost one of equals. Every run of at least ``WINDOW`` equal lines
 therefore shares a fingerprint wherever it stands, and neighbouring windows mostly share theirs.
 
-Fingerprints that occur once drop out. The positions of the others are joined, and the match is
-extended both ways: every window around a common fingerprint is compared by a digest of its
-lines. A window that stands earlier, too (in a smaller id, or before in the same document), is a
+Fingerprints that occur once drop out. Every window whose fingerprint is a common one carries a
+digest of its lines, and windows are grouped by digest; this takes the place of joining the
+positions of fingerprints and extending matches from them, which would pair the copies of a passage
+that many documents share. A window that stands earlier, too (in a smaller id, or before in the same document), is a
 repeat; overlapping repeats make runs, and the lines of the runs are deleted. A hash that a third
 of all lines have costs one row for each task before the shuffle, and windows are grouped by what
 they hold, never paired.
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import repeats
-from quire.llm.common import documents, slices, text_key, written
+from quire.llm.common import documents, result, slices, text_key, written
 
 #: Consecutive lines of a window, and so the shortest run that is deleted.
 WINDOW = 3
@@ -112,4 +113,4 @@ def line_dedup(docs: DataFrame, window: int = WINDOW, columns: tuple[str, ...] =
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return written(line_dedup(documents(spark, sf_dir)).drop("text"), "op2")
+    return result(lambda: line_dedup(documents(spark, sf_dir)).drop("text"), "op2")

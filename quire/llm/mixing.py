@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import WORD, documents, text_key, written
+from quire.llm.common import WORD, documents, result, text_key, written
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -180,5 +180,5 @@ def mixed(docs: DataFrame, **settings) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target",
-                                                (F.col("copies") * F.col("size")).alias("taken"))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return result(lambda: mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", taken), "op8")

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm import grams
-from quire.llm.common import discard, documents, slices, written
+from quire.llm.common import discard, documents, result, slices, written
 from quire.llm.components import components
 from quire.llm.repeats import rows_of, unique
 
@@ -334,4 +334,4 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(documents(spark, sf_dir))
+    return result(lambda: near_dedup(documents(spark, sf_dir)), "op10")

@@ -36,6 +36,8 @@ from quire.llm.common import discard, slices, text_key, written
 
 #: Bytes of text that are turned into arrays at once (a longer document alone).
 BLOCK_BYTES = 1 << 18
+#: Rows of a batch that goes back to the JVM, which holds it outside of its heap.
+OUT_ROWS = 1 << 13
 
 
 @dataclass(frozen=True)
@@ -85,9 +87,10 @@ def at_key(body: DataFrame, rows: DataFrame, how: str = "inner") -> DataFrame:
 
 def texts_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key, many) of the documents that no earlier one equals, and whole spans of the
-    others; ``many`` says that their id has several texts."""
+    others; ``many`` says that their id has several texts. Equal texts are told by two hashes; the
+    second begins with a literal, as one that ends with it would be a function of the first."""
     rows = docs.filter("doc_id is not null and text is not null").select(
-        "doc_id", text_key().alias("key"), F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2"))
+        "doc_id", text_key().alias("key"), F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
     rows = written(rows, "texts")
     many = rows.groupBy("doc_id").agg((F.min("h1") < F.max("h1")).alias("many"))
     first = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"))
@@ -183,7 +186,8 @@ def _pieces(spec: Spec, level: int) -> Callable:
             open_ = ids[order] == ids[first]
             columns = [x[order] for x in (anchor, piece, ids, keys, at, w.count[which].astype(np.int32))]
             source = [pa.array(x[first], mask=open_) for x in (ids, keys, at)]
-            yield batch_of("anchor piece doc_id key at count source_id source_key source_at", *columns, *source)
+            whole = batch_of("anchor piece doc_id key at count source_id source_key source_at", *columns, *source)
+            yield from slices([whole], OUT_ROWS)
 
     return run
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import discard, documents, written
+from quire.llm.common import discard, documents, result, written
 
 # ---- fixed values of the contract -------------------------------------------
 LETTERS = r"[A-Za-zÀ-ÿ]"
@@ -165,13 +165,9 @@ def spelling_variants(docs: DataFrame, min_length: int = MIN_LENGTH, min_count:
     most = formed.agg(F.max("n")).first()[0] or 1
     links = written(formed.filter("form is not null").select("word", "form"), "spelling-links")
     last = roots(links, ceil(log2(max(2.0, log(max(most, ratio), ratio) + 1))))
-    out = formed.join(last, "word", "left").select(
+    return formed.join(last, "word", "left").select(
         "word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))
-    out = written(out, "spelling")
-    for table in (formed, last):
-        discard(table)
-    return out
 
 
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spelling_variants(documents(spark, sf_dir))
+    return result(lambda: spelling_variants(documents(spark, sf_dir)), "op13")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm import repeats
-from quire.llm.common import documents, slices, text_key, written
+from quire.llm.common import documents, result, slices, text_key, written
 
 #: Words of a window.
 K = 13
@@ -90,7 +90,7 @@ def verified(docs: DataFrame, spans: DataFrame, k: int = K) -> DataFrame:
             .filter("digest = source_digest").select(spans.columns))
 
 
-def _cut(k: int):
+def _cut(k: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = []
@@ -104,7 +104,7 @@ def _cut(k: int):
                 kept += words[last:]
                 text = b" ".join(kept)
                 rows.append((doc_id, len(words), len(words) - len(kept), len(removed),
-                             text.decode() if body is not None else None, hashlib.sha256(text).hexdigest()))
+                             text.decode() if body is not None and with_text else None, hashlib.sha256(text).hexdigest()))
             cols = list(zip(*rows, strict=True)) or [[]] * 6
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
@@ -113,16 +113,16 @@ def _cut(k: int):
     return run
 
 
-def substring_dedup(docs: DataFrame, k: int = K, q: int = Q) -> DataFrame:
+def substring_dedup(docs: DataFrame, k: int = K, q: int = Q, with_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, n_spans, text, kept_sha256): ``text`` is the kept words
-    joined by one space."""
+    joined by one space (null where it is not asked for)."""
     spans = verified(docs, repeated_spans(docs, k, q), k)
     places = repeats.lists(spans, "at", "count")
     body = docs.select("doc_id", text_key().alias("text_key"), F.col("text").cast("binary").alias("body"))
     return (repeats.at_key(body, places, "left").select("doc_id", "body", "at", "count")
-            .mapInArrow(_cut(k), "doc_id long, n_words long, n_removed long, n_spans long, text string, "
+            .mapInArrow(_cut(k, with_text), "doc_id long, n_words long, n_removed long, n_spans long, text string, "
                                  "kept_sha256 string"))
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return written(substring_dedup(documents(spark, sf_dir)).drop("text", "n_spans"), "op1")
+    return result(lambda: substring_dedup(documents(spark, sf_dir), with_text=False).drop("text", "n_spans"), "op1")

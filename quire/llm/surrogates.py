@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from quire.llm.common import documents, written
+from quire.llm.common import documents, result, written
 
 KEY = "quire-surrogate-key"
 #: Parts of the mentions of one entity in the join with its number of tries.
@@ -33,9 +33,10 @@ _FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Mademoiselle|Señora|Señorita|Signora"
 _OTHER = "Dr|Prof|Professor|Doctor"
 _HIS = "James|John|Robert|Michael|William|David|Richard|Thomas|Charles|Daniel|Hans|Peter|Klaus|Pierre|Jean|Carlos|José|Juan|Иван|Пётр"
 _HER = "Mary|Patricia|Jennifer|Linda|Elizabeth|Barbara|Susan|Jessica|Sarah|Anna|Maria|María|Marie|Claire|Ursula|Carmen|Мария|Анна"
+#: At most the 127 labels that a domain may have: each repetition of a group takes a frame of Java's stack.
 _NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 
-MAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}](?:[\p{L}\p{N}-]{0,62})\.)+[\p{L}]{2,24}(?![\p{L}\p{N}])"
+MAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}][\p{L}\p{N}-]{0,62}\.){1,126}[\p{L}]{2,24}(?![\p{L}\p{N}])"
 ACCOUNT = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
 TOKEN = r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|(?=[0-9a-fA-F]{0,63}[a-fA-F])[0-9a-fA-F]{32,64})(?![\p{L}\p{N}])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -127,7 +128,7 @@ def surrogate(df: DataFrame) -> DataFrame:
 def mentions(docs: DataFrame) -> DataFrame:
     """(doc_key, text_hash, at, s, px, kind, norm): the parts of each entity mentioned; a person has
     one for each name, all others one. Equal texts are one document here."""
-    found = docs.select(F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(7)).alias("h2"),
+    found = docs.select(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2"),
                         F.expr(f"regexp_extract_all(text, {_sql(ENTITY)}, 0)").alias("all")).filter(F.size("all") > 0)
     # a copied text's entities are the same: one row for each text and surface
     rows = found.select("h1", "h2", F.explode(F.array_distinct("all")).alias("s")).distinct()
@@ -187,7 +188,7 @@ def replaced(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text").withColumn("all", F.expr(f"regexp_extract_all(text, {_sql(ENTITY)}, 0)"))
     plain = rows.filter("text is null or size(all) = 0").select(
         "doc_id", "text", F.lit(0).cast("long").alias("n_entities"), F.array().cast("array<string>").alias("kinds"))
-    rest = rows.filter(F.size("all") > 0).withColumn("h1", F.xxhash64("text")).withColumn("h2", F.xxhash64("text", F.lit(7)))
+    rest = rows.filter(F.size("all") > 0).withColumn("h1", F.xxhash64("text")).withColumn("h2", F.xxhash64(F.lit(7), "text"))
     between = f"split(text, {_sql(ENTITY)}, -1)"
     joined = f"array_join(zip_with({between}, all, (g, e) -> concat(g, coalesce(new[e], ''))), '')"
     return plain.unionByName(rest.join(maps, ["h1", "h2"]).select(
@@ -195,4 +196,4 @@ def replaced(docs: DataFrame) -> DataFrame:
 
 
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replaced(documents(spark, sf_dir))
+    return result(lambda: replaced(documents(spark, sf_dir)), "op7")

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import written
+from quire.llm.common import result, written
 from quire.session import read_table
 
 BITS = 64
@@ -128,4 +128,4 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
 
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
-    return top_k(vectors, vectors.filter(F.col("vec_id") % EVERY == 0))
+    return result(lambda: top_k(vectors, vectors.filter(F.col("vec_id") % EVERY == 0)), "op4")
