@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm import bpe, language_id, line_dedup, mixing, near_dedup
-from quire.llm.common import documents, text_key, written
+from quire.llm.common import documents, result, text_key
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -31,14 +31,16 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of runs that stand earlier; what has no other line goes."""
-    rows = line_dedup.line_dedup(docs, columns=("doc_id", "lang", "source"))
-    rows = rows.filter("n_lines = 0 or n_removed < n_lines")
-    return rows.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+    def kept() -> DataFrame:
+        rows = line_dedup.line_dedup(docs, columns=("doc_id", "lang", "source")).filter("n_lines = 0 or n_removed < n_lines")
+        return rows.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+    return result(kept, "lines")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies."""
-    kept = near_dedup.near_dedup(docs).filter("kept").select("doc_id").distinct()
+    kept = result(lambda: near_dedup.near_dedup(docs).filter("kept").select("doc_id").distinct(), "near")
     one = Window.partitionBy("doc_id").orderBy("_key", "source", "lang")
     rows = docs.select(*COLUMNS, text_key().alias("_key"))
     known = (rows.join(kept, "doc_id", "left_semi").withColumn("_n", F.row_number().over(one))
@@ -64,5 +66,5 @@ STAGES = [("language_id", languages), ("line_dedup", lines), ("near_dedup", near
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = result(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
