@@ -32,7 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm.common import documents, slices
+from quire.llm.common import WORKER_MEMORY, documents, slices
 
 #: Pieces up to so many characters are remembered with their tokens,
 PIECE_CHARS = 32
@@ -258,7 +258,7 @@ def decode_stream(chunks: Iterable[np.ndarray], bytes_of: dict[int, bytes]) -> I
 def kept_by_worker(name: tuple, make):
     """What this Python worker keeps from task to task: Spark reuses workers, but functions that
     travel by value bring new globals each time."""
-    memory = sys.modules.setdefault("quire_worker_memory", types.ModuleType("quire_worker_memory")).__dict__
+    memory = sys.modules.setdefault(WORKER_MEMORY, types.ModuleType(WORKER_MEMORY)).__dict__
     if name not in memory:
         memory[name] = make()
     return memory[name]
@@ -272,23 +272,10 @@ def vocabulary(spark: SparkSession, path: str):
 
 
 def _encoder(ranks, pattern: str):
-    """Texts to packed ids, in a task. A worker keeps the vocabulary; states and pieces go when the task ends,
-    so that they do not stay in memory through the stages that come after it."""
+    """Texts to packed ids, in a task."""
     data, split = ranks.value, regex.compile(pattern)
-    transducer = kept_by_worker(("transducer", zlib.crc32(data), len(data)), lambda: Transducer(read_ranks(data)))
-    transducer.clear()
-    pieces = Pieces(transducer)
-
-    def encoded(text: str | None) -> bytes:
-        return b"".join(map(pieces.__getitem__, split.findall(text or "")))
-
-    def release() -> None:
-        pieces.clear()
-        pieces.older = {}
-        transducer.clear()
-
-    encoded.release = release
-    return encoded
+    pieces = kept_by_worker(("pieces", zlib.crc32(data), len(data)), lambda: Pieces(Transducer(read_ranks(data))))
+    return lambda text: b"".join(map(pieces.__getitem__, split.findall(text or "")))
 
 
 def _decoder(ranks):
@@ -318,12 +305,9 @@ def encode(docs: DataFrame, path: str, pattern: str, columns: tuple[str, ...] =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _encoder(ranks, pattern)
-        try:
-            for batch in slices(batches):
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], pa.array([ids(t.as_py()) for t in batch.column(len(columns))], pa.binary())], [*columns, "ids"])
-        finally:
-            ids.release()
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array([ids(t.as_py()) for t in batch.column(len(columns))], pa.binary())], [*columns, "ids"])
 
     return docs.select(*columns, "text").mapInArrow(run, _ddl(docs.select(*columns), "ids binary"))
 
@@ -350,16 +334,13 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, made = _encoder(ranks, pattern), _decoder(ranks)
-        try:
-            for batch in slices(batches):
-                packed = [ids(t.as_py()) for t in batch.column(1)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()),
-                     pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
-                     pa.array([hashlib.sha256(made(p)[0]).hexdigest() for p in packed], pa.string())],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        finally:
-            ids.release()
+        for batch in slices(batches):
+            packed = [ids(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()),
+                 pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
+                 pa.array([hashlib.sha256(made(p)[0]).hexdigest() for p in packed], pa.string())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import sys
 from collections.abc import Callable
 from contextlib import contextmanager
 from threading import get_ident
@@ -91,6 +93,16 @@ def settings(spark: SparkSession):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+#: The module, known to a Python worker only, that holds what operators keep from task to task.
+WORKER_MEMORY = "quire_worker_memory"
+
+
+def forget() -> None:
+    """Gives back what other operators have kept in this Python worker, as it has turned to new work."""
+    if sys.modules.pop(WORKER_MEMORY, None) is not None:
+        gc.collect()  # states of a transducer refer to each other
+
+
 def slices(batches, rows: int = 256):
     """Record batches of at most so many rows."""
     for batch in batches:

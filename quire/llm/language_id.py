@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import grams
-from quire.llm.common import documents, slices
+from quire.llm.common import documents, forget, slices
 
 #: Buckets of hashed n-grams, and the length of their embeddings.
 BUCKETS = 1 << 14
@@ -190,6 +190,7 @@ def predict(docs: DataFrame, model: Model | None, columns: tuple[str, ...] = ("d
     names = [*columns, "lang_pred", "score", "reject"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         model = Model(**sent.value) if sent.value else None
         for batch in slices(batches):
             bodies = batch.column(len(columns)).to_pylist()

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import grams
-from quire.llm.common import discard, slices, text_key, written
+from quire.llm.common import discard, forget, slices, text_key, written
 
 #: Bytes of text that are turned into arrays at once (a longer document alone).
 BLOCK_BYTES = 1 << 18
@@ -105,6 +105,7 @@ def texts_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Rows as Python values, a few hundred of a batch at a time."""
+    forget()
     for batch in slices(batches):
         yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
 

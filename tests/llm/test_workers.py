@@ -90,3 +90,16 @@ def test_blocks_that_python_returns_are_small():
                                         pa.array([[0], [0]], pa.list_(pa.int32())), pa.array([[59_951]] * 2, pa.list_(pa.int32()))], ["d", "k", "b", "at", "count"])
     sizes = [b.num_rows for b in repeats._pieces(repeats.Spec(False, 50, (40, 50)), 1)(iter([batch]))]
     assert sum(sizes) > 100_000 and max(sizes) <= repeats.OUT_ROWS
+
+
+def test_workers_forget_when_they_turn_to_other_work():
+    import types
+
+    from quire.llm import bpe, common
+
+    made = []
+    for _ in range(2):
+        bpe.kept_by_worker(("x",), lambda: made.append(1))
+    assert made == [1] and isinstance(sys.modules[common.WORKER_MEMORY], types.ModuleType)
+    list(repeats.rows_of(iter([])))
+    assert common.WORKER_MEMORY not in sys.modules
