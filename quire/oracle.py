@@ -265,6 +265,8 @@ def oracle_sql() -> dict[str, str]:
     header = ",".join(f'"{c}"' for c in SUBMISSION_COLUMNS)
     sql["sink_submission"] = (f"SELECT {q(header)} AS value UNION ALL "
                               f"SELECT '\"' || isin || '\",\"' || label || '\",,,,,0,0' FROM ({last})")
+    sql["submission_parts"] = (f"SELECT 1::BIGINT AS place, {q(header)} AS value UNION ALL "
+                               f"SELECT row_number() OVER (ORDER BY isin) + 1, '\"' || isin || '\",\"' || label || '\",,,,,0,0' FROM ({last})")
     merged = sql["src_csv_corpus"]
     line = "||','||".join(f"coalesce(CAST({c} AS VARCHAR), '')" if c in ("MIN_TRAD_AMT", "MLT_TRAD_AMT") else f"'\"' || replace({c}, '\"', '\"\"') || '\"'"
                           for c in ("ISIN", "ISSUER_NAME", "ZCP_FL", "MIN_TRAD_AMT", "MLT_TRAD_AMT", "OPS_CURR", "GA_NAME", "ROC", "TEXT"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.functions.features import train_flag
-from quire.operators import corpus, labels, tfidf, vectors
+from quire.operators import corpus, labels, numbering, tfidf, vectors
 from quire.plans import jobs, tfidf_nb
 from quire.session import scratch_path
 from quire.sinks import files as sinks
@@ -411,6 +411,16 @@ def sink_submission(spark, sf):
     return sources.read_text_lines(spark, out)
 
 
+def submission_parts(spark, sf):
+    """Prediction parts -> ordered submission part files, by their lines; ``place`` is a line's place in the
+    order of the files."""
+    out = scratch_path(spark, "roundtrip/submission_parts")
+    back = sources.read_predictions(spark, _prediction_parts(spark, sf))
+    sinks.write_submission_parts(labels.submission(back, "isin", "label", order_col="position"), out)
+    lines = sources.with_position(sources.read_text_lines(spark, out), "value")
+    return numbering.row_numbers(lines, ["position"], "place").select("place", "value")
+
+
 QUERIES = {
     "clean_text": clean_text,
     "ascii_text": ascii_text,
@@ -453,6 +463,7 @@ QUERIES = {
     "sink_predictions": sink_predictions,
     "sink_labeled_csv": sink_labeled_csv,
     "sink_submission": sink_submission,
+    "submission_parts": submission_parts,
     "src_labeled_corpus": src_labeled_corpus,
     "src_unlabeled_corpus": src_unlabeled_corpus,
     "src_label_csv": src_label_csv,

@@ -45,12 +45,13 @@ def csv_header(df: DataFrame) -> str:
 
 def write_labeled_csv(df: DataFrame, path: str) -> None:
     """Labelled corpus as CSV part files, each with a header: names and strings in quotes (inner
-    quotes doubled, so readers with escape='"' undo them), numbers bare."""
+    quotes doubled, so readers with escape='"' undo them), numbers bare. A partition is one file
+    whatever ``spark.sql.files.maxRecordsPerFile`` says, so that no file is without a header."""
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of its partition, so of its file
     lines = df.select(csv_lines(df).alias("value"))
     header = F.lit(csv_header(df) + "\n")
     (lines.select(F.when(first, F.concat(header, "value")).otherwise(F.col("value")).alias("value"))
-          .write.mode("overwrite").text(path))
+          .write.mode("overwrite").option("maxRecordsPerFile", 0).text(path))
 
 
 def write_sentences(sents: DataFrame, path: str, col: str = "sentence") -> None:
@@ -64,17 +65,34 @@ def submission_name(results_dir: str) -> str:
     return re.sub(r"^(\w+:)?/*|/*$", "", results_dir).replace("/", "_") + ".csv"
 
 
+def submission_lines(sub: DataFrame) -> Column:
+    """The rows as CSV lines: id and label in quotes, empty fields bare."""
+    return F.concat_ws(",", *(
+        F.when(F.col(f"`{f.name}`") == "", "").otherwise(_quoted(F.col(f"`{f.name}`"))) if not isinstance(f.dataType, NumericType)
+        else F.col(f"`{f.name}`").cast("string") for f in sub.schema.fields))
+
+
+def write_submission_parts(sub: DataFrame, path: str) -> None:
+    """The submission table as part files whose names are in the order of the ids; the first one begins
+    with the header. Rows are dealt by ranges of ids and written where they are sorted; Spark's commit
+    makes the files visible when all tasks have ended, so a failed task leaves none of its rows.
+    """
+    header = sub.sparkSession.range(1).select(F.lit(0).alias("_place"), F.lit("").alias("ISIN"), F.lit(csv_header(sub)).alias("value"))
+    rows = sub.select(F.lit(1).alias("_place"), "ISIN", submission_lines(sub).alias("value"))
+    (header.unionByName(rows).repartitionByRange("_place", "ISIN").sortWithinPartitions("_place", "ISIN")
+           .select("value").write.mode("overwrite").option("maxRecordsPerFile", 0).text(path))
+
+
 def write_submission(sub: DataFrame, file: str) -> None:
     """The submission table as one CSV file: quoted header, id and label in quotes, empty fields
     bare, sorted by id.
 
     The rows are sorted and written by many tasks, in parts in the order of the ids; the parts are
-    then copied into the one file that the format demands, as streams.
+    then copied into the one file that the format demands, as streams, by this process:
+    ``write_submission_parts`` is the form for large tables.
     """
     spark = sub.sparkSession
-    lines = sub.orderBy("ISIN").select(F.concat_ws(",", *(
-        F.when(F.col(f"`{f.name}`") == "", "").otherwise(_quoted(F.col(f"`{f.name}`"))) if not isinstance(f.dataType, NumericType)
-        else F.col(f"`{f.name}`").cast("string") for f in sub.schema.fields)).alias("value"))
+    lines = sub.orderBy("ISIN").select(submission_lines(sub).alias("value"))
     parts = scratch_path(spark, "submission")
     lines.write.text(parts)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop

@@ -56,9 +56,10 @@ def read_whole_texts(spark: SparkSession, dirs, pattern: str = "*.txt") -> DataF
 
 def with_position(df: DataFrame, *columns: str) -> DataFrame:
     """``columns`` and ``position``, which orders the rows of a file source as they stand: by file
-    name, then place in the file. Rows of a block are read in order by one task, so their
+    name (files of one name in several folders by path), then place in the file. Rows of a block are read in order by one task, so their
     increasing ids compare; ids of different blocks or files do not."""
     place = F.struct(F.col("_metadata.file_name").alias("file_name"),
+                     F.col("_metadata.file_path").alias("file_path"),
                      F.col("_metadata.file_block_start").alias("block"),
                      F.monotonically_increasing_id().alias("row"))
     return df.select(*(columns or ["*"]), place.alias("position"))
@@ -86,7 +87,7 @@ def malformed_rows(spark: SparkSession, path, schema: StructType | str) -> DataF
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     full = StructType([*fields.fields, StructField(CORRUPT, StringType())])
     lines = with_position(spark.read.text(path), "value")
-    first = lines.groupBy("position.file_name").agg(F.min("position").alias("first"))
+    first = lines.groupBy("position.file_path").agg(F.min("position").alias("first"))
     parsed = F.from_csv("value", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields),
                         {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     rows = lines.withColumn("row", parsed)

@@ -125,3 +125,47 @@ def test_parquet_and_sentences_sinks(spark, tmpdir_path):
     assert spark.read.parquet(os.path.join(tmpdir_path, "pq")).count() == 2
     sinks.write_sentences(df, os.path.join(tmpdir_path, "txt"))
     assert sorted(r.value for r in spark.read.text(os.path.join(tmpdir_path, "txt")).collect()) == ["One.", "Two."]
+
+
+def test_every_csv_file_has_a_header_whatever_the_session_says(spark, tmpdir_path):
+    df = spark.range(0, 50, 1, 2).select(F.col("id").cast("string").alias("ISIN"), F.lit("t").alias("TEXT"))
+    p = os.path.join(tmpdir_path, "capped")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 7)
+    try:
+        sinks.write_labeled_csv(df, p)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert sources.read_csv_corpus(spark, p, "ISIN string, TEXT string").count() == 50
+
+
+def test_submission_parts_are_ordered_and_all_or_nothing(spark, tmpdir_path):
+    rows = spark.range(500).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("isin"), F.lit('x "y"').alias("label"))
+    p = os.path.join(tmpdir_path, "parts")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # few rows would be one part
+    try:
+        sinks.write_submission_parts(labels.submission(rows), p)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    names = sorted(n for n in os.listdir(p) if n.startswith("part"))
+    lines = [line for n in names for line in open(os.path.join(p, n)).read().splitlines()]
+    assert len(names) > 1 and lines[0].startswith('"ISIN","ISSUER.NAME"') and len(lines) == 501
+    assert lines[1:] == [f'"{i:04d}","x ""y""",,,,,0,0' for i in range(500)]
+    bad = labels.submission(rows).withColumn("ISSUER.NAME", F.when(F.col("ISIN") == "0444", F.raise_error(F.lit("no"))).otherwise(F.col("`ISSUER.NAME`")))
+    q = os.path.join(tmpdir_path, "failed")
+    try:
+        sinks.write_submission_parts(bad, q)
+    except Exception as e:  # noqa: BLE001
+        assert "no" in str(e)
+    else:
+        raise AssertionError("must fail")
+    assert not os.path.isdir(q) or not [n for n in os.listdir(q) if n.startswith("part") or n == "_SUCCESS"]
+    sinks.write_submission_parts(labels.submission(rows.limit(0)), q)
+    assert sources.read_text_lines(spark, q).count() == 1
+
+
+def test_headers_of_files_of_one_name(spark, tmpdir_path):
+    for d in ("a", "b"):
+        os.makedirs(os.path.join(tmpdir_path, "h", d))
+        open(os.path.join(tmpdir_path, "h", d, "x.csv"), "w").write(f"k,v\n1,{d}\n2\n")
+    bad = sources.malformed_rows(spark, [os.path.join(tmpdir_path, "h", d) for d in ("a", "b")], "k int, v string").collect()
+    assert [r.line for r in bad] == ["2", "2"]
