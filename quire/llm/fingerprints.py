@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import documents, written
+from quire.llm.common import documents, result, written
 
 #: Characters of a paragraph at most.
 PARAGRAPH = 160
@@ -33,9 +33,8 @@ PARAGRAPH = 160
 TABLES, BITS = 4, 3
 #: Digests of a part on the second try, on average.
 PART = 12
-#: Ranges of ids in which documents meet their next one; the driver and a broadcast hold their
-#: bounds, so their number is fixed.
-RANGES = 1024
+#: Documents of a range of ids in which they meet their next one, on average.
+RANGE_ROWS = 20_000
 
 _NO_CELL = "named_struct('n', 0, 'v', 0L)"
 
@@ -101,17 +100,23 @@ def _difference(a: str, b: str, bits: int, salt: int) -> str:
 
 
 def _parts(a: str, b: str) -> str:
-    """The difference of two arrays of digests, by parts, each tried with more and more cells."""
+    """The difference of two arrays of digests, by parts, each tried with more and more cells. The
+    digests are sorted by part once, so the work grows with their number, not with its square."""
     count = f"greatest(2, cast(ceil((size({a}) + size({b})) / {PART}) as int))"
-    mine = "filter({0}, dp -> pmod(xxhash64(dp, 99), np) = pn)"
+    side = "transform({0}, dp -> named_struct('p', pmod(xxhash64(dp, 99), np), 's', {1}, 'v', dp))"
+    dealt = f"sort_array(concat({side.format(a, 0)}, {side.format(b, 1)}))"
+    starts = ("concat(filter(transform(dl, (dx, di) -> if(di = 0 or dx.p <> dl[di - 1].p, di, -1)), dy -> dy >= 0), "
+              "array(size(dl)))")
     tries = _difference("pa", "pb", BITS + 4, 33)
     for bits, salt in ((BITS + 2, 32), (BITS, 31)):
         tries = _let(_difference("pa", "pb", bits, salt), f"t{salt}", f"if(t{salt}.ok, t{salt}, {tries})", _NONE)
-    one = _let(mine.format(a), "pa", _let(mine.format(b), "pb", tries, _NONE), _NONE)
-    each = f"transform(sequence(0, np - 1), pn -> {one})"
+    mine = "transform(filter(pt, dq -> dq.s = {0}), dq -> dq.v)"
+    one = _let(mine.format(0), "pa", _let(mine.format(1), "pb", tries, _NONE), _NONE)
+    part = "transform(sequence(ps, bs[pi + 1] - 1), dz -> dl[dz])"
+    each = f"transform(slice(bs, 1, size(bs) - 1), (ps, pi) -> {_let(part, 'pt', one, _NONE)})"
     total = (f"aggregate({each}, named_struct('ok', true, 'added', 0, 'removed', 0, 'left', 0), (sm, pr) -> named_struct("
              f"'ok', sm.ok and pr.ok, 'added', sm.added + pr.added, 'removed', sm.removed + pr.removed, 'left', sm.left + pr.left))")
-    return _let(count, "np", total, _NONE)
+    return _let(count, "np", _let(dealt, "dl", _let(starts, "bs", total, _NONE), _NONE), _NONE)
 
 
 def digests(text: str = "text") -> Column:
@@ -149,39 +154,27 @@ def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, digests, next_text, next_digests): each document and the one with the next id
     (the first, after the last), without a sort in one task.
 
-    Ids are cut into at most ``RANGES`` ranges of about as many rows. Each range is a window, and
-    the first document of the next range joins it as its last row.
+    Documents are sorted in as many ranges of ids as their number asks for, and numbered within
+    each. The first document of a range joins the range before as its last row; within a range a
+    window hands each row the next one. The driver and broadcasts hold no bounds.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    fractions = [i / RANGES for i in range(1, RANGES)]
-    bounds = rows.agg(F.percentile_approx("doc_id", fractions, 10_000)).first()[0] or []
-    bounds = sorted(set(bounds))
-    side = max(1, int(len(bounds) ** 0.5))
-    steps = [bounds[i:i + side] for i in range(0, len(bounds), side)] or [[]]
-    top, all_steps = [s[0] for s in steps if s], steps
-    literal = "array({})".format(", ".join("array({})".format(", ".join(f"{x}L" for x in s)) for s in all_steps)) if bounds else None
-    if bounds:
-        tops = "array({})".format(", ".join(f"{x}L" for x in top))
-        level = f"size(filter({tops}, tp -> tp < doc_id))"
-        within = f"size(filter(element_at({literal}, greatest({level}, 1)), tp -> tp < doc_id))"
-        rows = rows.withColumn("range", F.expr(f"if(doc_id is null, 0, greatest({level} - 1, 0) * {side} + {within})"))
-    else:
-        rows = rows.withColumn("range", F.lit(0))
-    rows = rows.withColumn("tie", F.xxhash64("text"))
-    place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tie")
-    firsts = written(rows.groupBy("range").agg(F.min(place).alias("first")), "firsts")  # at most RANGES rows
+    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("known", F.col("doc_id").isNotNull())
+    ranges = max(1, -(-docs.count() // RANGE_ROWS))
+    place = ("known", "doc_id", "tie")
+    rows = rows.repartitionByRange(ranges, *place).sortWithinPartitions(*place).withColumn("at", F.monotonically_increasing_id())
+    rows = rows.select("doc_id", "text", F.expr("shiftright(at, 33)").alias("range"), F.expr("at & 8589934591L").alias("at"))
+    rows = written(rows.withColumn("digests", digests()), "ranges")
+    firsts = rows.filter("at = 0")  # one row for each range that has any
     order = Window.partitionBy(F.lit(0)).orderBy("range")
     before = F.coalesce(F.lag("range").over(order), F.max("range").over(Window.partitionBy(F.lit(0))))
-    firsts = firsts.select("first.*", before.alias("before"))
-    edge = (rows.alias("r").join(F.broadcast(firsts.alias("f")), F.expr("r.doc_id <=> f.doc_id and r.tie = f.tie"))
-            .groupBy("f.before", "r.doc_id", "r.tie").agg(F.first("r.text").alias("text"))
-            .select("doc_id", "text", F.col("before").alias("range"), "tie", F.lit(True).alias("edge")))
-    rows = rows.withColumn("edge", F.lit(False)).unionByName(edge).repartition("range")
-    rows = rows.withColumn("digests", digests())
-    w = Window.partitionBy("range").orderBy("edge", F.col("doc_id").asc_nulls_first(), "tie")
+    edge = (firsts.join(firsts.select("range", before.alias("before")), "range")
+            .select("doc_id", "text", F.col("before").alias("range"), F.lit(None).cast("long").alias("at"), "digests"))
+    rows = rows.unionByName(edge).repartition("range")
+    w = Window.partitionBy("range").orderBy(F.col("at").asc_nulls_last())
     for c in ("text", "digests"):
         rows = rows.withColumn(f"next_{c}", F.lead(c).over(w))
-    return rows.filter("not edge").select("doc_id", "text", "digests", "next_text", "next_digests")
+    return rows.filter("at is not null").select("doc_id", "text", "digests", "next_text", "next_digests")
 
 
 def fingerprint_versions(docs: DataFrame) -> DataFrame:
@@ -202,4 +195,4 @@ def fingerprint_versions(docs: DataFrame) -> DataFrame:
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint_versions(documents(spark, sf_dir))
+    return result(lambda: fingerprint_versions(documents(spark, sf_dir)), "op3")

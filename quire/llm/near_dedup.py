@@ -15,7 +15,7 @@ maxima of the registers, and equal registers are as frequent as the sets are sim
 * What is left is confirmed on the full sets; first each set's most likely partner, then,
   of the other pairs, those not connected yet.
 * Members of a crowded bucket that are not connected after that are compared exactly, by prefix
-  filter: two sets of 0.85 share one of the first few of their shingles in any order that holds
+  filter: two sets at the threshold share one of the first few of their shingles in any order that holds
   for all. Shingles within one component come first, being shared with no other, then the rare
   ones; so those of a template come last and are hardly ever among the first few. A set that has
   many shingles of a template among them costs a comparison with each such set of the template.
@@ -40,22 +40,16 @@ from quire.llm.common import discard, documents, result, slices, written
 from quire.llm.components import components
 from quire.llm.repeats import rows_of, unique
 
-#: Words of a shingle; links have 100 * intersection >= PERCENT * union.
-SHINGLE = 3
-PERCENT = 85
-#: Registers, bands, and the registers of a band; pairs of similarity 0.85 share no band
-#: with a probability of 3e-7.
+#: Words of a shingle; links have 100 * intersection >= percent * union.
+SHINGLE = 5
+PERCENT = 80
 REGISTERS = 192
-BANDS = 32
-ROWS = REGISTERS // BANDS
-#: Registers of the buckets from the beginning of each band on, the next ones included.
-DEPTHS = (ROWS, 2 * ROWS, 4 * ROWS)
+#: Pairs at the threshold share no band with at most this probability.
+MISSED = 1e-6
 #: Base and rate of the registers' scale, and its last value.
 BASE, RATE, LAST = 1.005, 20.0, 65_534
 #: Sets in a bucket that are compared with each other, not only with the centres.
 SMALL = 6
-#: Estimated similarity below which a pair is dropped: 6 standard errors under the threshold.
-ESTIMATE = PERCENT / 100 - 6 * (0.85 * 0.15 / REGISTERS) ** 0.5
 BLOCK_BYTES = 1 << 18
 
 _RNG = np.random.default_rng(99)
@@ -63,7 +57,25 @@ _XOR = _RNG.integers(0, 1 << 63, REGISTERS, dtype=np.uint64)
 _MUL = _RNG.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) | np.uint64(1)
 
 
-def shingles(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def band_rows(percent: int) -> int:
+    """Registers of a band: as many as leave pairs at the threshold a band in common."""
+    p = percent / 100
+    return max(r for r in range(1, REGISTERS + 1) if r == 1 or (1 - p**r) ** (REGISTERS // r) <= MISSED)
+
+
+def depths(percent: int) -> tuple[int, ...]:
+    """Registers of the buckets from the beginning of each band on, the next ones included."""
+    rows = band_rows(percent)
+    return rows, 2 * rows, 4 * rows
+
+
+def least_estimate(percent: int) -> float:
+    """Estimated similarity below which a pair is dropped: 6 standard errors under the threshold."""
+    p = percent / 100
+    return p - 6 * (p * (1 - p) / REGISTERS) ** 0.5
+
+
+def shingles(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Document numbers and identifiers of the distinct shingles, sorted by both."""
     starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
     buffer = np.frombuffer(b"\n".join(t.lower() for t in texts) + b"\n", dtype=np.uint8)
@@ -98,26 +110,29 @@ def registers(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(1 - np.log(np.maximum(least, 1e-300)) / np.log(BASE)), 0, LAST).astype("<u2")
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = ((d, b or b"") for d, b in rows_of(batches))
-    for part in grams.blocks(rows, lambda r: len(r[1]), BLOCK_BYTES):
-        docs, ids = shingles([b for _, b in part])
-        count = np.bincount(docs, minlength=len(part))
-        have = np.flatnonzero(count)
-        d1, d2 = np.zeros(len(part), np.uint64), np.zeros(len(part), np.uint64)
-        sketch = [b""] * len(part)
-        if len(have):
-            starts = np.cumsum(count[have]) - count[have]
-            d1[have] = np.add.reduceat(grams.mix(ids ^ np.uint64(0x5DEECE66D)), starts)
-            d2[have] = np.bitwise_xor.reduceat(grams.mix(ids * np.uint64(0x2545F4914F6CDD1D)), starts)
-            for i, row in zip(have, registers(ids, starts), strict=True):
-                sketch[i] = row.tobytes()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([d for d, _ in part], pa.int64()), pa.array(count.astype(np.int64)), pa.array(d1.view(np.int64)),
-             pa.array(d2.view(np.int64)), pa.array(sketch, pa.binary())], ["doc_id", "n_shingles", "d1", "d2", "sketch"])
-
-
-def _band_keys(names: list[str], depths: tuple[int, ...] = DEPTHS):
+def _sketch(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((d, b or b"") for d, b in rows_of(batches))
+        for part in grams.blocks(rows, lambda r: len(r[1]), BLOCK_BYTES):
+            docs, ids = shingles([b for _, b in part], size)
+            count = np.bincount(docs, minlength=len(part))
+            have = np.flatnonzero(count)
+            d1, d2 = np.zeros(len(part), np.uint64), np.zeros(len(part), np.uint64)
+            sketch = [b""] * len(part)
+            if len(have):
+                starts = np.cumsum(count[have]) - count[have]
+                d1[have] = np.add.reduceat(grams.mix(ids ^ np.uint64(0x5DEECE66D)), starts)
+                d2[have] = np.bitwise_xor.reduceat(grams.mix(ids * np.uint64(0x2545F4914F6CDD1D)), starts)
+                for i, row in zip(have, registers(ids, starts), strict=True):
+                    sketch[i] = row.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([d for d, _ in part], pa.int64()), pa.array(count.astype(np.int64)), pa.array(d1.view(np.int64)),
+                 pa.array(d2.view(np.int64)), pa.array(sketch, pa.binary())], ["doc_id", "n_shingles", "d1", "d2", "sketch"])
+
+    return run
+
+
+def _band_keys(names: list[str], depths: tuple[int, ...]):
     """Rows of columns ``names`` and, last, a sketch: with the keys of its buckets in its place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,11 +140,11 @@ def _band_keys(names: list[str], depths: tuple[int, ...] = DEPTHS):
                 continue
             rows = np.frombuffer(b"".join(batch.columns[-1].to_pylist()), dtype="<u2").reshape(-1, REGISTERS).astype(np.uint64)
             rows = np.concatenate([rows, rows], axis=1)  # runs go on at the first register
-            for band in range(BANDS):
+            for band in range(REGISTERS // depths[0]):
                 keys, value, done = [], np.full(len(rows), band, dtype=np.uint64), 0
                 for depth in depths:
                     for i in range(done, depth):
-                        value = grams.pair(value, rows[:, band * ROWS + i], i)
+                        value = grams.pair(value, rows[:, band * depths[0] + i], i)
                     done = depth
                     key = grams.mix(value).view(np.int64)
                     keys.append(pa.array(key))
@@ -164,11 +179,12 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([a, b, pa.array(likely)], ["a", "b", "likely"])
 
 
-def candidates(sets: DataFrame) -> DataFrame:
+def candidates(sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, likely): pairs of sets, a < b, that share a bucket and may be similar enough.
     ``sets`` has (doc_id, n_shingles, sketch)."""
-    keys = [f"k{i}" for i in range(len(DEPTHS))]
-    rows = sets.select("doc_id", "sketch").mapInArrow(_band_keys(["doc_id"]), "doc_id long, " + ", ".join(f"{k} long" for k in keys))
+    runs = depths(percent)
+    keys = [f"k{i}" for i in range(len(runs))]
+    rows = sets.select("doc_id", "sketch").mapInArrow(_band_keys(["doc_id"], runs), "doc_id long, " + ", ".join(f"{k} long" for k in keys))
     shared = rows.groupBy("k0").agg(F.count("*").alias("n0")).filter("n0 > 1")
     rows = written(rows.join(unique(shared), "k0"), "bands")
     popular = rows.groupBy("doc_id").agg(F.sum("n0").alias("meets"))
@@ -195,61 +211,67 @@ def candidates(sets: DataFrame) -> DataFrame:
     out = out.filter("doc_id <> other").select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b"))
     out = written(out.distinct(), "pairs")
     discard(rows)
-    return estimated(out, sets)
+    return estimated(out, sets, percent)
 
 
-def estimated(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def estimated(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, likely): the pairs (a, b) that may be similar enough by their sketches."""
     near = (pairs.join(sets.selectExpr("doc_id as a", "sketch as sa", "n_shingles as na"), "a")
             .join(sets.selectExpr("doc_id as b", "sketch as sb", "n_shingles as nb"), "b")
-            .filter(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
+            .filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
             .select("a", "b", "sa", "sb", "na", "nb").mapInArrow(_estimated, "a long, b long, likely double")
-            .filter(F.col("likely") >= ESTIMATE))
+            .filter(F.col("likely") >= least_estimate(percent)))
     return written(near, "likely")
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in grams.blocks(rows_of(batches), lambda r: len(r[1]), BLOCK_BYTES):
-        docs, ids = shingles([b for _, b in part])
-        bounds = np.searchsorted(docs, np.arange(len(part) + 1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([d for d, _ in part], pa.int64()),
-             pa.array([ids[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())],
-            ["doc_id", "ids"])
+def _sets(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in grams.blocks(rows_of(batches), lambda r: len(r[1]), BLOCK_BYTES):
+            docs, ids = shingles([b for _, b in part], size)
+            bounds = np.searchsorted(docs, np.arange(len(part) + 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([d for d, _ in part], pa.int64()),
+                 pa.array([ids[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())],
+                ["doc_id", "ids"])
 
+    return run
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
-        keep = []
-        for i in range(len(a)):
-            p, q = np.frombuffer(x[i], np.uint64), np.frombuffer(y[i], np.uint64)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(p) + len(q) - both))
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_())),
-                                          batch.column(1).filter(pa.array(keep, pa.bool_()))], ["a", "b"])
+
+def _similar(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
+            keep = []
+            for i in range(len(a)):
+                p, q = np.frombuffer(x[i], np.uint64), np.frombuffer(y[i], np.uint64)
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                keep.append(100 * both >= percent * (len(p) + len(q) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_())),
+                                              batch.column(1).filter(pa.array(keep, pa.bool_()))], ["a", "b"])
+
+    return run
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     return written(pairs.join(sets.selectExpr("doc_id as b", "ids as y"), "b")
                    .join(sets.selectExpr("doc_id as a", "ids as x"), "a")
-                   .select("a", "b", "x", "y").mapInArrow(_similar, "a long, b long"), "links")
+                   .select("a", "b", "x", "y").mapInArrow(_similar(percent), "a long, b long"), "links")
 
 
-def full_sets(body: DataFrame, keys: DataFrame) -> DataFrame:
+def full_sets(body: DataFrame, keys: DataFrame, size: int) -> DataFrame:
     """(doc_id, ids): the sets of the documents of ``keys`` (doc_id, n_shingles)."""
-    return written(body.filter("body is not null").join(keys.select("doc_id"), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, ids binary")
+    return written(body.filter("body is not null").join(keys.select("doc_id"), "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id long, ids binary")
                    .join(keys.withColumnRenamed("n_shingles", "n"), "doc_id")
                    .filter("length(ids) = 8 * n").dropDuplicates(["doc_id"]).select("doc_id", "ids"), "full")
 
 
-def crowded(sets: DataFrame, known: DataFrame) -> DataFrame:
+def crowded(sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """(doc_id, component): the members of all buckets too large to compare their sets with each
     other whose sets are not all of one component."""
     rows = (sets.join(unique(known.selectExpr("node as doc_id", "component")), "doc_id", "left")
             .select("doc_id", F.coalesce("component", "doc_id").alias("component"), "sketch")
-            .mapInArrow(_band_keys(["doc_id", "component"], DEPTHS[:1]), "doc_id long, component long, k0 long"))
+            .mapInArrow(_band_keys(["doc_id", "component"], depths(percent)[:1]), "doc_id long, component long, k0 long"))
     rows = written(rows, "buckets")
     mixed = (rows.groupBy("k0").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
              .filter((F.col("n") > SMALL) & (F.col("lo") < F.col("hi"))).select("k0"))
@@ -266,7 +288,7 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*fixed, pa.array(values)], ["doc_id", "component", "n", "shingle"])
 
 
-def remainder(members: DataFrame, full: DataFrame) -> DataFrame:
+def remainder(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """(a, b): all pairs of members of different components that can be similar enough."""
     rows = written(full.join(unique(members), "doc_id").select("doc_id", "component", "ids")
                    .mapInArrow(_spread, "doc_id long, component long, n long, shingle long"), "shingles")
@@ -276,7 +298,7 @@ def remainder(members: DataFrame, full: DataFrame) -> DataFrame:
     one = Window.partitionBy("doc_id")
     placed = (rows.join(unique(shared), "shingle")
               .withColumn("at", F.col("n") - F.count("*").over(one) + F.row_number().over(one.orderBy("df", "shingle"))))
-    need = f"(({PERCENT} * n + 99) div 100)"
+    need = f"(({percent} * n + 99) div 100)"
     prefix = written(placed.filter(f"at <= n - {need} + 1").drop("df"), "prefix")
     discard(rows)
     # what most sets with a shingle are connected to already is not compared within itself
@@ -284,43 +306,44 @@ def remainder(members: DataFrame, full: DataFrame) -> DataFrame:
             .agg(F.max(F.struct("c", "component")).alias("most")).select("shingle", F.col("most.component").alias("main")))
     prefix = written(prefix.join(unique(main), "shingle").withColumn("minor", F.expr("component <> main")).drop("main"), "prefix")
     # a set no larger than its partner needs fewer places
-    fewer = f"((2 * {PERCENT} * n + {99 + PERCENT}) div {100 + PERCENT})"
+    fewer = f"((2 * {percent} * n + {99 + percent}) div {100 + percent})"
     less, more = prefix.filter(f"at <= n - {fewer} + 1").alias("s"), prefix.alias("l")
     fits = F.expr(f"""s.shingle = l.shingle and s.component <> l.component
- and (s.n < l.n or s.n = l.n and s.doc_id < l.doc_id) and 100 * s.n >= {PERCENT} * l.n
- and {100 + PERCENT} * (least(s.n - s.at, l.n - l.at) + 1) >= {PERCENT} * (s.n + l.n)""")
+ and (s.n < l.n or s.n = l.n and s.doc_id < l.doc_id) and 100 * s.n >= {percent} * l.n
+ and {100 + percent} * (least(s.n - s.at, l.n - l.at) + 1) >= {percent} * (s.n + l.n)""")
     pairs = (less.filter("s.minor").join(more, fits).select("s.doc_id", F.col("l.doc_id").alias("other"))
              .union(less.filter("not s.minor").join(more.filter("l.minor"), fits).select("s.doc_id", F.col("l.doc_id").alias("other"))))
     return written(pairs.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct(), "pairs")
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept)."""
+def near_dedup(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), with shingles of ``size`` words and links from
+    ``percent`` hundredths of similarity on."""
     body = docs.select("doc_id", F.col("text").cast("binary").alias("body"))
-    sketches = written(body.mapInArrow(_sketch, "doc_id long, n_shingles long, d1 long, d2 long, sketch binary"), "sketches")
+    sketches = written(body.mapInArrow(_sketch(size), "doc_id long, n_shingles long, d1 long, d2 long, sketch binary"), "sketches")
     classes = (sketches.filter("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2")
                .agg(F.min("doc_id").alias("first")))
     chosen = classes.groupBy("first").agg(F.min(F.struct("d1", "d2")).alias("d"))
     sets = written(sketches.select("doc_id", "n_shingles", "d1", "d2", "sketch").alias("s")
                    .join(chosen.selectExpr("first as doc_id", "d.d1", "d.d2"), ["doc_id", "d1", "d2"])
                    .dropDuplicates(["doc_id"]).select("doc_id", "d1", "d2", "n_shingles", "sketch"), "sets")
-    likely = candidates(sets)
+    likely = candidates(sets, percent)
     keys = written(sets.select("doc_id", "n_shingles"), "keys")
     ends = likely.selectExpr("a as doc_id").union(likely.selectExpr("b as doc_id")).distinct()
-    full = full_sets(body, ends.join(keys, "doc_id"))
+    full = full_sets(body, ends.join(keys, "doc_id"), size)
     best = likely.groupBy("b").agg(F.max(F.struct("likely", (-F.col("a")).alias("minus"))).alias("best"))
-    first = confirmed(best.select((-F.col("best.minus")).alias("a"), "b"), full)
+    first = confirmed(best.select((-F.col("best.minus")).alias("a"), "b"), full, percent)
     known = written(components(first), "components")
     rest = (likely.join(known.selectExpr("node as a", "component as ca"), "a", "left")
             .join(known.selectExpr("node as b", "component as cb"), "b", "left")
             .filter("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"))
-    second = confirmed(rest, full)
+    second = confirmed(rest, full, percent)
     discard(full)
     known = written(components(known.selectExpr("node as a", "component as b").unionByName(second)), "components")
-    members = crowded(sets, known)
+    members = crowded(sets, known, percent)
     if not members.isEmpty():
-        full = full_sets(body, members.join(keys, "doc_id").select("doc_id", "n_shingles"))
-        third = confirmed(estimated(remainder(members, full), sets).select("a", "b"), full)
+        full = full_sets(body, members.join(keys, "doc_id").select("doc_id", "n_shingles"), size)
+        third = confirmed(estimated(remainder(members, full, percent), sets, percent).select("a", "b"), full, percent)
         discard(full)
         known = written(components(known.selectExpr("node as a", "component as b").unionByName(third)), "components")
     discard(sets)
@@ -334,4 +357,4 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return result(lambda: near_dedup(documents(spark, sf_dir)), "op10")
+    return result(lambda: near_dedup(documents(spark, sf_dir), size=3, percent=85), "op10")

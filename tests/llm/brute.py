@@ -65,9 +65,9 @@ def lines(docs, w=3):
     return list(out.values())
 
 
-def shingles(t):
+def shingles(t, size=3):
     w = [x.translate({i: i + 32 for i in range(65, 91)}) for x in WORD.findall(t or "")]
-    return {tuple(w[i:i + 3]) for i in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} if w else set()
+    return {tuple(w[i:i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set()
 
 
 def components(nodes, linked):
@@ -84,8 +84,8 @@ def components(nodes, linked):
     return {n: root(n) for n in nodes}
 
 
-def near(docs):
-    sets = {d: shingles(t) for d, t in docs}
+def near(docs, size=3, percent=85):
+    sets = {d: shingles(t, size) for d, t in docs}
     holders = defaultdict(list)
     for d, s in sets.items():
         for x in s:
@@ -94,7 +94,7 @@ def near(docs):
     for d, s in sets.items():
         for o in {o for x in s for o in holders[x] if o < d}:
             both = len(s & sets[o])
-            if 100 * both >= 85 * (len(s) + len(sets[o]) - both):
+            if 100 * both >= percent * (len(s) + len(sets[o]) - both):
                 links.add((o, d))
     where = components(sets, links)
     return [(d, len(sets[d]), where[d], where[d] == d) for d, _ in docs]

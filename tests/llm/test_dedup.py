@@ -130,11 +130,17 @@ def near_corpus(seed, n=50):
     return [(d, " ".join(w)) for d, w in enumerate(rows)]
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_near_dedup(spark, seed):
+@pytest.mark.parametrize("seed,size,percent", [(1, 3, 85), (2, 3, 85), (3, 5, 80), (4, 5, 80), (5, 1, 50)])
+def test_near_dedup(spark, seed, size, percent):
     rows = near_corpus(seed) + [(900, None), (901, "\n")]
-    got = near_dedup.near_dedup(frame(spark, rows)).collect()
-    assert sorted(map(tuple, got)) == sorted(brute.near(rows))
+    got = near_dedup.near_dedup(frame(spark, rows), size, percent).collect()
+    assert sorted(map(tuple, got)) == sorted(brute.near(rows, size, percent))
+
+
+@pytest.mark.parametrize("percent,rows", [(85, 6), (80, 5), (95, 11)])
+def test_bands_leave_pairs_at_the_threshold_one_in_common(percent, rows):
+    assert near_dedup.band_rows(percent) == rows
+    assert (1 - (percent / 100) ** rows) ** (192 // rows) <= near_dedup.MISSED
 
 
 def test_near_dedup_of_one_large_group(spark):
@@ -146,7 +152,7 @@ def test_near_dedup_of_one_large_group(spark):
         for _ in range(rng.randint(0, 6)):
             own[rng.randrange(300)] = f"e{d}"
         rows.append((d, " ".join(own)))
-    assert sorted(map(tuple, near_dedup.near_dedup(frame(spark, rows)).collect())) == sorted(brute.near(rows))
+    assert sorted(map(tuple, near_dedup.near_dedup(frame(spark, rows), 3, 85).collect())) == sorted(brute.near(rows))
 
 
 @pytest.mark.parametrize("filled,shared", [(20, 3), (24, 6)])
@@ -159,7 +165,7 @@ def test_near_dedup_of_a_template_whose_only_links_are_pairs(spark, filled, shar
         rows.append((d, " ".join(template + own)))
     expected = brute.near(rows)
     assert len({component for _, _, component, _ in expected}) == 60
-    assert sorted(map(tuple, near_dedup.near_dedup(frame(spark, rows)).collect())) == sorted(expected)
+    assert sorted(map(tuple, near_dedup.near_dedup(frame(spark, rows), 3, 85).collect())) == sorted(expected)
 
 
 def test_near_dedup_null_and_repeated_ids(spark):

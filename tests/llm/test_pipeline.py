@@ -50,7 +50,7 @@ def test_line_stage(steps):
 
 def test_near_stage(steps):
     rows = [(r["doc_id"], r["text"]) for r in steps[2] if r["doc_id"] is not None]
-    want = {d for d, _, _, kept in brute.near(rows) if kept} | {None}
+    want = {d for d, _, _, kept in brute.near(rows, 5, 80) if kept} | {None}
     assert Counter(r["doc_id"] for r in steps[3]) == Counter(dict.fromkeys(want, 1))
     assert all(r in steps[2] for r in steps[3])
 

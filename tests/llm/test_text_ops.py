@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import brute
@@ -62,6 +63,24 @@ def test_fingerprints(spark, rows):
             assert prints.setdefault(t, p) == p  # equal texts have equal fingerprints
 
 
+def test_fingerprints_of_documents_in_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 3)
+    rows = [(d, f"text {d} " * (d % 7 + 1)) for d in random.Random(2).sample(range(-50, 1000), 40)]
+    got = {r.doc_id: r for r in fingerprints.fingerprint_versions(frame(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    for d, text, other, after in edited(rows):
+        assert got[d].edited_sha256 == brute.sha(other) and got[d].near_next == pytest.approx(likeness(text, after))
+
+
+def test_fingerprints_of_a_megabyte_of_short_lines(spark):
+    rows = [(d, "\n".join(f"{d} {i}" for i in range(120_000))) for d in (1, 2)]
+    begin = time.monotonic()
+    got = fingerprints.fingerprint_versions(frame(spark, rows)).collect()
+    assert time.monotonic() - begin < 60  # the square of the lines would take hours
+    for r, (_, text, other, after) in zip(sorted(got), edited(rows), strict=True):
+        assert r.near_edited == pytest.approx(likeness(text, other), abs=1e-3) and r.near_next == 0
+
+
 def test_fingerprints_of_null_and_repeated_ids_and_of_nothing(spark):
     rows = [(None, "a"), (2, "b"), (2, "b"), (2, "c"), (None, None)]
     assert len(fingerprints.fingerprint_versions(frame(spark, rows)).collect()) == 5
