@@ -52,10 +52,12 @@ WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                   unnest(range(0, len(string_split(text, chr(10))))) AS p FROM documents WHERE text IS NOT NULL),
 n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1 AS i FROM l
       WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-w AS (SELECT doc_id, i, line || chr(10) || lead(line, 1) OVER o || chr(10) || lead(line, 2) OVER o AS s FROM n
-      WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM w WHERE s IS NOT NULL),
-c AS (SELECT DISTINCT doc_id, i + unnest(range(0, 3)) AS i FROM r WHERE k > 1),
+w AS (SELECT doc_id, i, 3 AS c, 'w' || line || chr(10) || lead(line, 1) OVER o || chr(10) || lead(line, 2) OVER o AS s FROM n
+      WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+      UNION ALL SELECT doc_id, i, 1, 'l' || line FROM n WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 50
+      UNION ALL SELECT doc_id, 0, count(*), 't' || string_agg(line, chr(10) ORDER BY i) FROM n GROUP BY doc_id HAVING count(*) < 3),
+r AS (SELECT doc_id, i, c, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM w WHERE s IS NOT NULL),
+c AS (SELECT DISTINCT doc_id, i + unnest(range(0, c)) AS i FROM r WHERE k > 1),
 g AS (SELECT n.doc_id, n.p FROM n JOIN c USING (doc_id, i)),
 m AS (SELECT n.doc_id, n.i, lag(n.i) OVER (PARTITION BY n.doc_id ORDER BY n.i) AS z FROM n JOIN c USING (doc_id, i)),
 k AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY p) AS t FROM l ANTI JOIN g USING (doc_id, p) GROUP BY doc_id)

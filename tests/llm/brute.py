@@ -48,17 +48,20 @@ def substring_bytes(docs, k=50):
     return out
 
 
-def lines(docs, w=3):
+def lines(docs, w=3, long=50):
     seen, out = set(), {}
-    for n, (d, t) in enumerate(sorted(docs, key=lambda r: (r[0] is None, r[0] or 0))):
+    for d, t in sorted(docs, key=lambda r: (r[0] is None, r[0] or 0)):
         every = (t or "").split("\n")
         full = [i for i, x in enumerate(every) if WORD.search(x)]
         gone = set()
         if d is not None:
-            for i in range(len(full) - w + 1):
-                x = tuple(every[j] for j in full[i:i + w])
+            spans = [(i, w, "window") for i in range(len(full) - w + 1)]
+            spans += [(i, 1, "line") for i, j in enumerate(full) if len(WORD.findall(every[j])) >= long]
+            spans += [(0, len(full), "text")] if 0 < len(full) < w else []
+            for i, n, kind in spans:
+                x = kind, tuple(every[j] for j in full[i:i + n])
                 if x in seen:
-                    gone |= set(range(i, i + w))
+                    gone |= set(range(i, i + n))
                 seen.add(x)
         runs = sum(i - 1 not in gone for i in gone)
         out[d] = (d, len(full), len(gone), runs, sha("\n".join(x for i, x in enumerate(every) if i not in {full[j] for j in gone})))

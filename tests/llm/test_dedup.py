@@ -102,6 +102,16 @@ def test_line_dedup(spark, rows):
     assert sorted(map(tuple, got)) == sorted(brute.lines(rows))
 
 
+def test_line_dedup_of_short_texts_and_long_lines(spark):
+    long, longer = " ".join(f"w{i}" for i in range(50)), " ".join(f"v{i}" for i in range(400))
+    rows = [(1, "a\nb"), (2, "a\n\nb"), (3, "a\nb\nc"), (4, "b"), (5, "b\n"), (6, f"x\n{long}"), (7, f"{long}\ny\n{longer}"),
+            (8, f"{longer}\n{long}\n{longer}"), (9, long[:-4]), (10, f"z\n{long[:-4]}")]
+    got = {r.doc_id: r for r in line_dedup.line_dedup(frame(spark, rows)).collect()}
+    assert {d: r.n_removed for d, r in got.items()} == {1: 0, 2: 2, 3: 0, 4: 0, 5: 1, 6: 0, 7: 1, 8: 3, 9: 0, 10: 0}
+    assert (got[2].text, got[7].text, got[8].text) == ("", f"y\n{longer}", "")
+    assert sorted((r.doc_id, r.n_lines, r.n_removed, r.n_runs, r.kept_sha256) for r in got.values()) == sorted(brute.lines(rows))
+
+
 def test_line_dedup_keeps_null_text_null_ids_and_asked_columns(spark):
     rows = [(None, "a\nb\nc"), (2, "a\nb\nc"), (1, "a\nb\nc"), (3, None)]
     got = line_dedup.line_dedup(frame(spark, rows), columns=("doc_id", "at", "first")).collect()
