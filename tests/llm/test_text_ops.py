@@ -1,5 +1,6 @@
 """Fingerprints, search, tokens, surrogates, mixing and language ID, and their edge cases."""
 
+import hmac
 import random
 import re
 import time
@@ -63,15 +64,27 @@ def test_fingerprints(spark, rows):
             assert prints.setdefault(t, p) == p  # equal texts have equal fingerprints
 
 
-def test_fingerprints_of_documents_in_many_ranges(spark, monkeypatch):
-    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 3)
-    rows = [(d, f"text {d} " * (d % 7 + 1)) for d in random.Random(2).sample(range(-50, 1000), 40)]
+@pytest.mark.parametrize("broadcast", [0, 1000])
+def test_fingerprints_of_documents_in_many_ranges(spark, monkeypatch, broadcast):
+    for name, value in (("RANGE_ROWS", 3), ("QUANTILES", 4), ("BROADCAST_ROWS", broadcast)):
+        monkeypatch.setattr(fingerprints, name, value)
+    ids = [-(2**63), *random.Random(2).sample(range(-50, 1000), 40), 2**63 - 1, 2**62]
+    rows = [(d, f"text {d} " * (d % 7 + 1)) for d in ids]
     got = {r.doc_id: r for r in fingerprints.fingerprint_versions(frame(spark, rows)).collect()}
     assert len(got) == len(rows)
     for d, text, other, after in edited(rows):
         assert got[d].edited_sha256 == brute.sha(other) and got[d].near_next == pytest.approx(likeness(text, after))
 
 
+def test_ranges_follow_the_order_of_ids_and_texts(spark, monkeypatch):
+    rows = [(d, f"t{i}") for i, d in enumerate([None] * 30 + [7] * 40 + list(range(-5, 30)) + [10**12])]
+    df = frame(spark, rows).withColumn("tie", F.xxhash64("text"))
+    found = df.withColumn("r", fingerprints._range([-5, 1, 7, 7, 7, 25, 10**12], 5)).collect()
+    found.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.tie))
+    assert [r.r for r in found] == sorted(r.r for r in found)
+    assert len({r.r for r in found if r.doc_id == 7}) == len({r.r for r in found if r.doc_id is None}) == 5
+
+
 def test_fingerprints_of_a_megabyte_of_short_lines(spark):
     rows = [(d, "\n".join(f"{d} {i}" for i in range(120_000))) for d in (1, 2)]
     begin = time.monotonic()
@@ -228,6 +241,41 @@ def test_surrogates(spark):
     assert {k for r in got for k in r.kinds} == {"mail", "phone", "card", "address", "token", "person", "social"}
 
 
+NAMES = ["Dr. Anna Maria Schmidt", "John Michael Smith", "Mr. Ludwig van Beethoven", "Frau Dr. Müller", "Mr. McDonald", "Mary O'Brien",
+         "Mr. J. Smith", "MRS SMITH", "Hans-Peter Müller", "Dr. von Braun", "Prof. Dr. Jean-Luc de la Cruz", "Mr Smith-Jones"]
+KEPT = {"Dr.", "Mr.", "Mr", "Frau", "MRS", "Prof.", "van", "von", "de", "la"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_surrogates_replace_every_word_of_a_name(spark, name):
+    [row] = surrogates.replaced(frame(spark, [(1, f"then {name} said so")])).collect()
+    assert row.text.startswith("then ") and row.text.endswith(" said so") and row.n_entities == 1 and row.kinds == ["person"]
+    new = row.text[5:-8].split(" ")
+    assert len(new) == len(name.split(" "))
+    assert all((a == b) == (a in KEPT) and a.isupper() == b.isupper() for a, b in zip(name.split(" "), new, strict=True) if a != "J.")
+
+
+def test_surrogates_of_bare_mentions_and_one_key_for_a_name(spark):
+    rows = [(1, "Mr. John Smith's. Later Smith left, Smithers and John stayed; SMITH"), (2, "Smith alone"), (3, "Dr. Emma Jones"),
+            (4, "Mrs. Emma Jones"), (5, "call 743-555-3824 or +1 743 555 3824"), (6, "Mr. X Y"), (7, "Dr. Smith I think")]
+    got = {r.doc_id: r for r in surrogates.replaced(frame(spark, rows)).collect()}
+    m = re.fullmatch(r"Mr\. (\w+) (\w+)'s\. Later (\w+) left, Smithers and (\w+) stayed; SMITH", got[1].text)
+    assert m and m[2] == m[3] != "Smith" and m[1] == m[4] != "John" and got[1].n_entities == 3
+    assert got[2].text == "Smith alone" and got[7].text == f"Dr. {m[2]} I think"
+    assert got[3].text[4:] == got[4].text[5:] and got[3].text.split(" ")[1].endswith("a")
+    a, b = re.fullmatch(r"call (\d{3}-\d{3}-\d{4}) or \+1 (\d{3} \d{3} \d{4})", got[5].text).groups()
+    assert a.replace("-", "") == b.replace(" ", "") != "7435553824"
+
+
+def test_surrogates_depend_on_the_key_by_hmac(spark):
+    df = spark.createDataFrame([("given", "emma", "", 0)], "kind string, norm string, sex string, tries int")
+    for key in ("a", "b" * 100):
+        own = df.select(F.expr(surrogates._hash(key, "kind", "norm"))).first()[0]
+        assert own == hmac.new(key.encode(), b"given|emma|0|0", "sha256").hexdigest()
+    one, two = (surrogates.replaced(frame(spark, [(1, "Mr. Smith")]), key).first().text for key in ("a", "b"))
+    assert one != two
+
+
 def test_surrogates_stay_distinct(spark):
     # far more addresses of one octet pattern than chance keeps apart: tries are needed
     rows = [(i, f"from {i % 250 + 1}.{i // 250 + 1}.7.9 to") for i in range(3000)]
