@@ -33,8 +33,13 @@ PARAGRAPH = 160
 TABLES, BITS = 4, 3
 #: Digests of a part on the second try, on average.
 PART = 12
-#: Documents of a range of ids in which they meet their next one, on average.
+#: Quantiles of the ids; the driver holds them, so their number is fixed.
+QUANTILES = 1024
+#: Documents, on average, of a range in which they meet their next one, at most: what lies between two
+#: quantiles is cut into as many ranges as that asks for.
 RANGE_ROWS = 20_000
+#: First documents of ranges that are broadcast (two numbers each); more are joined by a shuffle.
+BROADCAST_ROWS = 100_000
 
 _NO_CELL = "named_struct('n', 0, 'v', 0L)"
 
@@ -150,31 +155,59 @@ def likeness(diff: str, a: str, b: str) -> Column:
     return F.expr(f"if({total} = 0, 1D, cast(({total} - {changed}) / ({total} + {changed}) as double))")
 
 
+def _range(quantiles: list[int], parts: int) -> Column:
+    """The number of the range of (doc_id, tie), never falling from one row to the next in their order.
+
+    Null ids come first, then what lies between quantiles, cut evenly by id; an id that is several
+    quantiles is cut by the hashes of its texts, and so are null ids.
+    """
+    bounds = sorted(set(quantiles))
+    heavy = [x for x in bounds if quantiles.count(x) > 1]
+    side = max(1, int(len(bounds) ** 0.5))
+    steps = [bounds[i:i + side] for i in range(0, len(bounds), side)]
+    longs = lambda values: "cast(array({}) as array<bigint>)".format(", ".join(f"{x}L" for x in values))
+    nested = "array({})".format(", ".join(longs(x) for x in steps)) if steps else "array(cast(array() as array<bigint>))"
+    top = f"size(filter({longs(x[0] for x in steps)}, tp -> tp < doc_id))"
+    level = f"(greatest({top} - 1, 0) * {side} + size(filter(element_at({nested}, greatest({top}, 1)), tp -> tp < doc_id)))"
+    by_text = f"least({parts - 1}, floor((cast(tie as double) / 18446744073709551616D + 0.5D) * {parts}))"
+    if not bounds:
+        return F.expr(f"cast({by_text} as long)")
+    low = f"cast(element_at({longs(bounds)}, greatest(lv, 1)) as double)"
+    high = f"cast(element_at({longs(bounds)}, least(lv + 1, {len(bounds)})) as double)"
+    by_id = f"greatest(0, least({parts - 1}, floor((cast(doc_id as double) - {low}) / greatest({high} - {low}, 1D) * {parts})))"
+    known = (f"if(array_contains({longs(heavy)}, doc_id), (2 * lv + 2) * {parts} + {by_text}, (2 * lv + 1) * {parts} + {by_id})")
+    return F.expr(f"cast(if(doc_id is null, {by_text}, {_let(level, 'lv', f'cast({known} as bigint)', '0L')}) as long)")
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, digests, next_text, next_digests): each document and the one with the next id
     (the first, after the last), without a sort in one task.
 
-    Documents are sorted in as many ranges of ids as their number asks for, and numbered within
-    each. The first document of a range joins the range before as its last row; within a range a
-    window hands each row the next one. The driver and broadcasts hold no bounds.
+    Ids are cut into ranges, as many as their number asks for. Each range is a window, and the
+    first document of the next range joins it as its last row; texts are shuffled once.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("known", F.col("doc_id").isNotNull())
-    ranges = max(1, -(-docs.count() // RANGE_ROWS))
-    place = ("known", "doc_id", "tie")
-    rows = rows.repartitionByRange(ranges, *place).sortWithinPartitions(*place).withColumn("at", F.monotonically_increasing_id())
-    rows = rows.select("doc_id", "text", F.expr("shiftright(at, 33)").alias("range"), F.expr("at & 8589934591L").alias("at"))
-    rows = written(rows.withColumn("digests", digests()), "ranges")
-    firsts = rows.filter("at = 0")  # one row for each range that has any
+    spark = docs.sparkSession
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    fractions = [i / QUANTILES for i in range(QUANTILES + 1)]
+    count, quantiles = rows.agg(F.count("*"), F.percentile_approx("doc_id", fractions, 10 * QUANTILES)).first()
+    parts = max(1, -(-count // (QUANTILES * RANGE_ROWS)))
+    rows = rows.withColumn("range", _range(quantiles or [], parts))
+    place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tie")
+    firsts = written(rows.groupBy("range").agg(F.min(place).alias("first")), "firsts")  # one row a range
     order = Window.partitionBy(F.lit(0)).orderBy("range")
     before = F.coalesce(F.lag("range").over(order), F.max("range").over(Window.partitionBy(F.lit(0))))
-    edge = (firsts.join(firsts.select("range", before.alias("before")), "range")
-            .select("doc_id", "text", F.col("before").alias("range"), F.lit(None).cast("long").alias("at"), "digests"))
-    rows = rows.unionByName(edge).repartition("range")
-    w = Window.partitionBy("range").orderBy(F.col("at").asc_nulls_last())
+    few = firsts.count() <= BROADCAST_ROWS
+    firsts = firsts.select("first.*", before.alias("before"))
+    firsts = F.broadcast(firsts) if few else firsts
+    edge = (rows.alias("r").join(firsts.alias("f"), F.expr("r.doc_id <=> f.doc_id and r.tie = f.tie"))
+            .groupBy("f.before", "r.doc_id", "r.tie").agg(F.first("r.text").alias("text"))
+            .select("doc_id", "text", F.col("before").alias("range"), "tie", F.lit(True).alias("edge")))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // RANGE_ROWS))
+    rows = rows.withColumn("edge", F.lit(False)).unionByName(edge).repartition(tasks, "range").withColumn("digests", digests())
+    w = Window.partitionBy("range").orderBy("edge", F.col("doc_id").asc_nulls_first(), "tie")
     for c in ("text", "digests"):
         rows = rows.withColumn(f"next_{c}", F.lead(c).over(w))
-    return rows.filter("at is not null").select("doc_id", "text", "digests", "next_text", "next_digests")
+    return rows.filter("not edge").select("doc_id", "text", "digests", "next_text", "next_digests")
 
 
 def fingerprint_versions(docs: DataFrame) -> DataFrame:
