@@ -1,4 +1,4 @@
-"""Feature expressions: n-grams, stable hashing, the hash split."""
+"""Feature expressions: n-grams, stable hashing, packed counts, the hash split."""
 
 from __future__ import annotations
 
@@ -37,6 +37,20 @@ def stable_bucket(term, num_features: int = NUM_FEATURES) -> Column:
     return F.pmod(h, F.lit(num_features)).cast("int")
 
 
+def runs(values) -> tuple[Column, Column]:
+    """(distinct values, place of the first of each) of a sorted array without nulls."""
+    v = _c(values)
+    first = lambda x, i: ~x.eqNullSafe(F.get(v, i - 1))
+    places = F.filter(F.transform(v, lambda x, i: F.when(first(x, i), i)), lambda i: i.isNotNull())
+    return F.filter(v, first), places
+
+
+def run_lengths(starts, size) -> Column:
+    """Lengths of the runs that begin at the places ``starts`` of an array with ``size`` entries."""
+    s = _c(starts)
+    return F.transform(s, lambda i, j: (F.coalesce(F.get(s, j + 1), size) - i).cast("int"))
+
+
 def train_flag(key, seed: int = SPLIT_SEED, prefix: str = TRAIN_PREFIX) -> Column:
     """Deterministic ~70/30 split on a key, independent of partitioning."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), _c(key).cast("string")))

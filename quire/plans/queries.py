@@ -139,7 +139,7 @@ def _bigram_docs(spark, sf):
 
 
 def hashed_tf(spark, sf):
-    return tfidf.hashed_tf(_bigram_docs(spark, sf), "doc_id")
+    return tfidf.unpacked_tf(tfidf.packed_tf(_bigram_docs(spark, sf), "doc_id"), "doc_id")
 
 
 def idf(spark, sf):
@@ -178,8 +178,8 @@ def index_to_label(spark, sf):
 # ---- Naive Bayes (relational) -------------------------------------------------
 
 def _flow(spark, sf) -> tfidf_nb.NBFlow:
-    # nothing is kept in memory, as nobody would free it: within one query the training
-    # documents' terms are one exchange that all steps of the fit read
+    # nothing is kept in memory, as nobody would free it: within one query the sums by class
+    # and bucket are one exchange that all steps of the fit read
     return tfidf_nb.build(_docs(spark, sf, ("doc_id", "text", "lang")), "lang", keep=None)
 
 

@@ -1,6 +1,10 @@
 """Flow A as one relational plan: lemmas -> stop words -> bigrams -> hashed TF
 -> IDF -> Naive Bayes -> predictions -> evaluation.
 
+Documents become packed sparse rows, one each: training reads them into one
+aggregate by class and bucket, scoring meets the model where the row is, so neither
+texts nor terms are shuffled.
+
 Nothing runs until a result is asked for; the DataFrames of an ``NBFlow`` share
 the same upstream plan. Callers (queries, bench, tests) pick what they need and
 call ``release`` when done.
@@ -8,7 +12,9 @@ call ``release`` when done.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,14 +51,21 @@ def bigram_features(docs: DataFrame, id_col: str, text_col: str, keys: tuple[str
 @dataclass
 class NBFlow:
     docs: DataFrame        # (id, label, is_train)
+    packed: DataFrame      # (id, label, is_train, buckets, counts)
     tf: DataFrame          # (id, label, is_train, bucket, tf)
     index: DataFrame       # (label, n, idx)
     idf: DataFrame         # (bucket, df, idf)         fitted on training docs
     weights: DataFrame     # (id, label, is_train, bucket, tf, w)
     priors: DataFrame      # (label_idx, n_docs, pi, theta0)
     theta: DataFrame       # (label_idx, bucket, s_cb, theta)
-    predictions: DataFrame  # (id, label, prediction, predicted) on test docs
     kept: list[DataFrame]  # what ``release`` frees
+    predict: Callable[[], DataFrame]
+
+    @cached_property
+    def predictions(self) -> DataFrame:
+        """(id, label, prediction, predicted) on test docs. The classes are counted first (labels
+        alone are read): their number says whether the model fits every task."""
+        return self.predict()
 
     def confusion(self) -> DataFrame:
         return evaluate.confusion_matrix(self.predictions, "label", "predicted")
@@ -74,7 +87,7 @@ def build(documents: DataFrame, label_col: str, id_col: str = "doc_id",
     ``keep="checkpoint"``, which writes).
 
     ``evaluate_split=True``: train on the md5 70% split, predict the other 30%.
-    ``False``: train on all documents and predict all of them.
+    ``False``: train on all documents and predict all of them. Ids are taken to be unique.
 
     The label goes along with its document's terms, as a string: neither the text nor the
     documents are ever shuffled on the label, only sums by class and bucket are.
@@ -84,33 +97,40 @@ def build(documents: DataFrame, label_col: str, id_col: str = "doc_id",
                             is_train.alias("is_train"))
     index = labels.label_index(documents, label_col)
     feats = bigram_features(docs, id_col, text_col, ("label", "is_train"), stop_words)
-    # the one expensive step (text -> hashed TF) is computed once and re-used
-    # by the IDF fit, the NB fit and the scoring
-    tf = materialize(tfidf.hashed_tf(feats, id_col, "ngrams", ("label", "is_train"), num_features), keep)
+    # the one expensive step: a sparse row for each document, made within the row
+    keys = ("label", "is_train")
+    packed = materialize(tfidf.packed_tf(feats, id_col, "ngrams", keys, num_features), keep)
     docs = docs.drop(text_col)
 
     train_docs = docs.filter("is_train")
     m = tfidf.n_docs(train_docs)
-    idf = tfidf.idf(tf.filter("is_train"), m, "bucket")
+    sums = bayes.class_sums(tfidf.unpacked_tf(packed.filter("is_train"), id_col, keys), "label")
+    idf = tfidf.idf_of_sums(sums, m)
+    tf = tfidf.unpacked_tf(packed, id_col, keys)
     weights = tfidf.tfidf(tf, idf, m, "bucket", rows=num_features).withColumnRenamed("tfidf", "w")
 
-    train_w = weights.filter("is_train")
+    train_w = tfidf.tfidf(sums, idf, m, "bucket", rows=num_features).withColumnRenamed("tfidf", "w")
     by_class = index.select("label", F.col("idx").alias("label_idx"))
     # the fitted model: a row of priors for each class and at most classes x num_features rows of theta
     priors = materialize(bayes.nb_priors(train_docs, "label", train_w, smoothing, num_features)
                          .join(by_class, "label").select("label_idx", "n_docs", "pi", "theta0"), keep)
     theta = materialize(bayes.nb_theta(train_w, "label", smoothing, num_features)
                         .join(by_class, "label").select("label_idx", "bucket", "s_cb", "theta"), keep)
-    classes = priors.select(F.array_sort(F.collect_list("label_idx"))).scalar()
-    place = lambda c: (F.array_position(classes, F.col(c)) - 1).cast("double")
-    # classes that no training document has are no classes of the model
-    model_priors = priors.withColumn("cls", place("label_idx"))
-    model = bayes.nb_model(theta.withColumn("cls", place("label_idx")), model_priors, "cls")
-
-    test_docs = docs.filter(~F.col("is_train")) if evaluate_split else docs
-    test_w = weights.filter(~F.col("is_train")) if evaluate_split else weights
-    pred = bayes.nb_predict(test_docs.select(id_col, "label"), id_col, test_w, model, model_priors, "cls")
-    pred = pred.withColumn("prediction", F.element_at(classes, (F.col("prediction") + 1).cast("int")))
-    pred = labels.index_to_label(pred, index, "prediction", "predicted")
-    kept = [tf, priors, theta] if keep == "persist" else []
-    return NBFlow(docs, tf, index, idf, weights, priors, theta, pred, kept)
+
+    def predict() -> DataFrame:
+        # classes that no training document has are no classes of the model
+        seen = train_docs.select("label").distinct()
+        k = seen.count()
+        classes = seen.join(by_class, "label").select(F.array_sort(F.collect_list("label_idx"))).scalar()
+        place = lambda c: (F.array_position(classes, F.col(c)) - 1).cast("double")
+        model_priors = priors.withColumn("cls", place("label_idx"))
+        model = bayes.nb_model(theta.withColumn("cls", place("label_idx")), model_priors, "cls", k)
+        test_docs = docs.filter(~F.col("is_train")) if evaluate_split else docs
+        test_w = weights.filter(~F.col("is_train")) if evaluate_split else weights
+        pred = bayes.nb_predict(test_docs.select(id_col, "label"), id_col, test_w, model, model_priors, "cls",
+                                small=bayes.fits_tasks(k, num_features), classes=k)
+        pred = pred.withColumn("prediction", F.element_at(classes, (F.col("prediction") + 1).cast("int")))
+        return labels.index_to_label(pred, index, "prediction", "predicted")
+
+    kept = [packed, priors, theta] if keep == "persist" else []
+    return NBFlow(docs, packed, tf, index, idf, weights, priors, theta, kept, predict)
