@@ -278,8 +278,11 @@ def mean_vector(spark, sf):
     emb = read_table(spark, sf, "embeddings")
     rows, size = emb.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
     vocab = vectors.vocabulary_from_counts(counts)
-    wv = vectors.hashed_word_vectors(vocab, emb, F.lit(rows))
-    mv = vectors.mean_vectors(counts, "doc_id", wv, vocab.count(), size)
+    # a row a word: each broadcast reads its part
+    words = scratch_path(spark, "word-vectors")
+    vectors.hashed_word_vectors(vocab, emb, F.lit(rows)).write.parquet(words)
+    wv = spark.read.parquet(words)
+    mv = vectors.mean_vectors(counts, "doc_id", wv, wv.count(), size)
     return mv.withColumn("value", F.round("value", R))
 
 
