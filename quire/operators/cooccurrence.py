@@ -15,28 +15,141 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.numbering import row_numbers, split_repeated
 from quire.operators.vectors import WINDOW_SIZE
 from quire.session import scratch_path
 
 
+#: Tables of words, and vectors by word, are sent to every task up to so many bytes.
+MAX_BROADCAST_BYTES = 64 << 20
+#: Pairs that a task counts at once, and documents whose tokens it turns into numbers at once.
+PAIRS_AT_ONCE = 1 << 22
+DOCS_AT_ONCE = 1000
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _listed(vocab: DataFrame) -> list[str] | None:
+    """The distinct words of the vocabulary in code-point order, if they are few enough to be sent."""
+    words = _kept(vocab.select("word").filter("word is not null").distinct(), "words")
+    size = words.agg(F.coalesce(F.sum(F.octet_length("word") + 16), F.lit(0))).first()[0]
+    return sorted(r.word for r in words.collect()) if size <= MAX_BROADCAST_BYTES else None
+
+
+def _numbers(tokens: pa.Array, numbers: dict[str, int]) -> np.ndarray:
+    """The number of each token, -1 if it has none."""
+    coded = tokens.dictionary_encode()
+    of = np.array([numbers.get(w, -1) for w in coded.dictionary.to_pylist()] + [-1], dtype=np.int64)
+    return of[coded.indices.fill_null(len(of) - 1).to_numpy(zero_copy_only=False)]
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, DOCS_AT_ONCE):
+            yield batch.slice(at, DOCS_AT_ONCE)
+
+
+def _only(sent):
+    """Rows (id, tokens) with the tokens that are listed, without rows that have none."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = {w: i for i, w in enumerate(sent.value)}
+        for batch in _parts(batches):
+            ids, lists = batch.columns
+            flat = lists.flatten()
+            known = _numbers(flat, numbers) >= 0
+            count = np.bincount(pc.list_parent_indices(lists).to_numpy()[known], minlength=len(lists))
+            some = pa.array(count > 0)
+            offsets = np.concatenate([[0], np.cumsum(count[count > 0])]).astype(np.int32)
+            tokens = pa.ListArray.from_arrays(pa.array(offsets), flat.filter(pa.array(known)))
+            yield pa.RecordBatch.from_arrays([ids.filter(some), tokens], batch.schema.names)
+    return run
+
+
 def known_tokens(doc_tokens: DataFrame, id_col: str, vocab: DataFrame, tokens_col: str = "tokens") -> DataFrame:
-    """(id, tokens): the tokens that the vocabulary (word, ..) has, in their order. Documents meet the
-    vocabulary word by word (broadcast by the planner if it has turned out small)."""
-    rows = doc_tokens.select(id_col, F.posexplode_outer(tokens_col).alias("pos", "word")).filter("word is not null")
-    kept = rows.join(vocab.select("word"), "word").groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("_t"))
-    return kept.select(id_col, F.col("_t.word").alias(tokens_col))
+    """(id, tokens): the tokens that the vocabulary (word, ..) has, in their order. A vocabulary of
+    bounded size is sent to the tasks, which filter their documents in place. Of a larger one, and for ids that
+    several rows have, tokens meet the vocabulary word by word."""
+    words = _listed(vocab)
+    here, joined = (doc_tokens.filter("false"), doc_tokens) if words is None else split_repeated(doc_tokens, id_col)
+    rows = here.select(id_col, F.col(tokens_col).alias(tokens_col))
+    out = None
+    if words is not None:
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+        out = rows.mapInArrow(_only(rows.sparkSession.sparkContext.broadcast(words)), fields)
+    if joined is not None:
+        rows = joined.select(id_col, F.posexplode_outer(tokens_col).alias("pos", "word")).filter("word is not null")
+        kept = rows.join(vocab.select("word"), "word").groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("_t"))
+        kept = kept.select(id_col, F.col("_t.word").alias(tokens_col))
+        out = kept if out is None else out.unionByName(kept)
+    return out
 
 
-def cooccurrence(doc_tokens: DataFrame, window: int = WINDOW_SIZE, tokens_col: str = "tokens") -> DataFrame:
+def _pair_counts(sent, window: int):
+    """(key, n) of the unordered pairs in the rows' token lists, counted in blocks: the key of the
+    words numbered a <= b is a * words + b."""
+    def counted(keys: list[np.ndarray]) -> pa.RecordBatch:
+        key, n = np.unique(np.concatenate(keys), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = {w: i for i, w in enumerate(sent.value)}
+        held, size = [], 0
+        for batch in _parts(batches):
+            lists = batch.column(0)
+            ids, doc = _numbers(lists.flatten(), numbers), pc.list_parent_indices(lists).to_numpy()
+            for d in range(1, window + 1):
+                a, b = ids[:-d], ids[d:]
+                both = (doc[:-d] == doc[d:]) & (a >= 0) & (b >= 0)  # an unlisted token keeps its place
+                a, b = a[both], b[both]
+                held.append(np.minimum(a, b) * len(numbers) + np.maximum(a, b))
+                size += len(a)
+                if size >= PAIRS_AT_ONCE:
+                    yield counted(held)
+                    held, size = [], 0
+        if size:
+            yield counted(held)
+    return run
+
+
+def _both_ways(sent):
+    """(word, context, n) of (key, n), in both directions."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = pa.array(sent.value, pa.string())
+        for batch in batches:
+            key, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            a, b = np.divmod(key, max(len(words), 1))
+            other = a != b
+            for x, y in ((a, b), (b[other], a[other])):
+                m = np.where(other, n, 2 * n) if x is a else n[other]
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(x)), words.take(pa.array(y)), pa.array(m)], ["word", "context", "n"])
+    return run
+
+
+def cooccurrence(doc_tokens: DataFrame, window: int = WINDOW_SIZE, tokens_col: str = "tokens", vocab: DataFrame | None = None,
+                 keep: bool = False) -> DataFrame:
     """(word, context, n): how often ``context`` is at most ``window`` tokens before or after ``word``.
 
-    Unordered pairs are counted, half of the rows; both directions are made of their sums.
+    Unordered pairs are counted, half of the rows; both directions are made of their sums. ``vocab``
+    (word, ..) has all words of the tokens; without it they are found by one more pass. Words of bounded
+    size are numbered, and tasks count pairs of numbers before they are shuffled. ``keep`` writes the sums
+    once, for several reads.
     """
+    if vocab is None:
+        vocab = doc_tokens.select(F.explode_outer(tokens_col).alias("word")).distinct()
+    words = _listed(vocab)
+    if words is not None:
+        sent = doc_tokens.sparkSession.sparkContext.broadcast(words)
+        keys = doc_tokens.select(tokens_col).mapInArrow(_pair_counts(sent, window), "key long, n long")
+        sums = keys.groupBy("key").agg(F.sum("n").alias("n"))
+        return (_kept(sums, "pairs") if keep else sums).mapInArrow(_both_ways(sent), "word string, context string, n long")
     t, n = F.col(tokens_col), F.size(tokens_col)
     def at(d):
         rest = F.greatest(n - d, F.lit(0))
@@ -44,18 +157,26 @@ def cooccurrence(doc_tokens: DataFrame, window: int = WINDOW_SIZE, tokens_col: s
                           lambda a, b: F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")))
     pairs = doc_tokens.select(F.explode_outer(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(window)), at))).alias("p"))
     counts = pairs.filter("p is not null").groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
+    if keep:
+        counts = _kept(counts, "pairs")
     sides = F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("context")), F.struct(F.col("b").alias("word"), F.col("a").alias("context")))
     other = counts.filter("a <> b").select(F.explode(sides).alias("s"), "n").select("s.word", "s.context", "n")
     return other.unionByName(counts.filter("a = b").select(F.col("a").alias("word"), F.col("b").alias("context"), (2 * F.col("n")).alias("n")))
 
 
+def _sendable(table: DataFrame, n_bytes: int) -> DataFrame:
+    return F.broadcast(table) if n_bytes <= MAX_BROADCAST_BYTES else table
+
+
 def pmi(counts: DataFrame, shift: float = 0.0) -> DataFrame:
-    """(word, context, n, pmi): ln(n * total / (n_word * n_context)) - ``shift``."""
-    margin = counts.groupBy("word").agg(F.sum("n").alias("m"))
-    total = counts.agg(F.sum("n").alias("total")).scalar()
+    """(word, context, n, pmi): ln(n * total / (n_word * n_context)) - ``shift``. The words' sums are
+    written once; where they are of bounded size, pairs meet them in place."""
+    margin = _kept(counts.groupBy("word").agg(F.sum("n").alias("m")), "margins")
+    size = margin.agg(F.coalesce(F.sum(F.octet_length("word") + 24), F.lit(0))).first()[0]
+    total = margin.agg(F.sum("m").alias("total")).scalar()
     ln = lambda c: F.log(F.col(c).cast("double"))
-    joined = counts.join(margin.withColumnRenamed("m", "mw"), "word").join(
-        margin.select(F.col("word").alias("context"), F.col("m").alias("mc")), "context")
+    joined = counts.join(_sendable(margin.withColumnRenamed("m", "mw"), size), "word").join(
+        _sendable(margin.select(F.col("word").alias("context"), F.col("m").alias("mc")), size), "context")
     value = ln("n") - ln("mw") - ln("mc") + F.log(total.cast("double")) - F.lit(shift)
     return joined.select("word", "context", "n", value.alias("pmi"))
 
@@ -80,51 +201,52 @@ def _gram(df: DataFrame, a: str, b: str, size: int) -> np.ndarray:
 
 
 def _turned(df: DataFrame, matrix: np.ndarray, col: str) -> DataFrame:
-    """(word, v): ``col`` times a matrix."""
+    """(i, v): ``col`` times a matrix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(matrix)) @ matrix
             offsets = pa.array(np.arange(len(v) + 1, dtype=np.int32) * matrix.shape[1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(v.ravel()))], ["word", "v"])
-    return df.select("word", col).mapInArrow(run, "word string, v array<double>")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(v.ravel()))], ["i", "v"])
+    return df.select("i", col).mapInArrow(run, "i long, v array<double>")
 
 
 def leading_vectors(matrix: DataFrame, size: int, iterations: int = 12, seed: int = 1234) -> tuple[np.ndarray, DataFrame]:
     """The ``size`` leading eigenvalues, by size, of a symmetric matrix (word, context, value > 0), and
     (word, vector): eigenvectors times the root of their eigenvalue's size.
 
-    Each step writes its vectors to the shared folder: the lineage stays short, and lost executors cost
-    a part of one step.
+    Words are numbered and the entries are dealt by row once, so that a step's sums need no shuffle of
+    entries; vectors of bounded size are broadcast. Each step writes its vectors to the shared folder: the
+    lineage stays short, and lost executors cost a part of one step.
     """
-    spark = matrix.sparkSession
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, name)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    matrix = kept(matrix.select("word", "context", "value"), "pmi-matrix")
-    words = matrix.select("word").distinct()
-    size = min(size, words.count())
+    matrix = _kept(matrix.select("word", "context", "value"), "pmi-matrix")
+    # a symmetric matrix has each word as a row
+    words = _kept(row_numbers(matrix.select("word").distinct(), ["word"], "i"), "pmi-words")
+    n, n_bytes = words.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("word") + 24), F.lit(0))).first()
+    size = min(size, n)
     if not size:
         return np.zeros(0), words.select("word", F.array().cast("array<double>").alias("vector"))
-    start = [F.xxhash64(F.lit(seed + i), "word") / F.lit(float(1 << 63)) for i in range(size)]
-    v = kept(words.select("word", F.array(*start).alias("v")), "pmi-start")
+    named = _sendable(words, n_bytes)
+    entries = (matrix.join(named, "word").select("i", "context", "value")
+               .join(_sendable(words.select(F.col("word").alias("context"), F.col("i").alias("j")), n_bytes), "context"))
+    entries = _kept(entries.select("i", "j", "value").repartition("i").sortWithinPartitions("i"), "pmi-entries")
+    start = [F.xxhash64(F.lit(seed + k), "word") / F.lit(float(1 << 63)) for k in range(size)]
+    v = _kept(words.select("i", F.array(*start).alias("v")), "pmi-start")
     for step in range(iterations + 1):
         r = np.linalg.qr(np.linalg.cholesky(_gram(v, "v", "v", size) + 1e-12 * np.eye(size)).T)[1]
         u = _turned(v, np.linalg.inv(r), "v")
-        there = u.select(F.col("word").alias("context"), array_to_vector("v").alias("vec"))
-        sums = matrix.join(there, "context").groupBy("word").agg(Summarizer.sum(F.col("vec"), F.col("value")).alias("s"))
-        y = sums.select("word", vector_to_array("s").alias("v"))
+        there = _sendable(u.select(F.col("i").alias("j"), F.col("v").alias("vec")), n * (size + 4) * 8)
+        parts = [F.sum(F.col("value") * F.get("vec", F.lit(k))).alias(f"s{k}") for k in range(size)]
+        sums = entries.join(there, "j").groupBy("i").agg(*parts)
+        y = sums.select("i", F.array(*(f"s{k}" for k in range(size))).alias("v"))
         if step < iterations:
-            v = kept(y, "pmi-step")
-    both = kept(u.join(y.withColumnRenamed("v", "y"), "word"), "pmi-last")
+            v = _kept(y, "pmi-step")
+    both = _kept(u.join(y.withColumnRenamed("v", "y"), "i"), "pmi-last")
     projected = _gram(both, "v", "y", size)
     values, turn = np.linalg.eigh((projected + projected.T) / 2)
     order = np.argsort(-np.abs(values))
     values, turn = values[order], turn[:, order]
-    out = _turned(both, turn * np.sqrt(np.abs(values)), "v")
-    return values, out.withColumnRenamed("v", "vector")
+    out = _turned(both, turn * np.sqrt(np.abs(values)), "v").join(words, "i")
+    return values, out.select("word", F.col("v").alias("vector"))
 
 
 def pmi_vectors(counts: DataFrame, size: int, iterations: int = 12, shift: float = 0.0) -> tuple[np.ndarray, DataFrame]:

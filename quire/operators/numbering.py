@@ -61,3 +61,23 @@ def heavy_light_join(left: DataFrame, right: DataFrame, key: str, how: str = "le
     few = F.broadcast(right.filter(F.col(key).isin(heavy)))  # at most one row for each heavy key
     return left.filter(is_heavy).join(few, key, how).unionByName(
         left.filter(~is_heavy).join(right.filter(~is_heavy), key, how))
+
+
+#: Repeated ids are broadcast up to so many.
+MAX_REPEATED = 1_000_000
+
+
+def split_repeated(df: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ``df`` whose id no other row has, which can be worked on in place, and the others
+    (None if there are none). Null counts as an id. Runs one job over the ids alone."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "repeated-ids")
+    ids = df.select(F.col(id_col).alias("_id")).groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_id")
+    ids.write.parquet(path)
+    ids = spark.read.schema(ids.schema).parquet(path)
+    n = ids.count()
+    if not n:
+        return df, None
+    side = F.broadcast(ids) if n <= MAX_REPEATED else ids
+    same = F.col(id_col).eqNullSafe(F.col("_id"))
+    return df.join(side, same, "left_anti"), df.join(side, same, "left_semi")

@@ -11,6 +11,7 @@ from quire.functions import text as T
 from quire.functions.features import train_flag
 from quire.operators import cooccurrence as C
 from quire.operators import corpus, forest, numbering, resource, sentence_model, suffix_rules, tfidf, vectors
+from quire.session import scratch_path
 from quire.sources.tables import documents, read_table
 
 R = 6
@@ -49,10 +50,13 @@ def forest_language(spark, sf):
     return _forest(rows.select("doc_id", "lang", F.coalesce(vector, empty).alias("features")), "doc_id", "features", "lang")
 
 
-def _pairs(spark, sf) -> DataFrame:
+def _pairs(spark, sf, keep: bool = False) -> DataFrame:
     docs = corpus.tokens(_docs(spark, sf))
     words = vectors.vocabulary(docs.select(F.explode_outer("tokens").alias("word")).filter("word is not null"))
-    return C.cooccurrence(C.known_tokens(docs, "doc_id", words))
+    path = scratch_path(spark, "vocabulary")
+    words.write.parquet(path)
+    words = spark.read.schema(words.schema).parquet(path)
+    return C.cooccurrence(C.known_tokens(docs, "doc_id", words), vocab=words, keep=keep)
 
 
 def cooccurrence(spark, sf):
@@ -60,7 +64,7 @@ def cooccurrence(spark, sf):
 
 
 def pmi(spark, sf):
-    return C.pmi(_pairs(spark, sf)).select("word", "context", "n", F.round("pmi", R).alias("pmi"))
+    return C.pmi(_pairs(spark, sf, keep=True)).select("word", "context", "n", F.round("pmi", R).alias("pmi"))
 
 
 #: Dimensions of the registered word vectors.
@@ -69,7 +73,7 @@ PMI_SIZE = 16
 
 def pmi_vectors(spark, sf):
     """Word vectors of the positive mutual information; they depend on the order of floating-point sums."""
-    return C.pmi_vectors(_pairs(spark, sf), PMI_SIZE)[1]
+    return C.pmi_vectors(_pairs(spark, sf, keep=True), PMI_SIZE)[1]
 
 
 def abbreviations(spark, sf):

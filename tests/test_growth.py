@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import vectors
+from quire.operators import cooccurrence, vectors
 
 
 def _plan(df) -> str:
@@ -27,3 +27,21 @@ def test_mean_vectors_shuffle_no_word_vectors(spark, monkeypatch, limit):
     got = {(r.id, r.dim): r.value for r in out.collect()}
     plain = {1: [0.5, 0.0, 2.25], 2: [0.0] * 3, 3: [0.0] * 3, 4: [0.0, -8.0, 16.0], 5: [0.0] * 3}
     assert got == {(i, d): v for i, row in plain.items() for d, v in enumerate(row)}
+
+
+def test_pairs_are_counted_where_documents_are(spark, monkeypatch):
+    docs = [(1, "a b a x c".split()), (2, []), (3, None), (4, "c a".split()), (None, "b b".split())]
+    df = spark.createDataFrame(docs, "id long, tokens array<string>")
+    vocab = spark.createDataFrame([("a", 3), ("b", 3), ("c", 2)], "word string, n long")
+    known = cooccurrence.known_tokens(df, "id", vocab)
+    assert "Exchange" not in _plan(known)
+    again = df.unionByName(df.filter("id = 4"))  # of two rows with an id, the tokens become one list
+    got = []
+    for limit in (64 << 20, 0):
+        monkeypatch.setattr(cooccurrence, "MAX_BROADCAST_BYTES", limit)
+        assert sorted(map(tuple, cooccurrence.known_tokens(df, "id", vocab).collect()), key=str) == [
+            (1, ["a", "b", "a", "c"]), (4, ["c", "a"]), (None, ["b", "b"])]
+        for keep in (False, True):
+            pairs = cooccurrence.cooccurrence(cooccurrence.known_tokens(again, "id", vocab), window=2, vocab=vocab, keep=keep)
+            got.append(sorted(map(tuple, pairs.collect())))
+    assert all(x == got[0] for x in got) and ("b", "b", 2) in got[0]
