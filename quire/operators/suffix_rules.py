@@ -4,7 +4,7 @@ A pair (form, lemma) shares a prefix; what the form has beyond it is cut, what t
 it is added. Each pair votes for this rule at every suffix of the form, up to ``MAX_SUFFIX``
 characters, that is long enough to hold the cut. A suffix keeps its most frequent rule if that has
 enough support among all forms with the suffix. A form is lemmatized by the longest of its suffixes
-that has a rule; rules are a trie laid out as a table, looked up by joins.
+that has a rule; rules are a trie laid out as a table, looked up by joins or sent to the tasks.
 
 Rules and forms are aggregated; the distinct forms of a corpus, not its tokens, meet the rules.
 
@@ -15,12 +15,16 @@ one that a rule would cut to nothing, is its own lemma; an empty dictionary has
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import lemma as L
 from quire.functions import text as T
-from quire.operators.numbering import heavy_light_join
+from quire.operators.numbering import heavy_light_join, split_repeated
 
 MAX_SUFFIX = 6
 #: Forms that must share a rule, and their part of all forms with the suffix, in percent.
@@ -67,17 +71,57 @@ def lemmas_of_forms(forms: DataFrame, rules: DataFrame, max_suffix: int = MAX_SU
     return forms.join(longest, "form", "left").select("form", F.coalesce(F.nullif(made, F.lit("")), F.col("form")).alias("lemma"))
 
 
+#: So many rules are sent to the tasks; more of them meet the forms by joins.
+MAX_SENT_RULES = 200_000
+
+
+def _applied(sent, max_suffix: int):
+    """Rows (id, forms) with the lemma of each form, by the longest suffix with a rule."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rules = sent.value
+
+        def lemma(form: str) -> str:
+            for k in range(min(len(form), max_suffix), -1, -1):
+                if rule := rules.get(form[len(form) - k:]):
+                    return form[:len(form) - rule[0]] + rule[1] or form
+            return form
+
+        for batch in batches:
+            ids, lists = batch.columns
+            forms = lists.flatten().dictionary_encode()
+            lemmas = pa.array([lemma(f) for f in forms.dictionary.to_pylist()], pa.string()).take(forms.indices)
+            count = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(offsets, lemmas)], batch.schema.names)
+    return run
+
+
 def lemmatize(df: DataFrame, id_col: str, rules: DataFrame, text_col: str = "text", out_col: str = "LEMMAS",
               max_suffix: int = MAX_SUFFIX) -> DataFrame:
-    """(id, lemmas): the filtered lemmas of each document's tokens, in their order; ids are unique.
+    """(id, lemmas): the filtered lemmas of each document's tokens, in their order; a row without an
+    id has none.
 
-    Tokens meet their form's lemma by a join whose frequent forms stay in place.
+    Rules of bounded number are sent to the tasks, which apply them to the distinct forms of their
+    rows. Beyond it, and for ids that several rows have, which get the lemmas of all of them,
+    tokens meet their form's lemma by a join whose frequent forms stay in place.
     """
     toks = L.lemma_tokens_of(T.ascii_text(text_col))
-    rows = df.select(id_col, F.posexplode_outer(F.transform(toks, F.lower)).alias("pos", "form"))
+    empty = F.array().cast("array<string>")
+    listed = rules.select("suffix", "cut", "added").limit(MAX_SENT_RULES + 1).collect()  # a proven bound
+    here, rest = split_repeated(df, id_col) if len(listed) <= MAX_SENT_RULES else (None, df)
+    out = None
+    if here is not None:
+        sent = df.sparkSession.sparkContext.broadcast({r.suffix: (r.cut, r.added) for r in listed})
+        forms = here.select(id_col, F.coalesce(F.when(F.col(id_col).isNotNull(), F.transform(toks, F.lower)), empty).alias(out_col))
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in forms.schema.fields)
+        found = forms.mapInArrow(_applied(sent, max_suffix), fields)
+        out = found.select(id_col, F.filter(out_col, L.keep_lemma).alias(out_col))
+    if rest is None:
+        return out
+    rows = rest.select(id_col, F.posexplode_outer(F.transform(toks, F.lower)).alias("pos", "form"))
     forms = rows.filter("form is not null").select("form").distinct()
     joined = heavy_light_join(rows.filter("form is not null"), lemmas_of_forms(forms, rules, max_suffix), "form", "inner")
     kept = joined.filter(L.keep_lemma(F.col("lemma"))).groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct("pos", "lemma"))).alias("_l"))
-    return df.select(id_col).join(kept, id_col, "left").select(
-        id_col, F.coalesce(F.col("_l.lemma"), F.array().cast("array<string>")).alias(out_col))
+    met = rest.select(id_col).join(kept, id_col, "left").select(id_col, F.coalesce(F.col("_l.lemma"), empty).alias(out_col))
+    return met if out is None else out.unionByName(met)

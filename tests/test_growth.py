@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import cooccurrence, vectors
+from quire.operators import cooccurrence, suffix_rules, vectors
 
 
 def _plan(df) -> str:
@@ -45,3 +45,15 @@ def test_pairs_are_counted_where_documents_are(spark, monkeypatch):
             pairs = cooccurrence.cooccurrence(cooccurrence.known_tokens(again, "id", vocab), window=2, vocab=vocab, keep=keep)
             got.append(sorted(map(tuple, pairs.collect())))
     assert all(x == got[0] for x in got) and ("b", "b", 2) in got[0]
+
+
+def test_rules_are_applied_where_documents_are(spark, monkeypatch):
+    rules = spark.createDataFrame([("s", 1, ""), ("ies", 3, "y"), ("boxes", 5, ""), ("", 0, "")], "suffix string, cut int, added string")
+    docs = spark.createDataFrame([(1, "Cats, flies boxes"), (2, None), (3, "cats 12"), (3, "dogs"), (None, "cats")], "id long, text string")
+    unique = docs.filter("id < 3")
+    assert "Exchange" not in _plan(suffix_rules.lemmatize(unique, "id", rules))
+    want = [(1, ["cat", "fly", "boxes"]), (2, []), (3, ["cat", "dog"]), (3, ["cat", "dog"]), (None, [])]
+    for limit in (200_000, 0):
+        monkeypatch.setattr(suffix_rules, "MAX_SENT_RULES", limit)
+        got = sorted(((r.id, r.LEMMAS if r.id != 3 else sorted(r.LEMMAS)) for r in suffix_rules.lemmatize(docs, "id", rules).collect()), key=str)
+        assert got == sorted(want, key=str)
