@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.features import NUM_FEATURES, run_lengths, runs, stable_bucket
+from quire.operators.numbering import split_repeated
 
 
 def hashed_tf(df: DataFrame, id_col: str, terms_col: str = "ngrams",
@@ -57,11 +58,23 @@ def unpacked_tf(packed: DataFrame, id_col: str, keys: tuple[str, ...] = ()) -> D
 
 def term_tf(df: DataFrame, id_col: str, terms_col: str = "ngrams",
             keys: tuple[str, ...] = ()) -> DataFrame:
-    """(id, *keys, term, tf): counts of plain terms per document."""
-    return (df.select(id_col, *keys, F.explode_outer(terms_col).alias("term"))
-              .filter(F.col("term").isNotNull())
-              .groupBy(id_col, *keys, "term")
-              .agg(F.count(F.lit(1)).alias("tf")))
+    """(id, *keys, term, tf): counts of plain terms per document.
+
+    Terms are counted within the row; only rows whose id another row has, too, are merged by a shuffle.
+    """
+    here, repeated = split_repeated(df, id_col)
+    terms = F.sort_array(F.array_compact(F.coalesce(F.col(terms_col), F.array().cast("array<string>"))))
+    distinct, starts = runs("_w")
+    packed = (here.select(id_col, *keys, terms.alias("_w")).select(id_col, *keys, distinct.alias("term"), starts.alias("_s"), F.size("_w").alias("_n"))
+              .select(id_col, *keys, "term", run_lengths("_s", F.col("_n")).alias("tf")))
+    out = (packed.select(id_col, *keys, F.explode_outer(F.arrays_zip("term", "tf")).alias("_t"))
+           .select(id_col, *keys, F.col("_t.term").alias("term"), F.col("_t.tf").cast("long").alias("tf")).filter("term is not null"))
+    if repeated is None:
+        return out
+    return out.unionByName(repeated.select(id_col, *keys, F.explode_outer(terms_col).alias("term"))
+                           .filter(F.col("term").isNotNull())
+                           .groupBy(id_col, *keys, "term")
+                           .agg(F.count(F.lit(1)).alias("tf")))
 
 
 def n_docs(docs: DataFrame) -> Column:

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import cooccurrence, suffix_rules, vectors
+from quire.operators import cooccurrence, suffix_rules, tfidf, vectors
 
 
 def _plan(df) -> str:
@@ -57,3 +57,10 @@ def test_rules_are_applied_where_documents_are(spark, monkeypatch):
         monkeypatch.setattr(suffix_rules, "MAX_SENT_RULES", limit)
         got = sorted(((r.id, r.LEMMAS if r.id != 3 else sorted(r.LEMMAS)) for r in suffix_rules.lemmatize(docs, "id", rules).collect()), key=str)
         assert got == sorted(want, key=str)
+
+
+def test_terms_are_counted_within_the_row(spark):
+    docs = [(1, ["a b", "b c", "a b"]), (2, []), (3, None), (4, ["x y", None]), (4, ["x y"])]
+    df = spark.createDataFrame(docs, "id long, ngrams array<string>")
+    assert "Exchange" not in _plan(tfidf.term_tf(df.filter("id < 4"), "id"))
+    assert sorted(map(tuple, tfidf.term_tf(df, "id").collect())) == [(1, "a b", 2), (1, "b c", 1), (4, "x y", 2)]
