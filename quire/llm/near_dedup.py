@@ -190,10 +190,8 @@ def candidates(sets: DataFrame, percent: int) -> DataFrame:
     popular = rows.groupBy("doc_id").agg(F.sum("n0").alias("meets"))
     banded, rows = rows, written(rows.join(popular, "doc_id"), "popular")
     discard(banded)
-    pairs, upper = [], None
-    for i, k in enumerate(keys):
-        # the whole bucket is one of the longer run's parts where a shorter run's was large
-        inside = rows if upper is None else rows.join(unique(upper), keys[i - 1], "left_semi")
+    pairs, inside = [], rows
+    for k in keys:
         buckets = inside.groupBy(k).agg(F.count("*").alias("n"), F.min("doc_id").alias("least"),
                                         F.max(F.struct("meets", (-F.col("doc_id")).alias("minus"))).alias("centre"))
         buckets = buckets.filter("n > 1")
@@ -204,7 +202,8 @@ def candidates(sets: DataFrame, percent: int) -> DataFrame:
         few = few.groupBy(k).agg(F.collect_list("doc_id").alias("all"))  # at most SMALL
         pairs.append(few.select(F.explode("all").alias("doc_id"), "all").select("doc_id", F.explode("all").alias("other"))
                      .filter("doc_id < other"))
-        upper = buckets.filter(F.col("n") > SMALL).select(k)
+        # the whole bucket is one of the longer run's parts where a shorter run's was large
+        inside = star.filter(F.col("n") > SMALL).select(*rows.columns)
     out = pairs[0]
     for more in pairs[1:]:
         out = out.union(more)

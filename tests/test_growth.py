@@ -74,3 +74,15 @@ def test_distinct_tokens_are_typed_once(spark):
         ("mr", 100, 0), ("fox", 0, 100), ("ran", 50, 50), ("##", 0, 50)}
     ends = sorted(map(tuple, sentence_model.typed_ends(df).select("kind", "dotted", "sure", "next_kind", "n").collect()))
     assert ends == [("fox", False, True, "##", 50), ("mr", True, False, "fox", 50), ("mr", True, False, "fox", 50), ("ran", True, False, "mr", 50)]
+
+
+def test_large_buckets_are_not_joined_again(spark, monkeypatch):
+    from quire.llm import near_dedup
+
+    plans, kept = {}, near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", lambda df, name: (plans.setdefault(name, _plan(df)), kept(df, name))[1])
+    words = " ".join(f"w{i}" for i in range(200))
+    docs = spark.createDataFrame([(i, f"{words} end{i}") for i in range(12)], "doc_id long, text string")
+    out = near_dedup.near_dedup(docs).collect()
+    assert {r.component_id for r in out} == {0}
+    assert "LeftSemi" not in plans["pairs"]
