@@ -198,6 +198,20 @@ def test_toxic_stems_are_learned(spark):
     assert score[9003] == score[9004] == score[9005] and score[None] == score[0]
 
 
+def test_toxicity_learns_from_rows_beyond_the_first_sample(spark):
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(8, 9)))
+    calm, bad = [word("abdeiklmnorstu") for _ in range(200)], [word("cfghjpqvwxyz") for _ in range(12)]
+    docs = [(i, " ".join([rng.choice(calm) for _ in range(rng.randint(5, 30))] + [bad[i // 3 % 12]] * (i % 3 == 0))) for i in range(900)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'en' as lang")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in docs], "doc_id long, toxic int")
+    # four toxic texts to start from have at most four of the twelve words
+    model = toxicity.fit(rows, labels, ~toxicity.held_out(), rows_a_label=4)
+    score = {r.doc_id: r.score for r in toxicity.score(rows, model).collect()}
+    held = [i for i, _ in docs if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert np.mean([(score[i] >= toxicity.THRESHOLD) == (i % 3 == 0) for i in held]) > 0.95
+
+
 def test_toxicity_without_two_classes(spark):
     docs = [(0, "a b"), (0, "c"), (None, "d"), (2, None)]
     for labels, expected in (([], 0.0), ([(0, 0)], 0.0), ([(0, 1), (0, 0)], 1.0), ([(None, 1), (0, None)], 0.0)):
