@@ -196,8 +196,7 @@ def candidates(sets: DataFrame, percent: int) -> DataFrame:
                                         F.max(F.struct("meets", (-F.col("doc_id")).alias("minus"))).alias("centre"))
         buckets = buckets.filter("n > 1")
         star = inside.join(unique(buckets), k)
-        pairs.append(star.select("doc_id", F.col("least").alias("other")))
-        pairs.append(star.select("doc_id", (-F.col("centre.minus")).alias("other")))
+        pairs.append(star.select("doc_id", F.explode(F.array("least", -F.col("centre.minus"))).alias("other")))
         few = star.filter(F.col("n") <= SMALL).select(k, "doc_id", "n")
         few = few.groupBy(k).agg(F.collect_list("doc_id").alias("all"))  # at most SMALL
         pairs.append(few.select(F.explode("all").alias("doc_id"), "all").select("doc_id", F.explode("all").alias("other"))
@@ -225,13 +224,12 @@ def estimated(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in grams.blocks(rows_of(batches), lambda r: len(r[1]), BLOCK_BYTES):
-            docs, ids = shingles([b for _, b in part], size)
+        for part in grams.blocks(rows_of(batches), lambda r: len(r[2]), BLOCK_BYTES):
+            docs, ids = shingles([b for _, _, b in part], size)
             bounds = np.searchsorted(docs, np.arange(len(part) + 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in part], pa.int64()),
-                 pa.array([ids[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())],
-                ["doc_id", "ids"])
+            kept = [(d, ids[x:y].tobytes()) for (d, n, _), x, y in zip(part, bounds[:-1], bounds[1:], strict=True) if y - x == n]
+            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in kept], pa.int64()), pa.array([x for _, x in kept], pa.binary())],
+                                             ["doc_id", "ids"])
 
     return run
 
@@ -260,9 +258,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def full_sets(body: DataFrame, keys: DataFrame, size: int) -> DataFrame:
     """(doc_id, ids): the sets of the documents of ``keys`` (doc_id, n_shingles)."""
-    return written(body.filter("body is not null").join(keys.select("doc_id"), "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id long, ids binary")
-                   .join(keys.withColumnRenamed("n_shingles", "n"), "doc_id")
-                   .filter("length(ids) = 8 * n").dropDuplicates(["doc_id"]).select("doc_id", "ids"), "full")
+    return written(body.filter("body is not null").join(unique(keys), "doc_id").select("doc_id", "n_shingles", "body")
+                   .mapInArrow(_sets(size), "doc_id long, ids binary").dropDuplicates(["doc_id"]), "full")
 
 
 def crowded(sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
@@ -325,7 +322,7 @@ def near_dedup(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     chosen = classes.groupBy("first").agg(F.min(F.struct("d1", "d2")).alias("d"))
     sets = written(sketches.select("doc_id", "n_shingles", "d1", "d2", "sketch").alias("s")
                    .join(chosen.selectExpr("first as doc_id", "d.d1", "d.d2"), ["doc_id", "d1", "d2"])
-                   .dropDuplicates(["doc_id"]).select("doc_id", "d1", "d2", "n_shingles", "sketch"), "sets")
+                   .dropDuplicates(["doc_id", "d1", "d2"]).select("doc_id", "d1", "d2", "n_shingles", "sketch"), "sets")
     likely = candidates(sets, percent)
     keys = written(sets.select("doc_id", "n_shingles"), "keys")
     ends = likely.selectExpr("a as doc_id").union(likely.selectExpr("b as doc_id")).distinct()

@@ -203,3 +203,25 @@ def test_components(spark):
         got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
         nodes = {x for e in edges for x in e if e[0] != e[1]}
         assert got == {n: c for n, c in brute.components(range(200), edges).items() if n in nodes}
+
+
+def test_components_of_one_task_need_no_round(spark, monkeypatch):
+    from quire.llm import components as module
+
+    names = []
+    monkeypatch.setattr(module, "written", lambda df, name, keep=module.written: names.append(name) or keep(df, name))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(3000)], "a long, b long").coalesce(1)
+    assert {r.component for r in components(edges).collect()} == {0} and names == ["edges"]
+
+
+def test_anchors_are_sought_without_naming_whole_windows(spark, monkeypatch):
+    import pyarrow as pa
+
+    from quire.llm import grams, repeats
+
+    asked = []
+    monkeypatch.setattr(grams, "gram_ids", lambda t, sizes, lane=0, keep=grams.gram_ids: asked.append(sizes) or keep(t, sizes, lane))
+    text = bytes(random.Random(5).choices(b"abcd", k=300))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([text, b"", b"x" + text])], ["doc_id", "body"])
+    (out,) = repeats._anchors(repeats.Spec(False, 50, (20, 40, 50)))(iter([batch]))
+    assert asked == [[20]] and len(out.column("shared")[0].as_py()) > 5
