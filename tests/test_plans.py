@@ -39,3 +39,24 @@ def test_no_cross_joins(spark):
         df.collect()
         p = plan_of(df)
         assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p, key
+
+
+def test_naive_bayes_counts_buckets_once(spark, monkeypatch):
+    from quire.plans import ml, ml_queries
+
+    seen = []
+
+    class Watched(ml.Pipeline):
+        def fit(self, dataset, params=None):
+            seen.append((dataset.columns, dataset.storageLevel.useDisk))
+            return super().fit(dataset, params)
+
+    train, _ = ml.split(ml_queries._lemma_docs(spark, SF001), "doc_id")
+    indexer = ml.fit_label_indexer(ml_queries._lemma_docs(spark, SF001), "lang")
+    plain = ml.nb_pipeline(indexer, hashing="md5").fit(train)
+    monkeypatch.setattr(ml, "Pipeline", Watched)
+    model = ml.fit_nb(train.select("LEMMAS", "lang"), indexer, hashing="md5")
+    assert seen == [(["label", "tf"], True)]
+    assert [type(s) for s in model.stages] == [type(s) for s in plain.stages]
+    rows = [m.transform(train).select("doc_id", "predictedCategory").collect() for m in (model, plain)]
+    assert sorted(rows[0]) == sorted(rows[1])
