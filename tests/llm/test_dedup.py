@@ -225,3 +225,47 @@ def test_anchors_are_sought_without_naming_whole_windows(spark, monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([text, b"", b"x" + text])], ["doc_id", "body"])
     (out,) = repeats._anchors(repeats.Spec(False, 50, (20, 40, 50)))(iter([batch]))
     assert asked == [[20]] and len(out.column("shared")[0].as_py()) > 5
+
+
+def test_windows_are_named_in_chunks_that_stay_in_cache(monkeypatch):
+    import numpy as np
+
+    from quire.llm import grams
+
+    rng = random.Random(8)
+    texts = [bytes(rng.choices(b"ab", k=n)) for n in (40_000, 3, 0, 50, 30_000)]
+    starts = np.cumsum([0, *map(len, texts)])
+    tokens = grams.BYTE_VALUE[0][np.frombuffer(b"".join(texts), np.uint8)]
+    longest = []
+    monkeypatch.setattr(grams, "gram_ids", lambda t, sizes, lane=0, keep=grams.gram_ids: longest.append(len(t)) or keep(t, sizes, lane))
+    chunked = [grams.Windows(tokens, starts, 50, q) for q in (20, 40, 50)]
+    assert max(longest) < 20_000 and len(longest) > 9
+    monkeypatch.setattr(grams, "CHUNK", 1 << 40)
+    for w, q in zip(chunked, (20, 40, 50), strict=True):
+        whole = grams.Windows(tokens, starts, 50, q)
+        for name in ("window", "at", "count", "anchor"):
+            assert np.array_equal(getattr(w, name), getattr(whole, name)), (q, name)
+    assert np.array_equal(grams.window_ids(tokens, 50), chunked[0].window)
+
+
+def test_anchors_and_pieces_are_shuffled_once_for_all_their_reads(spark, monkeypatch):
+    from quire.llm import repeats
+
+    dealt = {}
+
+    def kept(df, name, keep=repeats.written):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+        dealt[name] = sum("REPARTITION_BY_COL" in line and "ReusedExchange" not in line for line in plan)
+        return keep(df, name)
+
+    monkeypatch.setattr(repeats, "written", kept)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so that a plan shows what it reuses before it runs
+    try:
+        text = "".join(random.Random(9).choices("abcdefgh", k=400))
+        docs = spark.createDataFrame([(1, text), (2, "x" * 60 + text[100:300])], "doc_id long, text string")
+        places = repeats.repeated_pieces(docs, repeats.Spec(False, 50, (20, 40, 50))).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert {r.doc_id for r in places} == {2}
+    assert {n: dealt[n] for n in ("known", "judged0", "judged1", "judged2")} == dict.fromkeys(("known", "judged0", "judged1", "judged2"), 1)
