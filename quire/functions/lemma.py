@@ -11,6 +11,9 @@ No parity with a statistical lemmatizer is claimed.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,7 +77,9 @@ def suffix_rule(w: Column) -> Column:
             cond = cond & ~w.endswith(b)
         val = F.concat(w.substr(F.lit(1), F.length(w) - cut), F.lit(add))
         out = F.when(cond, val) if out is None else out.when(cond, val)
-    return out.otherwise(w)
+    # most forms end with no rule's last letter and skip the rules
+    last = [w.endswith(x) for x in sorted({suffix[-1] for suffix, *_ in SUFFIX_RULES})]
+    return F.when(functools.reduce(operator.or_, last), out.otherwise(w)).otherwise(w)
 
 
 def one_lemma_per_form(dictionary) -> list[tuple[str, str]]:
@@ -107,5 +112,8 @@ def keep_lemma(x: Column) -> Column:
 
 def lemmas(text, pairs=IRREGULAR_FORMS) -> Column:
     """Array of filtered, lower-cased lemmas of a text (``[]`` for null)."""
-    toks = F.coalesce(lemma_tokens_of(text), F.array().cast("array<string>"))
-    return F.filter(F.transform(F.transform(toks, F.lower), lambda w: lemma_of_lower(w, pairs)), keep_lemma)
+    toks = F.coalesce(F.split(_c(text), TOKEN_SPLIT), F.array().cast("array<string>"))
+    # A rule never lengthens a form, so shorter ones cannot give a lemma to keep, unless they are listed.
+    shortest = min([MIN_LEMMA_LENGTH, *(len(form) for form, lemma in pairs if len(lemma) >= MIN_LEMMA_LENGTH)])
+    forms = F.filter(F.transform(toks, F.lower), lambda w: F.length(w) >= max(shortest, 1))
+    return F.filter(F.transform(forms, lambda w: lemma_of_lower(w, pairs)), keep_lemma)

@@ -11,10 +11,8 @@ from pyspark.sql import functions as F
 
 # ---- fixed values (reference behaviour) ---------------------------------
 NON_WORD_RUN = r"\W+"                 # Java \W is ASCII: [^A-Za-z0-9_]
-HAN = r"\p{IsHan}"                    # Han script characters
-NON_ASCII = r"[^\x00-\x7F]"           # anything outside 7-bit ASCII
+NON_ASCII_RANGE = r"\x{80}-\x{10FFFF}"  # anything outside 7-bit ASCII, Han script included
 WHITESPACE = r"[\t\n\x0B\f\r ]"      # Perl/Java \s, spelled out
-NEWLINE_RUN = r"\n+"
 BLANK_DOC = r"^[\t\n\x0B\f\r ]*$"    # a fully blank document (no /m flag)
 BLANK_COLLAPSED = r"^ ?$"             # the same document after whitespace collapse
 BLANK_REPLACEMENT = "."
@@ -44,14 +42,13 @@ def ascii_text(c, strip_quotes: bool = True, blank_lines: bool = False) -> Colum
     ``blank_lines=True`` turns every blank *line* into ``.`` instead, which is
     what the original comment meant but not what its regex did.
     """
-    x = F.regexp_replace(_c(c), HAN, " ")
-    x = F.regexp_replace(x, NON_ASCII, " ")
-    if strip_quotes:
-        x = F.regexp_replace(x, '"', " ")
+    flat = NON_ASCII_RANGE + ('"' if strip_quotes else "")
+    x = _c(c)
     if blank_lines:
+        x = F.regexp_replace(x, f"[{flat}]", " ")
         x = F.regexp_replace(x, r"(?m)^[\t\x0B\f\r ]*$", BLANK_REPLACEMENT)
-    x = F.regexp_replace(x, NEWLINE_RUN, " ")
-    x = F.regexp_replace(x, WHITESPACE + "+", " ")
+    # All that becomes a space does so in the same pass that collapses runs (Han is not ASCII).
+    x = F.regexp_replace(x, f"[{WHITESPACE[1:-1]}{flat}]+", " ")
     # A blank document is exactly the one that collapses to "" or " "; testing
     # after the collapse keeps the expression tree linear (each step is
     # evaluated once, not once per reference).

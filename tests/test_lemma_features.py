@@ -16,6 +16,26 @@ def test_lemmas_filter_and_rules(spark):
     assert got == ["the", "company", "issuing", "bond", "class"]
 
 
+def test_short_forms_are_dropped_before_their_lemma_unless_listed(spark):
+    text = "-a- am is ab s us Ox as axes ied tied dies bus d 7s x-s ÉTÉS İx"
+    got = arr(spark, L.lemmas("x"), text)
+    every = F.transform(F.transform(L.lemma_tokens_of("x"), F.lower), lambda w: L.lemma_of_lower(w))
+    assert got == arr(spark, F.filter(every, L.keep_lemma), text) == ["ied", "tied", "die", "bus", "été"]
+    # a listed form counts, however short
+    assert arr(spark, L.lemmas("x", [("ox", "oxen"), ("a", "article"), ("zz", "z")]), "Ox a zz b") == ["oxen", "article"]
+    # forms too short for a lemma to keep never reach the rules: the length is asked before and after
+    plan = spark.createDataFrame([(text,)], "x string").select(L.lemmas("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count(">= 3") == 2
+
+
+def test_rules_are_the_first_match_for_any_ending(spark):
+    words = ["classes", "companies", "churches", "dishes", "boxes", "bonds", "bus", "glass", "basis", "tied", "applied",
+             "red", "s", "ies", "d", "", "été", "walk"]
+    want = ["class", "company", "church", "dish", "box", "bond", "bus", "glass", "basis", "tied", "apply",
+            "red", "s", "ies", "d", "", "été", "walk"]
+    assert [arr(spark, L.suffix_rule(F.col("x")), w) for w in words] == want
+
+
 def test_dictionary_join_equals_rowlocal(spark):
     df = spark.createDataFrame([(1, "Children went to the markets"), (2, ""), (3, None)],
                                "doc_id long, text string")

@@ -15,6 +15,26 @@ def test_clean_text_ascii_word_class(spark):
     assert one(spark, T.clean_text("x"), None) is None
 
 
+def test_ascii_text_is_one_pass_and_the_collapse_of_each_step(spark):
+    rows = [(x,) for x in ["", " ", "\n\n", '"', '""\n"', "中", "中文\n\n é", "a中\"\t b\x0b\n\r\f c", "😀x\u2028\x85y\xa0", "𠀀\n𠀀 z",
+                           'q "w"\n\n"\n', " lead", "trail ", "\x00\x7f\x1f", "Kelvin \u212a İ", None]]
+    df = spark.createDataFrame(rows, "x string")
+    for quotes in (True, False):
+        for blank in (True, False):
+            step = F.col("x")
+            for pattern in [r"\p{IsHan}", r"[^\x00-\x7F]", *(['"'] if quotes else [])]:
+                step = F.regexp_replace(step, pattern, " ")
+            if blank:
+                step = F.regexp_replace(step, r"(?m)^[\t\x0B\f\r ]*$", ".")
+            for pattern, by in [(r"\n+", " "), (r"[\t\n\x0B\f\r ]+", " "), (r"^ ?$", ".")]:
+                step = F.regexp_replace(step, pattern, by)
+            flat = T.ascii_text("x", strip_quotes=quotes, blank_lines=blank)
+            for r in df.select("x", flat.alias("got"), step.alias("want")).collect():
+                assert r.got == r.want, r
+    # a text is read for the whole flattening, and once more for its blank form
+    assert str(T.ascii_text("x")).count("regexp_replace") == 2
+
+
 def test_ascii_text_blank_and_collapse(spark):
     assert one(spark, T.ascii_text("x"), "") == "."
     assert one(spark, T.ascii_text("x"), "  \n") == "."
