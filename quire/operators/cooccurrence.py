@@ -3,7 +3,11 @@ leading eigenvectors of that matrix by block power iteration.
 
 Every step is an aggregate or a join: pairs are counted in each task before they are shuffled, the
 matrix is a table of its positive entries, and a step of the iteration joins it with the current
-vectors and adds up by word. The driver holds ``size`` by ``size`` matrices, never the vocabulary.
+vectors and adds up by word. The driver holds ``size`` by ``size`` matrices, and tables of words up to
+``MAX_BROADCAST_BYTES``.
+
+Where the vocabulary is that small, words are numbered and pairs are numbers, of which a row holds many (``PairSums``):
+tasks sort and add them up as arrays, and Spark deals them out by the part of the numbers that a row is of.
 
 Edge cases: documents without known words, and vocabularies without pairs, have no rows; a word next to
 itself counts in both directions.
@@ -11,12 +15,14 @@ itself counts in both directions.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.numbering import row_numbers, split_repeated
@@ -27,8 +33,15 @@ from quire.session import scratch_path
 #: Tables of words, and vectors by word, are sent to every task up to so many bytes.
 MAX_BROADCAST_BYTES = 64 << 20
 #: Pairs that a task counts at once, and documents whose tokens it turns into numbers at once.
-PAIRS_AT_ONCE = 1 << 22
+PAIRS_AT_ONCE = 1 << 24
 DOCS_AT_ONCE = 1000
+#: Pairs of the text that are summed in one task at most, on average, and fewest that are worth one.
+PAIRS_A_PART = 1 << 24
+FEWEST_A_PART = 1 << 18
+#: Pairs in a written row, about.
+PAIRS_A_ROW = 1 << 18
+#: Sorted numbers of one part: their low bits and counts as arrays of the narrowest unsigned type.
+PACKED = "part int, size int, key binary, n binary"
 
 
 def _kept(df: DataFrame, name: str) -> DataFrame:
@@ -37,11 +50,17 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _listed(vocab: DataFrame) -> list[str] | None:
-    """The distinct words of the vocabulary in code-point order, if they are few enough to be sent."""
-    words = _kept(vocab.select("word").filter("word is not null").distinct(), "words")
+def _listed(vocab: DataFrame) -> tuple[list[str], int | None] | None:
+    """The distinct words of the vocabulary, if they are few enough to be sent, and the number of tokens that they are.
+    Frequent words come first where the vocabulary counts them: what is looked up most lies together."""
+    counted = "n" in vocab.columns
+    words = vocab.filter("word is not null").groupBy("word").agg((F.sum("n") if counted else F.lit(None)).cast("long").alias("n"))
+    words = _kept(words, "words")
     size = words.agg(F.coalesce(F.sum(F.octet_length("word") + 16), F.lit(0))).first()[0]
-    return sorted(r.word for r in words.collect()) if size <= MAX_BROADCAST_BYTES else None
+    if size > MAX_BROADCAST_BYTES:
+        return None
+    rows = words.collect()
+    return sorted((r.word for r in rows), key={r.word: (-(r.n or 0), r.word) for r in rows}.get), sum(r.n or 0 for r in rows) if counted else None
 
 
 def _numbers(tokens: pa.Array, numbers: dict[str, int]) -> np.ndarray:
@@ -77,13 +96,13 @@ def known_tokens(doc_tokens: DataFrame, id_col: str, vocab: DataFrame, tokens_co
     """(id, tokens): the tokens that the vocabulary (word, ..) has, in their order. A vocabulary of
     bounded size is sent to the tasks, which filter their documents in place. Of a larger one, and for ids that
     several rows have, tokens meet the vocabulary word by word."""
-    words = _listed(vocab)
-    here, joined = (doc_tokens.filter("false"), doc_tokens) if words is None else split_repeated(doc_tokens, id_col)
+    listed = _listed(vocab)
+    here, joined = (doc_tokens.filter("false"), doc_tokens) if listed is None else split_repeated(doc_tokens, id_col)
     rows = here.select(id_col, F.col(tokens_col).alias(tokens_col))
     out = None
-    if words is not None:
+    if listed is not None:
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-        out = rows.mapInArrow(_only(rows.sparkSession.sparkContext.broadcast(words)), fields)
+        out = rows.mapInArrow(_only(rows.sparkSession.sparkContext.broadcast(listed[0])), fields)
     if joined is not None:
         rows = joined.select(id_col, F.posexplode_outer(tokens_col).alias("pos", "word")).filter("word is not null")
         kept = rows.join(vocab.select("word"), "word").groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("_t"))
@@ -92,16 +111,99 @@ def known_tokens(doc_tokens: DataFrame, id_col: str, vocab: DataFrame, tokens_co
     return out
 
 
-def _pair_counts(sent, window: int):
-    """(key, n) of the unordered pairs in the rows' token lists, counted in blocks: the key of the
-    words numbered a <= b is a * words + b."""
-    def counted(keys: list[np.ndarray]) -> pa.RecordBatch:
-        key, n = np.unique(np.concatenate(keys), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
+# ---- many numbers in a row ------------------------------------------------------
+
+def _odd(bits: int) -> int:
+    return int((1 << bits) * 0.6180339887498949) | 1
+
+
+def _mixed(x: np.ndarray, bits: int) -> np.ndarray:
+    """Numbers of so many bits in another order, in which leading bits deal them evenly: times an odd number."""
+    return x * np.uint64(_odd(bits)) & np.uint64((1 << bits) - 1)
+
+
+def _unmixed(x: np.ndarray, bits: int) -> np.ndarray:
+    return x * np.uint64(pow(_odd(bits), -1, 1 << bits)) & np.uint64((1 << bits) - 1)
+
+
+def _width(n_words: int) -> int:
+    """Bits of a word's number."""
+    return max(n_words - 1, 1).bit_length()
+
+
+def _starts(x: np.ndarray) -> np.ndarray:
+    """Where the runs of equal numbers begin."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, dtype=np.int64)
+
+
+def _narrow(x: np.ndarray) -> bytes:
+    return x.astype(np.min_scalar_type(int(x.max()))).tobytes()
+
+
+def _packed(keys: np.ndarray, n: np.ndarray, low: int) -> pa.RecordBatch:
+    """Sorted keys and their counts, a row for each part: the bits above the ``low`` ones."""
+    first, last = (int(k) >> low for k in (keys[0], keys[-1]))
+    at = np.searchsorted(keys, np.arange(first, last + 2, dtype=np.uint64) << np.uint64(low))
+    parts = [(part, i, j) for part, i, j in zip(range(first, last + 1), at, at[1:]) if j > i]
+    keys = keys & np.uint64((1 << low) - 1)
+    columns = ([x[0] for x in parts], [int(j - i) for _, i, j in parts], [_narrow(keys[i:j]) for _, i, j in parts], [_narrow(n[i:j]) for _, i, j in parts])
+    types = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["part", "size", "key", "n"])
+
+
+def _unpacked(batch: pa.RecordBatch, low: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and counts of each row."""
+    for part, size, *cells in zip(*batch.columns):
+        key, n = (np.frombuffer(c.as_buffer(), f"u{c.as_buffer().size // size.as_py()}") for c in cells)
+        yield key.astype(np.uint64) | np.uint64(part.as_py() << low), n.astype(np.int64)
+
+
+def _merged(low: int, whole: int = 0):
+    """A partition's keys in order, counts of equal ones added up, in rows of about ``PAIRS_A_ROW``; keys that are equal
+    but for the ``whole`` lowest bits come in one row."""
+    most = PAIRS_A_ROW
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [x for batch in batches for x in _unpacked(batch, low)]
+        if held:
+            keys, n = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            order = np.argsort(keys, kind="stable")  # sorted runs are merged
+            keys, n = keys[order], n[order]
+            starts = _starts(keys)
+            keys, n = keys[starts], np.add.reduceat(n, starts)
+            starts = _starts(keys >> np.uint64(whole))
+            ends = starts[np.minimum(np.searchsorted(starts, np.arange(most, len(keys), most)), len(starts) - 1)]
+            cuts = np.unique(np.concatenate([[0], ends, [len(keys)]]))
+            for i, j in zip(cuts, cuts[1:]):
+                yield _packed(keys[i:j], n[i:j], low)
+    return run
+
+
+def _parts_for(spark: SparkSession, n: int, bits: int) -> int:
+    """The base-2 logarithm of the number of parts for ``n`` pairs."""
+    few = min(2 * spark.sparkContext.defaultParallelism, -(-n // FEWEST_A_PART))
+    return min(bits, (max(few, -(-n // PAIRS_A_PART), 1) - 1).bit_length())
+
+
+def _dealt(packed: DataFrame, parts: int, low: int, whole: int = 0) -> DataFrame:
+    return packed.repartitionById(1 << parts, F.col("part")).mapInArrow(_merged(low, whole), PACKED)
+
+
+# ---- pairs ------------------------------------------------------------------------
+
+def _pair_counts(sent, window: int, low: int):
+    """Counts of the unordered pairs in the rows' token lists, made in blocks and packed: the key of the
+    words numbered a <= b has a's bits before b's, and is mixed."""
+    def counted(keys: np.ndarray) -> pa.RecordBatch:
+        keys.sort()
+        starts = _starts(keys)
+        return _packed(keys[starts], np.diff(starts, append=len(keys)), low)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = {w: i for i, w in enumerate(sent.value)}
-        held, size = [], 0
+        width = _width(len(numbers))
+        held, size = np.empty(PAIRS_AT_ONCE, dtype=np.uint64), 0
         for batch in _parts(batches):
             lists = batch.column(0)
             ids, doc = _numbers(lists.flatten(), numbers), pc.list_parent_indices(lists).to_numpy()
@@ -109,47 +211,89 @@ def _pair_counts(sent, window: int):
                 a, b = ids[:-d], ids[d:]
                 both = (doc[:-d] == doc[d:]) & (a >= 0) & (b >= 0)  # an unlisted token keeps its place
                 a, b = a[both], b[both]
-                held.append(np.minimum(a, b) * len(numbers) + np.maximum(a, b))
-                size += len(a)
-                if size >= PAIRS_AT_ONCE:
-                    yield counted(held)
-                    held, size = [], 0
+                keys = _mixed((np.minimum(a, b) << width | np.maximum(a, b)).astype(np.uint64), 2 * width)
+                while len(keys):
+                    some = keys[:len(held) - size]
+                    held[size:size + len(some)] = some
+                    size, keys = size + len(some), keys[len(some):]
+                    if size == len(held):
+                        yield counted(held)
+                        size = 0
         if size:
-            yield counted(held)
+            yield counted(held[:size])
     return run
 
 
-def _both_ways(sent):
-    """(word, context, n) of (key, n), in both directions."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = pa.array(sent.value, pa.string())
-        for batch in batches:
-            key, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            a, b = np.divmod(key, max(len(words), 1))
-            other = a != b
-            for x, y in ((a, b), (b[other], a[other])):
-                m = np.where(other, n, 2 * n) if x is a else n[other]
-                yield pa.RecordBatch.from_arrays([words.take(pa.array(x)), words.take(pa.array(y)), pa.array(m)], ["word", "context", "n"])
-    return run
-
-
-def cooccurrence(doc_tokens: DataFrame, window: int = WINDOW_SIZE, tokens_col: str = "tokens", vocab: DataFrame | None = None,
-                 keep: bool = False) -> DataFrame:
-    """(word, context, n): how often ``context`` is at most ``window`` tokens before or after ``word``.
-
-    Unordered pairs are counted, half of the rows; both directions are made of their sums. ``vocab``
-    (word, ..) has all words of the tokens; without it they are found by one more pass. Words of bounded
-    size are numbered, and tasks count pairs of numbers before they are shuffled. ``keep`` writes the sums
-    once, for several reads.
-    """
+def _both_ways(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, context, n) of unordered pairs, in both directions."""
+    other = a != b
+    return np.concatenate([a, b[other]]), np.concatenate([b, a[other]]), np.concatenate([np.where(other, n, 2 * n), n[other]])
+
+
+class PairSums(NamedTuple):
+    """Counts of unordered pairs of numbered words: rows of ``PACKED``, the words by number, and the base-2 logarithm of
+    the number of parts."""
+    sums: DataFrame
+    words: Broadcast
+    parts: int
+
+    @property
+    def width(self) -> int:
+        return _width(len(self.words.value))
+
+    def mapped(self, make: Callable, schema: str) -> DataFrame:
+        """A batch for each row, by a function of its arrays a, b and n, which ``make()`` makes once in a task."""
+        pairs = self.reader()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            of = make()
+            for a, b, n in pairs(batches):
+                yield of(a, b, n)
+        return self.sums.mapInArrow(run, schema)
+
+    def reader(self) -> Callable:
+        """For tasks: the arrays a, b and n of each row of batches of ``sums``."""
+        width, low = self.width, 2 * self.width - self.parts
+
+        def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            for batch in batches:
+                for keys, n in _unpacked(batch, low):
+                    keys = _unmixed(keys, 2 * width).astype(np.int64)
+                    yield keys >> width, keys & (1 << width) - 1, n
+        return pairs
+
+    def rows(self) -> DataFrame:
+        """(word, context, n)."""
+        sent = self.words
+
+        def make() -> Callable:
+            words = pa.array(sent.value, pa.string())
+
+            def of(a, b, n):
+                x, y, m = _both_ways(a, b, n)
+                return pa.RecordBatch.from_arrays([words.take(pa.array(x)), words.take(pa.array(y)), pa.array(m)], ["word", "context", "n"])
+            return of
+        return self.mapped(make, "word string, context string, n long")
+
+
+def pair_sums(doc_tokens: DataFrame, window: int = WINDOW_SIZE, tokens_col: str = "tokens", vocab: DataFrame | None = None,
+              keep: bool = True) -> PairSums | DataFrame:
+    """The counts of ``cooccurrence``, numbered; (word, context, n) if the vocabulary (word, ..) is too large to be sent.
+    ``vocab`` has all words of the tokens; its counts ``n``, if it has them, tell how many parts to make. ``keep`` writes
+    the sums once, for several reads."""
+    spark = doc_tokens.sparkSession
     if vocab is None:
-        vocab = doc_tokens.select(F.explode_outer(tokens_col).alias("word")).distinct()
-    words = _listed(vocab)
-    if words is not None:
-        sent = doc_tokens.sparkSession.sparkContext.broadcast(words)
-        keys = doc_tokens.select(tokens_col).mapInArrow(_pair_counts(sent, window), "key long, n long")
-        sums = keys.groupBy("key").agg(F.sum("n").alias("n"))
-        return (_kept(sums, "pairs") if keep else sums).mapInArrow(_both_ways(sent), "word string, context string, n long")
+        vocab = doc_tokens.select(F.explode_outer(tokens_col).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    listed = _listed(vocab)
+    if listed is not None:
+        words, n_tokens = listed
+        if n_tokens is None:
+            n_tokens = doc_tokens.agg(F.coalesce(F.sum(F.greatest(F.size(tokens_col), F.lit(0))), F.lit(0))).first()[0]
+        sent, bits = spark.sparkContext.broadcast(words), 2 * _width(len(words))
+        parts = _parts_for(spark, n_tokens * window, bits)
+        counts = doc_tokens.select(tokens_col).mapInArrow(_pair_counts(sent, window, bits - parts), PACKED)
+        sums = _dealt(counts, parts, bits - parts)
+        return PairSums(_kept(sums, "pairs") if keep else sums, sent, parts)
     t, n = F.col(tokens_col), F.size(tokens_col)
     def at(d):
         rest = F.greatest(n - d, F.lit(0))
@@ -164,6 +308,19 @@ def cooccurrence(doc_tokens: DataFrame, window: int = WINDOW_SIZE, tokens_col: s
     return other.unionByName(counts.filter("a = b").select(F.col("a").alias("word"), F.col("b").alias("context"), (2 * F.col("n")).alias("n")))
 
 
+def cooccurrence(doc_tokens: DataFrame, window: int = WINDOW_SIZE, tokens_col: str = "tokens", vocab: DataFrame | None = None,
+                 keep: bool = False) -> DataFrame:
+    """(word, context, n): how often ``context`` is at most ``window`` tokens before or after ``word``.
+
+    Unordered pairs are counted, half of the rows; both directions are made of their sums. ``vocab``
+    (word, ..) has all words of the tokens; without it they are found by one more pass. Words of bounded
+    size are numbered, and tasks count pairs of numbers before they are shuffled. ``keep`` writes the sums
+    once, for several reads.
+    """
+    sums = pair_sums(doc_tokens, window, tokens_col, vocab, keep)
+    return sums.rows() if isinstance(sums, PairSums) else sums
+
+
 def _sendable(table: DataFrame, n_bytes: int) -> DataFrame:
     return F.broadcast(table) if n_bytes <= MAX_BROADCAST_BYTES else table
 

@@ -1,5 +1,6 @@
 """Steps that must not grow faster than their input: results and plans against plain versions."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -47,6 +48,32 @@ def test_pairs_are_counted_where_documents_are(spark, monkeypatch):
     assert all(x == got[0] for x in got) and ("b", "b", 2) in got[0]
 
 
+def _worded(spark):
+    """Documents of rare and frequent words, some of them not listed, and their pairs at most 3 tokens apart."""
+    draw = random.Random(5)
+    docs = [[draw.choice(["w", f"w{draw.randrange(9)}", f"w{draw.randrange(60)}", None, "x"]) for _ in range(draw.randrange(40))] for _ in range(60)]
+    listed = sorted({w for d in docs for w in d if w and w != "x"})
+    pairs = Counter((d[i], d[j]) for d in docs for i in range(len(d)) for j in range(max(0, i - 3), min(len(d), i + 4))
+                    if i != j and {d[i], d[j]} <= set(listed))
+    df = spark.createDataFrame([*enumerate(docs), (99, None)], "id long, tokens array<string>").repartition(3)
+    return df, listed, pairs
+
+
+@pytest.mark.parametrize("counted", [True, False])
+def test_pairs_are_shuffled_many_in_a_row(spark, monkeypatch, counted):
+    for name, value in (("PAIRS_AT_ONCE", 300), ("PAIRS_A_ROW", 16), ("PAIRS_A_PART", 500), ("FEWEST_A_PART", 500)):
+        monkeypatch.setattr(cooccurrence, name, value)
+    df, listed, pairs = _worded(spark)
+    vocab = spark.createDataFrame([(w, 5) for w in listed], "word string, n long").select(*(["word", "n"] if counted else ["word"]))
+    out = cooccurrence.cooccurrence(df, window=3, vocab=vocab)
+    assert "HashAggregate" not in _plan(out)  # no row of a single pair is shuffled
+    assert {(r.word, r.context): r.n for r in out.collect()} == pairs
+    sums = cooccurrence.pair_sums(df, window=3, vocab=vocab)
+    assert sum(r.size for r in sums.sums.collect()) == len({tuple(sorted(p)) for p in pairs}) and sums.sums.count() < len(pairs) / 5
+    assert cooccurrence.cooccurrence(df.limit(0), window=3, vocab=vocab).collect() == []
+    assert cooccurrence.cooccurrence(df, window=3, vocab=vocab.limit(0)).collect() == []
+
+
 def test_rules_are_applied_where_documents_are(spark, monkeypatch):
     rules = spark.createDataFrame([("s", 1, ""), ("ies", 3, "y"), ("boxes", 5, ""), ("", 0, "")], "suffix string, cut int, added string")
     docs = spark.createDataFrame([(1, "Cats, flies boxes"), (2, None), (3, "cats 12"), (3, "dogs"), (None, "cats")], "id long, text string")
