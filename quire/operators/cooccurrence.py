@@ -275,6 +275,22 @@ class PairSums(NamedTuple):
             return of
         return self.mapped(make, "word string, context string, n long")
 
+    def margins(self) -> np.ndarray:
+        """Each word's pairs, in both directions."""
+        n_words, pairs = len(self.words.value), self.reader()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(n_words)  # whole numbers, exact up to 2 ** 53
+            for a, b, n in pairs(batches):
+                total += np.bincount(a, n, n_words)
+                total += np.bincount(b, n, n_words)
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some].astype(np.int64))], ["i", "m"])
+        found = self.sums.mapInArrow(run, "i long, m long").groupBy("i").agg(F.sum("m").alias("m")).toArrow()
+        out = np.zeros(n_words, dtype=np.int64)
+        out[found["i"].to_numpy()] = found["m"].to_numpy()
+        return out
+
 
 def pair_sums(doc_tokens: DataFrame, window: int = WINDOW_SIZE, tokens_col: str = "tokens", vocab: DataFrame | None = None,
               keep: bool = True) -> PairSums | DataFrame:
@@ -325,9 +341,29 @@ def _sendable(table: DataFrame, n_bytes: int) -> DataFrame:
     return F.broadcast(table) if n_bytes <= MAX_BROADCAST_BYTES else table
 
 
-def pmi(counts: DataFrame, shift: float = 0.0) -> DataFrame:
+def _pmi_of(counts: PairSums, shift: float) -> Callable:
+    """A function of words, contexts and counts, all by number: their mutual information."""
+    margins = counts.margins()
+    total = np.log(float(max(margins.sum(), 1)))
+    logs = counts.sums.sparkSession.sparkContext.broadcast(np.log(np.maximum(margins, 1).astype(float)))
+    return lambda x, y, n: np.log(n.astype(float)) - logs.value[x] - logs.value[y] + total - shift
+
+
+def pmi(counts: DataFrame | PairSums, shift: float = 0.0) -> DataFrame:
     """(word, context, n, pmi): ln(n * total / (n_word * n_context)) - ``shift``. The words' sums are
     written once; where they are of bounded size, pairs meet them in place."""
+    if isinstance(counts, PairSums):
+        value_of, sent = _pmi_of(counts, shift), counts.words
+
+        def make() -> Callable:
+            words = pa.array(sent.value, pa.string())
+
+            def of(a, b, n):
+                x, y, m = _both_ways(a, b, n)
+                columns = [words.take(pa.array(x)), words.take(pa.array(y)), pa.array(m), pa.array(value_of(x, y, m))]
+                return pa.RecordBatch.from_arrays(columns, ["word", "context", "n", "pmi"])
+            return of
+        return counts.mapped(make, "word string, context string, n long, pmi double")
     margin = _kept(counts.groupBy("word").agg(F.sum("n").alias("m")), "margins")
     size = margin.agg(F.coalesce(F.sum(F.octet_length("word") + 24), F.lit(0))).first()[0]
     total = margin.agg(F.sum("m").alias("total")).scalar()

@@ -50,21 +50,24 @@ def forest_language(spark, sf):
     return _forest(rows.select("doc_id", "lang", F.coalesce(vector, empty).alias("features")), "doc_id", "features", "lang")
 
 
-def _pairs(spark, sf, keep: bool = False) -> DataFrame:
+def _known(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Documents' tokens of the vocabulary, and the vocabulary."""
     docs = corpus.tokens(_docs(spark, sf))
     words = vectors.vocabulary(docs.select(F.explode_outer("tokens").alias("word")).filter("word is not null"))
     path = scratch_path(spark, "vocabulary")
     words.write.parquet(path)
     words = spark.read.schema(words.schema).parquet(path)
-    return C.cooccurrence(C.known_tokens(docs, "doc_id", words), vocab=words, keep=keep)
+    return C.known_tokens(docs, "doc_id", words), words
 
 
 def cooccurrence(spark, sf):
-    return _pairs(spark, sf)
+    known, words = _known(spark, sf)
+    return C.cooccurrence(known, vocab=words)
 
 
 def pmi(spark, sf):
-    return C.pmi(_pairs(spark, sf, keep=True)).select("word", "context", "n", F.round("pmi", R).alias("pmi"))
+    known, words = _known(spark, sf)
+    return C.pmi(C.pair_sums(known, vocab=words)).select("word", "context", "n", F.round("pmi", R).alias("pmi"))
 
 
 #: Dimensions of the registered word vectors.
@@ -73,7 +76,8 @@ PMI_SIZE = 16
 
 def pmi_vectors(spark, sf):
     """Word vectors of the positive mutual information; they depend on the order of floating-point sums."""
-    return C.pmi_vectors(_pairs(spark, sf, keep=True), PMI_SIZE)[1]
+    known, words = _known(spark, sf)
+    return C.pmi_vectors(C.cooccurrence(known, vocab=words, keep=True), PMI_SIZE)[1]
 
 
 def abbreviations(spark, sf):

@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +75,18 @@ def test_pairs_are_shuffled_many_in_a_row(spark, monkeypatch, counted):
     assert cooccurrence.cooccurrence(df, window=3, vocab=vocab.limit(0)).collect() == []
 
 
+def test_numbered_pairs_have_the_vectors_of_rows(spark, monkeypatch):
+    df, listed, pairs = _worded(spark)
+    vocab = spark.createDataFrame([(w,) for w in listed], "word string")
+    sums, rows = (f(df, window=3, vocab=vocab, keep=True) for f in (cooccurrence.pair_sums, cooccurrence.cooccurrence))
+    out = cooccurrence.pmi(sums, 0.25)
+    assert "Join" not in _plan(out)
+    got, want = ({(r.word, r.context, r.n): r.pmi for r in x.collect()} for x in (out, cooccurrence.pmi(rows, 0.25)))
+    assert got.keys() == want.keys() and np.allclose([got[k] for k in want], list(want.values()), rtol=0, atol=1e-12)
+    none = cooccurrence.pair_sums(df.limit(0), window=3, vocab=vocab)
+    assert cooccurrence.pmi(none).collect() == []
+
+
 def test_rules_are_applied_where_documents_are(spark, monkeypatch):
     rules = spark.createDataFrame([("s", 1, ""), ("ies", 3, "y"), ("boxes", 5, ""), ("", 0, "")], "suffix string, cut int, added string")
     docs = spark.createDataFrame([(1, "Cats, flies boxes"), (2, None), (3, "cats 12"), (3, "dogs"), (None, "cats")], "id long, text string")
