@@ -403,6 +403,30 @@ def _turned(df: DataFrame, matrix: np.ndarray, col: str) -> DataFrame:
     return df.select("i", col).mapInArrow(run, "i long, v array<double>")
 
 
+def _iterated(words: DataFrame, n: int, size: int, iterations: int, seed: int,
+              times: Callable[[DataFrame], DataFrame]) -> tuple[np.ndarray, DataFrame]:
+    """Leading eigenvalues and (word, vector) of a symmetric matrix with a row for each of the ``n`` words (word, i);
+    ``times`` writes the matrix times a table (i, v) and returns it."""
+    size = min(size, n)
+    if not size:
+        return np.zeros(0), words.select("word", F.array().cast("array<double>").alias("vector"))
+    start = [F.xxhash64(F.lit(seed + k), "word") / F.lit(float(1 << 63)) for k in range(size)]
+    v = _kept(words.select("i", F.array(*start).alias("v")), "pmi-start")
+    for step in range(iterations + 1):
+        r = np.linalg.qr(np.linalg.cholesky(_gram(v, "v", "v", size) + 1e-12 * np.eye(size)).T)[1]
+        u = _turned(v, np.linalg.inv(r), "v")
+        y = times(u)
+        if step < iterations:
+            v = y
+    both = _kept(u.join(y.withColumnRenamed("v", "y"), "i"), "pmi-last")
+    projected = _gram(both, "v", "y", size)
+    values, turn = np.linalg.eigh((projected + projected.T) / 2)
+    order = np.argsort(-np.abs(values))
+    values, turn = values[order], turn[:, order]
+    out = _turned(both, turn * np.sqrt(np.abs(values)), "v").join(words, "i")
+    return values, out.select("word", F.col("v").alias("vector"))
+
+
 def leading_vectors(matrix: DataFrame, size: int, iterations: int = 12, seed: int = 1234) -> tuple[np.ndarray, DataFrame]:
     """The ``size`` leading eigenvalues, by size, of a symmetric matrix (word, context, value > 0), and
     (word, vector): eigenvectors times the root of their eigenvalue's size.
@@ -415,34 +439,113 @@ def leading_vectors(matrix: DataFrame, size: int, iterations: int = 12, seed: in
     # a symmetric matrix has each word as a row
     words = _kept(row_numbers(matrix.select("word").distinct(), ["word"], "i"), "pmi-words")
     n, n_bytes = words.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("word") + 24), F.lit(0))).first()
-    size = min(size, n)
-    if not size:
-        return np.zeros(0), words.select("word", F.array().cast("array<double>").alias("vector"))
     named = _sendable(words, n_bytes)
     entries = (matrix.join(named, "word").select("i", "context", "value")
                .join(_sendable(words.select(F.col("word").alias("context"), F.col("i").alias("j")), n_bytes), "context"))
     entries = _kept(entries.select("i", "j", "value").repartition("i").sortWithinPartitions("i"), "pmi-entries")
-    start = [F.xxhash64(F.lit(seed + k), "word") / F.lit(float(1 << 63)) for k in range(size)]
-    v = _kept(words.select("i", F.array(*start).alias("v")), "pmi-start")
-    for step in range(iterations + 1):
-        r = np.linalg.qr(np.linalg.cholesky(_gram(v, "v", "v", size) + 1e-12 * np.eye(size)).T)[1]
-        u = _turned(v, np.linalg.inv(r), "v")
+    size = min(size, n)
+
+    def times(u: DataFrame) -> DataFrame:
         there = _sendable(u.select(F.col("i").alias("j"), F.col("v").alias("vec")), n * (size + 4) * 8)
         parts = [F.sum(F.col("value") * F.get("vec", F.lit(k))).alias(f"s{k}") for k in range(size)]
         sums = entries.join(there, "j").groupBy("i").agg(*parts)
-        y = sums.select("i", F.array(*(f"s{k}" for k in range(size))).alias("v"))
-        if step < iterations:
-            v = _kept(y, "pmi-step")
-    both = _kept(u.join(y.withColumnRenamed("v", "y"), "i"), "pmi-last")
-    projected = _gram(both, "v", "y", size)
-    values, turn = np.linalg.eigh((projected + projected.T) / 2)
-    order = np.argsort(-np.abs(values))
-    values, turn = values[order], turn[:, order]
-    out = _turned(both, turn * np.sqrt(np.abs(values)), "v").join(words, "i")
-    return values, out.select("word", F.col("v").alias("vector"))
+        return _kept(sums.select("i", F.array(*(f"s{k}" for k in range(size))).alias("v")), "pmi-step")
+    return _iterated(words, n, size, iterations, seed, times)
+
+
+def _positive(counts: PairSums, value_of: Callable) -> tuple[DataFrame, int]:
+    """The positive entries of both directions, dealt by row and written: packed rows with all entries of a word, the
+    word's mixed number before the context's, and their counts. With the number of their low bits."""
+    width, most, pairs = counts.width, PAIRS_AT_ONCE >> 2, counts.reader()
+    n = counts.sums.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    parts = _parts_for(counts.sums.sparkSession, 8 * n, width)  # fewer for a part than of the text's pairs, since none are equal
+    low = 2 * width - parts
 
+    def made(held: list) -> pa.RecordBatch:
+        keys, n = (np.concatenate(c) for c in zip(*held))
+        order = np.argsort(keys)
+        return _packed(keys[order], n[order], low)
 
-def pmi_vectors(counts: DataFrame, size: int, iterations: int = 12, shift: float = 0.0) -> tuple[np.ndarray, DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for a, b, n in pairs(batches):
+            x, y, m = _both_ways(a, b, n)
+            some = value_of(x, y, m) > 0
+            x, y = x[some].astype(np.uint64), y[some].astype(np.uint64)
+            held.append((_mixed(x, width) << np.uint64(width) | y, m[some]))
+            size += len(x)
+            if size >= most:
+                yield made(held)
+                held, size = [], 0
+        if size:
+            yield made(held)
+    packed = counts.sums.mapInArrow(run, PACKED)
+    return _kept(_dealt(packed, parts, low, width), "pmi-entries"), low
+
+
+def _leading_of_pairs(counts: PairSums, size: int, iterations: int, shift: float, seed: int = 1234) -> tuple[np.ndarray, DataFrame]:
+    """``leading_vectors`` of the positive mutual information of numbered pairs. Entries keep their counts, and their values
+    are computed in each step. A step sends the vectors in blocks of bounded size; the entries' tasks add up their rows."""
+    spark, sent, width, n_words = counts.sums.sparkSession, counts.words, counts.width, len(counts.words.value)
+    value_of = _pmi_of(counts, shift)
+    entries, low = _positive(counts, value_of)
+
+    def rows_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words of sorted entries, and where their entries begin."""
+        mixed = keys >> np.uint64(width)
+        starts = _starts(mixed)
+        return _unmixed(mixed[starts], width).astype(np.int64), starts
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = pa.array(sent.value, pa.string())
+        for batch in batches:
+            for keys, _ in _unpacked(batch, low):
+                i = pa.array(rows_of(keys)[0])
+                yield pa.RecordBatch.from_arrays([i, words.take(i)], ["i", "word"])
+
+    words = _kept(entries.mapInArrow(named, "i long, word string"), "pmi-words")
+    n = words.count()
+    size = min(size, n)
+    block = max(1, MAX_BROADCAST_BYTES // (8 * max(size, 1)))
+
+    def summed(vectors: Broadcast, first: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            v = vectors.value
+            for batch in batches:
+                for keys, m in _unpacked(batch, low):
+                    i, starts = rows_of(keys)
+                    y = (keys & np.uint64((1 << width) - 1)).astype(np.int64)
+                    value = value_of(np.repeat(i, np.diff(starts, append=len(keys))), y, m)
+                    y -= first
+                    if v.shape[1] < n_words:
+                        value, y = np.where((y >= 0) & (y < v.shape[1]), value, 0.0), np.clip(y, 0, v.shape[1] - 1)
+                    sums = np.stack([np.add.reduceat(value * column[y], starts) for column in v], axis=1)
+                    offsets = pa.array(np.arange(len(i) + 1, dtype=np.int32) * size)
+                    yield pa.RecordBatch.from_arrays([pa.array(i), pa.ListArray.from_arrays(offsets, pa.array(sums.ravel()))], ["i", "v"])
+        return run
+
+    def times(u: DataFrame) -> DataFrame:
+        done = []
+        for first in range(0, n_words, block):
+            there = u.filter((F.col("i") >= first) & (F.col("i") < first + block)).toArrow()
+            v = np.zeros((size, min(block, n_words - first)))
+            v[:, there["i"].to_numpy() - first] = there["v"].combine_chunks().flatten().to_numpy().reshape(-1, size).T
+            vectors = spark.sparkContext.broadcast(v)
+            done.append(_kept(entries.mapInArrow(summed(vectors, first), "i long, v array<double>"), "pmi-step"))
+            vectors.destroy()
+        out = done[0]
+        for more in done[1:]:
+            out = out.unionByName(more)
+        if len(done) > 1:
+            sums = out.groupBy("i").agg(*(F.sum(F.get("v", F.lit(k))).alias(f"s{k}") for k in range(size)))
+            out = _kept(sums.select("i", F.array(*(f"s{k}" for k in range(size))).alias("v")), "pmi-step")
+        return out
+    return _iterated(words, n, size, iterations, seed, times)
+
+
+def pmi_vectors(counts: DataFrame | PairSums, size: int, iterations: int = 12, shift: float = 0.0) -> tuple[np.ndarray, DataFrame]:
     """Eigenvalues and (word, vector) of the positive shifted mutual information of ``cooccurrence`` counts."""
+    if isinstance(counts, PairSums):
+        return _leading_of_pairs(counts, size, iterations, shift)
     positive = pmi(counts, shift).filter("pmi > 0").select("word", "context", F.col("pmi").alias("value"))
     return leading_vectors(positive, size, iterations)

@@ -77,7 +77,7 @@ PMI_SIZE = 16
 def pmi_vectors(spark, sf):
     """Word vectors of the positive mutual information; they depend on the order of floating-point sums."""
     known, words = _known(spark, sf)
-    return C.pmi_vectors(C.cooccurrence(known, vocab=words, keep=True), PMI_SIZE)[1]
+    return C.pmi_vectors(C.pair_sums(known, vocab=words), PMI_SIZE)[1]
 
 
 def abbreviations(spark, sf):

@@ -83,8 +83,17 @@ def test_numbered_pairs_have_the_vectors_of_rows(spark, monkeypatch):
     assert "Join" not in _plan(out)
     got, want = ({(r.word, r.context, r.n): r.pmi for r in x.collect()} for x in (out, cooccurrence.pmi(rows, 0.25)))
     assert got.keys() == want.keys() and np.allclose([got[k] for k in want], list(want.values()), rtol=0, atol=1e-12)
+    values, table = cooccurrence.pmi_vectors(rows, 4, iterations=3, shift=0.25)
+    want = {r.word: r.vector for r in table.collect()}
+    monkeypatch.setattr(cooccurrence, "PAIRS_A_ROW", 16)
+    for limit in (64 << 20, 8 * 4 * 7):  # vectors are sent at once, or of 7 words
+        monkeypatch.setattr(cooccurrence, "MAX_BROADCAST_BYTES", limit)
+        again, table = cooccurrence.pmi_vectors(sums, 4, iterations=3, shift=0.25)
+        got = {r.word: r.vector for r in table.collect()}
+        assert np.allclose(again, values, rtol=1e-9) and got.keys() == want.keys()
+        assert np.allclose(np.array([got[w] for w in want]), np.array(list(want.values())), atol=1e-7)
     none = cooccurrence.pair_sums(df.limit(0), window=3, vocab=vocab)
-    assert cooccurrence.pmi(none).collect() == []
+    assert cooccurrence.pmi(none).collect() == [] and cooccurrence.pmi_vectors(none, 4)[1].collect() == []
 
 
 def test_rules_are_applied_where_documents_are(spark, monkeypatch):
