@@ -89,3 +89,8 @@ def sentence_array(c) -> Column:
 def whitespace_tokens(c) -> Column:
     """Tokens between whitespace runs, empty tokens dropped, case kept."""
     return F.filter(F.split(_c(c), r"\s+"), lambda t: F.length(t) > 0)
+
+
+def word_tokens(c) -> Column:
+    """``whitespace_tokens`` of ``clean_text``, in one pass: white space is non-word, too."""
+    return F.array_remove(F.split(_c(c), NON_WORD_RUN), "")

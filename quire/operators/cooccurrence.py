@@ -39,7 +39,7 @@ DOCS_AT_ONCE = 1000
 PAIRS_A_PART = 1 << 24
 FEWEST_A_PART = 1 << 18
 #: Pairs in a written row, about.
-PAIRS_A_ROW = 1 << 18
+PAIRS_A_ROW = 1 << 16
 #: Sorted numbers of one part: their low bits and counts as arrays of the narrowest unsigned type.
 PACKED = "part int, size int, key binary, n binary"
 
@@ -63,10 +63,10 @@ def _listed(vocab: DataFrame) -> tuple[list[str], int | None] | None:
     return sorted((r.word for r in rows), key={r.word: (-(r.n or 0), r.word) for r in rows}.get), sum(r.n or 0 for r in rows) if counted else None
 
 
-def _numbers(tokens: pa.Array, numbers: dict[str, int]) -> np.ndarray:
-    """The number of each token, -1 if it has none."""
+def _numbers(tokens: pa.Array, words: pa.Array) -> np.ndarray:
+    """The place of each token among the words, -1 if it has none."""
     coded = tokens.dictionary_encode()
-    of = np.array([numbers.get(w, -1) for w in coded.dictionary.to_pylist()] + [-1], dtype=np.int64)
+    of = np.append(pc.index_in(coded.dictionary, value_set=words).fill_null(-1).to_numpy(zero_copy_only=False), -1).astype(np.int64)
     return of[coded.indices.fill_null(len(of) - 1).to_numpy(zero_copy_only=False)]
 
 
@@ -79,11 +79,11 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _only(sent):
     """Rows (id, tokens) with the tokens that are listed, without rows that have none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = {w: i for i, w in enumerate(sent.value)}
+        words = pa.array(sent.value, pa.string())
         for batch in _parts(batches):
             ids, lists = batch.columns
             flat = lists.flatten()
-            known = _numbers(flat, numbers) >= 0
+            known = _numbers(flat, words) >= 0
             count = np.bincount(pc.list_parent_indices(lists).to_numpy()[known], minlength=len(lists))
             some = pa.array(count > 0)
             offsets = np.concatenate([[0], np.cumsum(count[count > 0])]).astype(np.int32)
@@ -201,12 +201,12 @@ def _pair_counts(sent, window: int, low: int):
         return _packed(keys[starts], np.diff(starts, append=len(keys)), low)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = {w: i for i, w in enumerate(sent.value)}
-        width = _width(len(numbers))
+        words = pa.array(sent.value, pa.string())
+        width = _width(len(words))
         held, size = np.empty(PAIRS_AT_ONCE, dtype=np.uint64), 0
         for batch in _parts(batches):
             lists = batch.column(0)
-            ids, doc = _numbers(lists.flatten(), numbers), pc.list_parent_indices(lists).to_numpy()
+            ids, doc = _numbers(lists.flatten(), words), pc.list_parent_indices(lists).to_numpy()
             for d in range(1, window + 1):
                 a, b = ids[:-d], ids[d:]
                 both = (doc[:-d] == doc[d:]) & (a >= 0) & (b >= 0)  # an unlisted token keeps its place
@@ -517,9 +517,10 @@ def _leading_of_pairs(counts: PairSums, size: int, iterations: int, shift: float
                     y = (keys & np.uint64((1 << width) - 1)).astype(np.int64)
                     value = value_of(np.repeat(i, np.diff(starts, append=len(keys))), y, m)
                     y -= first
-                    if v.shape[1] < n_words:
-                        value, y = np.where((y >= 0) & (y < v.shape[1]), value, 0.0), np.clip(y, 0, v.shape[1] - 1)
-                    sums = np.stack([np.add.reduceat(value * column[y], starts) for column in v], axis=1)
+                    if len(v) < n_words:
+                        value[(y < 0) | (y >= len(v))] = 0.0
+                    ends = np.append(starts[1:], len(keys))
+                    sums = np.stack([value[a:b] @ v.take(y[a:b], axis=0, mode="clip") for a, b in zip(starts, ends)])
                     offsets = pa.array(np.arange(len(i) + 1, dtype=np.int32) * size)
                     yield pa.RecordBatch.from_arrays([pa.array(i), pa.ListArray.from_arrays(offsets, pa.array(sums.ravel()))], ["i", "v"])
         return run
@@ -528,8 +529,8 @@ def _leading_of_pairs(counts: PairSums, size: int, iterations: int, shift: float
         done = []
         for first in range(0, n_words, block):
             there = u.filter((F.col("i") >= first) & (F.col("i") < first + block)).toArrow()
-            v = np.zeros((size, min(block, n_words - first)))
-            v[:, there["i"].to_numpy() - first] = there["v"].combine_chunks().flatten().to_numpy().reshape(-1, size).T
+            v = np.zeros((min(block, n_words - first), size))
+            v[there["i"].to_numpy() - first] = there["v"].combine_chunks().flatten().to_numpy().reshape(-1, size)
             vectors = spark.sparkContext.broadcast(v)
             done.append(_kept(entries.mapInArrow(summed(vectors, first), "i long, v array<double>"), "pmi-step"))
             vectors.destroy()

@@ -61,8 +61,8 @@ def distinct_sentences(sents: DataFrame) -> DataFrame:
 def tokens(df: DataFrame, text_col: str = "text", out_col: str = "tokens",
            clean: bool = True) -> DataFrame:
     """Whitespace tokens of the (cleaned) text, case kept; null text -> []."""
-    src = T.clean_text(text_col) if clean else F.col(text_col)
-    return df.withColumn(out_col, F.coalesce(T.whitespace_tokens(src), _empty()))
+    toks = T.word_tokens(text_col) if clean else T.whitespace_tokens(text_col)
+    return df.withColumn(out_col, F.coalesce(toks, _empty()))
 
 
 def lemma_corpus(df: DataFrame, text_col: str = "text", out_col: str = "LEMMAS",

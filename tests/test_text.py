@@ -73,6 +73,13 @@ def test_tokens_case_kept_and_null(spark):
     assert out[2] == []
 
 
+def test_word_tokens_are_the_tokens_of_clean_text(spark):
+    rows = [(x,) for x in ["", " ", "a", " a  b ", "état a_b 42", "a\u00a0b\u2028c\x0bd\t", "中文 x 😀y", "...", "-x-", "\x00z\x85", None]]
+    df = spark.createDataFrame(rows, "x string")
+    out = df.select(T.word_tokens("x").alias("a"), T.whitespace_tokens(T.clean_text("x")).alias("b")).collect()
+    assert all(r.a == r.b for r in out) and len(out) == len(rows)
+
+
 def test_corpus_stats(spark):
     df = spark.createDataFrame([(1, "ab"), (2, None)], "id long, text string")
     r = corpus.corpus_stats(df).first()
