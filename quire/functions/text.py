@@ -92,5 +92,5 @@ def whitespace_tokens(c) -> Column:
 
 
 def word_tokens(c) -> Column:
-    """``whitespace_tokens`` of ``clean_text``, in one pass: white space is non-word, too."""
-    return F.array_remove(F.split(_c(c), NON_WORD_RUN), "")
+    """``whitespace_tokens`` of ``clean_text``, which leaves no white space but single blanks."""
+    return F.array_remove(F.split(clean_text(c), " "), "")
